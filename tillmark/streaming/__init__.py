@@ -1,0 +1 @@
+"""Reserved. All supported inputs are batch tables, so there is no streaming operator."""
