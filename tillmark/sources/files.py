@@ -22,12 +22,20 @@ INPUT_COLUMNS = {
 }
 
 
+def _dialect(sep: str) -> dict:
+    """Headed file with doubled quotes; blanks around a cell belong to it."""
+    return {
+        "header": True, "sep": sep, "quote": '"', "escape": '"',
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+
+
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",") -> DataFrame:
     """Text columns of a headed file; an empty cell is an empty string, never null."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = (
         spark.read.schema(schema)
-        .options(header=True, sep=sep, quote='"', escape='"', multiLine=False, enforceSchema=False, mode="FAILFAST")
+        .options(**_dialect(sep), enforceSchema=False, mode="FAILFAST")
         .csv(path)
     )
     return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
@@ -35,7 +43,7 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep:
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", quote_all: bool = False) -> None:
     df.write.mode("errorifexists").options(
-        header=True, sep=sep, quote='"', escape='"', quoteAll=quote_all, emptyValue="", nullValue=""
+        **_dialect(sep), quoteAll=quote_all, emptyValue="", nullValue=""
     ).csv(path)
 
 
