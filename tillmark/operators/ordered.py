@@ -18,6 +18,18 @@ from ..session import checkpoint
 
 # monotonically_increasing_id: partition number above bit 33, row position below.
 _POSITION_BITS = 33
+_BROADCAST_ROWS = 100_000
+
+
+def _small(offsets: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Broadcast the offsets where that is safe.
+
+    Without groups there is one row per partition. With groups their number is
+    counted first; beyond the limit the planner joins by shuffle.
+    """
+    if not group or offsets.limit(_BROADCAST_ROWS + 1).count() <= _BROADCAST_ROWS:
+        return F.broadcast(offsets)
+    return offsets
 
 
 def _laid_out(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -38,8 +50,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (
     offsets = pieces.select(
         *group, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
-    # One row per partition and group: small whatever the size of the data.
-    ranked = ordered.join(F.broadcast(offsets), [*group, "_part"])
+    ranked = ordered.join(_small(offsets, group), [*group, "_part"])
     return ranked.withColumn(name, F.col("_before") + F.col("_at") - F.col("_first") + 1).drop(
         "_at", "_part", "_first", "_before"
     )
@@ -58,7 +69,8 @@ def running_totals(
     )
     inside = Window.partitionBy(*group, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     summed = ordered.select("*", *[F.sum(f"_v_{n}").over(inside).alias(f"_r_{n}") for n in totals])
-    joined = summed.join(F.broadcast(offsets), [*group, "_part"])
+    # The window has already placed the rows by these keys, so only the offsets move.
+    joined = summed.join(offsets, [*group, "_part"])
     return joined.select(*df.columns, *[(F.col(f"_b_{n}") + F.col(f"_r_{n}")).alias(n) for n in totals])
 
 

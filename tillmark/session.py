@@ -22,7 +22,13 @@ def build_session(app: str = "tillmark", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {"spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false", **RUNTIME_DEFAULTS}
+    settings = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        # Checkpoint files go away with the last reference to their DataFrame.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        **RUNTIME_DEFAULTS,
+    }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
