@@ -1,16 +1,23 @@
-"""Leakage-safe customer snapshots and forward labels, all cutoffs in one pass.
+"""Leakage-safe customer snapshots and forward labels, all cutoffs together.
 
 Features of a cutoff see ``[cutoff - 365 d, cutoff)`` and labels see
 ``[cutoff, cutoff + 90 d)``. Every event is copied to the few cutoffs whose
-windows it falls into, plus one lifetime row per sale that only serves the date
-of the first purchase, so the copies stay bounded however long the history is.
-One aggregation by (cutoff, customer) then computes all features and labels.
+windows hold it. A sale outside all windows gives one lifetime row that only
+serves the date of the first purchase, so the copies stay bounded however long
+the history is.
+
+Copies are summed per (cutoff, customer, order) first. That turns the distinct
+order counts into sums of flags, and where the events come out of a join on the
+order key this step needs no shuffle. Distinct categories, brands or products
+are counted apart from the few columns they need; both results end up
+partitioned by (cutoff, customer), so joining them moves nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +31,7 @@ from ..config import (
     require_complete_follow_up,
 )
 from ..functions.dates import days, days_between, moment
-from ..functions.money import from_minor, ratio, sum_minor
+from ..functions.money import from_minor, ratio
 
 _LIFETIME = "0001-01-01"
 _SHARED = [
@@ -58,19 +65,27 @@ REVENUE = Track(
 INACTIVE_LABEL = "inactive_next90"
 
 
-def _by_cutoff(events: DataFrame, cutoffs: Sequence[str], history_days: int, horizon_days: int) -> DataFrame:
-    """One row per event and cutoff whose history or outcome window holds the event."""
+def _by_cutoff(events: DataFrame, cutoffs: Sequence[str], before: int, after: int, lifetime: bool) -> DataFrame:
+    """One row per event and cutoff with the event in ``[cutoff - before, cutoff + after)`` days."""
     time = F.col("event_time")
-    hits = [
-        F.when((time >= moment(c) - days(history_days)) & (time < moment(c) + days(horizon_days)), moment(c))
-        for c in cutoffs
-    ]
-    lifetime = F.when(F.col("event_type") == "sale", moment(_LIFETIME))
-    last = max(cutoffs, key=as_moment)
-    return (
-        events.where(time < moment(last) + days(horizon_days))
-        .withColumn("cutoff", F.explode(F.array(*hits, lifetime)))
-        .where(F.col("cutoff").isNotNull())
+    windows = [(time >= moment(c) - days(before)) & (time < moment(c) + days(after)) for c in cutoffs]
+    copies = [F.when(window, moment(c)) for window, c in zip(windows, cutoffs)]
+    first, last = min(cutoffs, key=as_moment), max(cutoffs, key=as_moment)
+    # Plain bounds as well: they reach the scan, the copies do not.
+    events = events.where(time < moment(last) + days(after))
+    if lifetime:
+        outside = ~reduce(Column.__or__, windows)
+        copies.append(F.when(outside & (F.col("event_type") == "sale"), moment(_LIFETIME)))
+    else:
+        events = events.where(time >= moment(first) - days(before))
+    return events.withColumn("cutoff", F.explode(F.array(*copies))).where(F.col("cutoff").isNotNull())
+
+
+def _variety(events: DataFrame, cutoffs: Sequence[str], history_days: int, facets: dict[str, str]) -> DataFrame:
+    """Distinct values of each facet column among the sales of the history window."""
+    sales = _by_cutoff(events.where(F.col("event_type") == "sale"), cutoffs, history_days, 0, lifetime=False)
+    return sales.groupBy("cutoff", "customer_id").agg(
+        *[F.count_distinct(column).alias(name) for name, column in facets.items()]
     )
 
 
@@ -94,7 +109,7 @@ def snapshot_panel(
             raise ValueError("Labels need the exclusive end of observation.")
         require_complete_follow_up(cutoffs, horizon_days, observed_until)
 
-    rows = _by_cutoff(events, cutoffs, history_days, horizon_days if labelled else 0)
+    rows = _by_cutoff(events, cutoffs, history_days, horizon_days if labelled else 0, lifetime=True)
     time, cutoff = F.col("event_time"), F.col("cutoff")
     is_sale, is_return = F.col("event_type") == "sale", F.col("event_type") == "return"
     windowed = cutoff != moment(_LIFETIME)
@@ -103,49 +118,59 @@ def snapshot_panel(
     previous = past & (time >= cutoff - days(2 * RECENT_DAYS)) & (time < cutoff - days(RECENT_DAYS))
     sold = past & is_sale
 
-    def orders(condition: Column) -> Column:
-        return F.count_distinct(F.when(condition, F.col("order_id")))
+    def units(column: str, only: Column) -> Column:
+        return F.sum(F.when(only, F.col(column)).otherwise(0))
 
-    net = F.col("net_minor")
-    measures = [
-        F.min(F.when(is_sale & (windowed & (time < cutoff) | ~windowed), time)).alias("first_sale"),
-        F.max(F.when(sold, time)).alias("last_sale"),
-        orders(sold).alias("frequency_365"),
-        orders(recent & is_sale).alias("frequency_90"),
-        orders(previous & is_sale).alias("frequency_previous90"),
-        sum_minor(net, past).alias("net_365"),
-        sum_minor(net, recent).alias("net_90"),
-        sum_minor(net, sold).alias("gross_365"),
-    ]
+    def lines(only: Column) -> Column:
+        return F.sum(F.when(only, 1).otherwise(0))
+
+    def seen(only: Column) -> Column:
+        return F.max(F.when(only, 1).otherwise(0))
+
+    # Per order: flags add up to distinct orders, sums add up to sums.
+    sums = {
+        "frequency_365": seen(sold),
+        "frequency_90": seen(recent & is_sale),
+        "frequency_previous90": seen(previous & is_sale),
+        "net_365": units("net_minor", past),
+        "net_90": units("net_minor", recent),
+        "gross_365": units("net_minor", sold),
+    }
     if track is MARGIN:
-        measures += [
-            sum_minor(F.col("margin_minor"), past).alias("margin_365"),
-            F.count_distinct(F.when(sold, F.col("category"))).alias("category_count"),
-            F.count_distinct(F.when(sold, F.col("brand"))).alias("brand_count"),
-            F.count(F.when(sold, 1)).alias("sale_lines"),
-            F.count(F.when(sold & (F.col("channel") == "online"), 1)).alias("online_lines"),
-            F.count(F.when(sold & (F.col("discount_rate") > 0), 1)).alias("discount_lines"),
-            F.sum(F.when(sold, F.col("quantity"))).alias("sold_units"),
-            F.coalesce(F.sum(F.when(past & is_return, F.col("quantity"))), F.lit(0.0)).alias("returned_units"),
-        ]
+        facets = {"category_count": "category", "brand_count": "brand"}
+        sums |= {
+            "margin_365": units("margin_minor", past),
+            "sale_lines": lines(sold),
+            "online_lines": lines(sold & (F.col("channel") == "online")),
+            "discount_lines": lines(sold & (F.col("discount_rate") > 0)),
+            "sold_units": units("quantity", sold),
+            "returned_units": units("quantity", past & is_return),
+        }
     else:
-        measures += [
-            F.count_distinct(F.when(sold, F.col("product_id"))).alias("product_count"),
-            F.sum(F.when(sold, F.col("signed_quantity"))).alias("units_365"),
-            (-sum_minor(net, past & is_return)).alias("returned_minor"),
-        ]
+        facets = {"product_count": "product_id"}
+        sums |= {"units_365": units("signed_quantity", sold), "returned_minor": -units("net_minor", past & is_return)}
     if labelled:
-        measures += [
-            F.max(F.when(future & is_sale, 1)).alias("bought"),
-            sum_minor(F.col(track.value_column), future).alias("value_next"),
-        ]
+        sums |= {"purchases_next": seen(future & is_sale), "value_next": units(track.value_column, future)}
 
-    summed = rows.groupBy("cutoff", "customer_id").agg(*measures)
-    # At most one row per cutoff (and the lifetime row) and customer takes part here.
-    lifetime = Window.partitionBy("customer_id")
-    summed = summed.withColumn("first_sale", F.min("first_sale").over(lifetime))
+    per_order = rows.groupBy("cutoff", "customer_id", "order_id").agg(
+        F.min(F.when(is_sale, time)).alias("first_sale"),
+        F.max(F.when(sold, time)).alias("last_sale"),
+        *[expression.alias(name) for name, expression in sums.items()],
+    )
+    per_customer = per_order.groupBy("cutoff", "customer_id").agg(
+        F.min("first_sale").alias("first_sale"),
+        F.max("last_sale").alias("last_sale"),
+        *[F.sum(name).alias(name) for name in sums],
+    )
+    # One row per cutoff (and lifetime) and customer takes part here. A customer of
+    # a snapshot has a sale before its cutoff, so the first of all is before it too.
+    first_ever = F.min("first_sale").over(Window.partitionBy("customer_id"))
     recency = days_between(F.col("last_sale"), cutoff)
-    features = summed.where(windowed & F.col("last_sale").isNotNull() & (recency <= active_days))
+    eligible = (
+        per_customer.withColumn("first_sale", first_ever)
+        .where(windowed & F.col("last_sale").isNotNull() & (recency <= active_days))
+    )
+    features = eligible.join(_variety(events, cutoffs, history_days, facets), ["cutoff", "customer_id"])
 
     derived = {
         "recency_days": recency,
@@ -169,7 +194,7 @@ def snapshot_panel(
     columns += [derived.get(name, F.col(name)).alias(name) for name in track.features]
     if labelled:
         columns += [
-            F.when(F.col("bought").isNull(), 1).otherwise(0).alias(INACTIVE_LABEL),
+            F.when(F.col("purchases_next") == 0, 1).otherwise(0).alias(INACTIVE_LABEL),
             from_minor(F.col("value_next"), track.digits).alias(track.value_label),
         ]
     return features.select(*columns)
