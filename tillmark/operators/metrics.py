@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,13 +56,16 @@ def classification_metrics(
     distinct scores. AP adds precision times the gain in recall per distinct
     score; AUC counts a tied pair as half.
     """
+    # Without groups all rows share one key, stored as data so that joins stay keyed.
+    keys = list(group) or ["_all"]
     narrow = scored.select(
-        *group, *ties, F.col(label).cast("bigint").alias("_hit"), F.col(score).cast("double").alias("_score")
+        *(list(group) or [F.lit(1).alias("_all")]),
+        *ties, F.col(label).cast("bigint").alias("_hit"), F.col(score).cast("double").alias("_score"),
     )
     counted = running_totals(
-        narrow, [F.desc("_score"), *map(F.col, ties)], {"_rank": F.lit(1), "_hits": F.col("_hit")}, group
+        narrow, [F.desc("_score"), *map(F.col, ties)], {"_rank": F.lit(1), "_hits": F.col("_hit")}, keys
     )
-    per_score = counted.groupBy(*group, "_score").agg(
+    per_score = counted.groupBy(*keys, "_score").agg(
         F.count("*").alias("rows"),
         F.sum("_hit").alias("hits"),
         F.max("_rank").alias("rows_down_to"),
@@ -69,22 +73,17 @@ def classification_metrics(
     )
     hits, misses, score_value = F.col("hits"), F.col("rows") - F.col("hits"), F.col("_score")
     above = F.col("hits_down_to") - hits
-    sums = per_score.groupBy(*group).agg(
+    sums = per_score.groupBy(*keys).agg(
         F.sum("rows").alias("n"),
         F.sum("hits").alias("positives"),
         F.sum(hits * F.col("hits_down_to") / F.col("rows_down_to")).alias("precision_sum"),
         F.sum(misses * (above + 0.5 * hits)).alias("pairs_won"),
         F.sum(hits * (score_value - 1) * (score_value - 1) + misses * score_value * score_value).alias("squares"),
     )
-    size = counted.groupBy(*group).agg(F.max("_rank").alias("_n"))
+    size = counted.groupBy(*keys).agg(F.max("_rank").alias("_n"))
     limit = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(TOP_SHARE)))
-    # One row per group on the right; without groups both sides share a constant key.
-    keys, left, right = list(group), counted, size
-    if not keys:
-        keys = ["_all"]
-        left, right, sums = (df.withColumn("_all", F.lit(1)) for df in (counted, size, sums))
     top = (
-        left.join(right, keys)
+        counted.join(size, keys)
         .where(F.col("_rank") <= limit)
         .groupBy(*keys)
         .agg((F.sum("_hit") / F.count("*")).alias("precision_at_20pct"))
@@ -128,21 +127,25 @@ def model_metrics_mart(
     Each input is one row of the metric functions above.
     """
 
-    def column(df: DataFrame, name: str, alias: str) -> DataFrame:
-        return df.select(F.lit(1).alias("_one"), F.col(name).alias(alias))
-
-    wide = column(model, "average_precision", "v0")
-    for frame, name, alias in (
-        (model, "roc_auc", "v1"), (model, "lift_at_20pct", "v2"), (value, "mae", "v3"),
-        (baseline, "average_precision", "b0"), (baseline, "roc_auc", "b1"),
-        (recency, "lift_at_20pct", "b2"), (value_baseline, "mae", "b3"),
-    ):
-        wide = wide.join(column(frame, name, alias), "_one")
-    rows = [
-        F.struct(
-            F.lit(metric).alias("metric"), F.lit(label).alias("label"), F.col(f"v{i}").alias("value"),
-            F.col(f"b{i}").alias("baseline"), F.lit(unit).alias("unit"), F.lit("held_out_test").alias("split"),
-        )
-        for i, (metric, label, unit) in enumerate(MODEL_METRICS)
+    wanted = (
+        (model, "average_precision", 0, "value"), (model, "roc_auc", 1, "value"), (model, "lift_at_20pct", 2, "value"),
+        (value, "mae", 3, "value"), (baseline, "average_precision", 0, "baseline"), (baseline, "roc_auc", 1, "baseline"),
+        (recency, "lift_at_20pct", 2, "baseline"), (value_baseline, "mae", 3, "baseline"),
+    )
+    cells = [
+        frame.select(F.lit(place).alias("place"), F.lit(side).alias("side"), F.col(name).cast("double").alias("number"))
+        for frame, name, place, side in wanted
     ]
-    return wide.select(F.inline(F.array(*rows)))
+
+    def side(name: str) -> Column:
+        return F.max(F.when(F.col("side") == name, F.col("number"))).alias(name)
+
+    wide = reduce(DataFrame.unionByName, cells).groupBy("place").agg(side("value"), side("baseline"))
+    names = F.lit([metric for metric, _, _ in MODEL_METRICS])
+    labels = F.lit([label for _, label, _ in MODEL_METRICS])
+    units = F.lit([unit for _, _, unit in MODEL_METRICS])
+    at = F.col("place") + 1
+    return wide.orderBy("place").select(
+        F.element_at(names, at).alias("metric"), F.element_at(labels, at).alias("label"), "value", "baseline",
+        F.element_at(units, at).alias("unit"), F.lit("held_out_test").alias("split"),
+    )

@@ -168,11 +168,11 @@ def permutation_importance(
     precision = checkpoint(
         classification_metrics(scored, label, "predicted", ["feature", "turn"]).select("feature", "average_precision")
     )
-    whole = precision.where(F.col("feature") == "").select(F.col("average_precision").alias("whole"), F.lit(1).alias("_one"))
-    drops = precision.where(F.col("feature") != "").withColumn("_one", F.lit(1)).join(whole, "_one")
-    lost = F.col("whole") - F.col("average_precision")
+    whole = precision.where(F.col("feature") == "").first()["average_precision"]
+    lost = F.lit(whole) - F.col("average_precision")
     return (
-        drops.groupBy("feature")
+        precision.where(F.col("feature") != "")
+        .groupBy("feature")
         .agg(F.avg(lost).alias("average_precision_drop"), F.stddev_pop(lost).alias("std"))
         .orderBy(F.desc("average_precision_drop"), "feature")
     )
