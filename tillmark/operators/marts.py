@@ -95,8 +95,8 @@ def write_mart(df: DataFrame, root: str, name: str, formats: Sequence[str] = ("p
             write_delimited(df, path)
         elif name == "fact_sales":
             by_month = df.withColumn("year_month", F.date_format("event_date", "yyyy-MM"))
-            # The day spreads a month over many tasks; rebalancing also splits a hot day.
-            by_month = by_month.hint("rebalance", "year_month", "event_date")
+            # Adaptive rebalancing splits a month that is too large and joins small ones.
+            by_month = by_month.hint("rebalance", "year_month")
             by_month.sortWithinPartitions("year_month", "customer_id", "event_date").write.mode(
                 "errorifexists"
             ).partitionBy("year_month").parquet(path)

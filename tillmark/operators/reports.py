@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import moment, year_month
+from ..functions.dates import moment, month_number, month_text
 from ..functions.money import from_minor, ratio, sum_minor, wide_sum
 from . import measures as m
 
@@ -25,19 +25,22 @@ def monthly_performance(events: DataFrame, by_channel: bool = False) -> DataFram
 
     Returns count in the month they happen.
     """
-    keys = [year_month(F.col("event_time")).alias("year_month")] + (["channel"] if by_channel else [])
-    return events.groupBy(*keys).agg(
+    keys = ["channel"] if by_channel else []
+    # Grouping by a month number; the text is made once per result row.
+    per_month = events.groupBy(month_number(F.col("event_time")).alias("_month"), *keys).agg(
         m.net_revenue().alias("net_revenue"),
         m.gross_margin().alias("gross_margin"),
         m.sale_orders().alias("sale_orders"),
         m.purchasing_customers().alias("purchasing_customers"),
     )
+    return per_month.select(month_text(F.col("_month")).alias("year_month"), *per_month.columns[1:])
 
 
 def monthly_revenue(events: DataFrame) -> DataFrame:
-    return events.groupBy(year_month(F.col("event_time")).alias("month")).agg(
+    per_month = events.groupBy(month_number(F.col("event_time")).alias("_month")).agg(
         m.net_revenue().alias("net_revenue"), m.gross_margin().alias("gross_margin")
     )
+    return per_month.select(month_text(F.col("_month")).alias("month"), "net_revenue", "gross_margin")
 
 
 def by_product_attribute(events: DataFrame, products: DataFrame, attributes: Sequence[str]) -> DataFrame:
