@@ -7,14 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings every plan relies on. They are only applied where the
-# session has not chosen a value itself.
-RUNTIME_DEFAULTS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Split a hot join key even where the split costs one more shuffle.
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-}
+# Split a hot join key even where the split costs one more shuffle. Adaptive
+# execution and its skew handling are Spark's defaults.
+SKEW_SETTING = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 
 def build_session(app: str = "tillmark", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,7 +22,7 @@ def build_session(app: str = "tillmark", master: str | None = None, **conf: str)
         "spark.ui.enabled": "false",
         # Checkpoint files go away with the last reference to their DataFrame.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        **RUNTIME_DEFAULTS,
+        SKEW_SETTING: "true",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
@@ -36,11 +31,9 @@ def build_session(app: str = "tillmark", master: str | None = None, **conf: str)
 
 
 def apply_runtime_defaults(spark: SparkSession) -> None:
-    """Apply the runtime defaults to a session that somebody else has built."""
-    explicit = dict(spark.sparkContext.getConf().getAll())
-    for key, value in RUNTIME_DEFAULTS.items():
-        if key not in explicit:
-            spark.conf.set(key, value)
+    """Turn on skew splitting in a session that somebody else has built and left it open."""
+    if SKEW_SETTING not in dict(spark.sparkContext.getConf().getAll()):
+        spark.conf.set(SKEW_SETTING, "true")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
