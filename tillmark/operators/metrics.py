@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -101,6 +101,17 @@ def classification_metrics(
     )
 
 
+def scorer_metrics(
+    scored: DataFrame, label: str, scorers: Mapping[str, Column], ties: Sequence[str] = TIE_KEYS
+) -> DataFrame:
+    """Ranking metrics of several scores of the same rows, one row per ``scorer``, over one ordering."""
+    given = F.array(*[
+        F.struct(F.lit(name).alias("scorer"), score.cast("double").alias("score")) for name, score in scorers.items()
+    ])
+    stacked = scored.select(label, *ties, F.explode(given).alias("given")).select(label, *ties, "given.*")
+    return classification_metrics(stacked, label, "score", ["scorer"], ties)
+
+
 def regression_metrics(scored: DataFrame, actual: str, predicted: str, group: Sequence[str] = ()) -> DataFrame:
     """Row count, MAE, WAPE, R2, sums and relative bias of the total."""
     y, p = F.col(actual), F.col(predicted)

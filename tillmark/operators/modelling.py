@@ -25,12 +25,15 @@ from .metrics import (
     fit_baselines,
     regression_metrics,
     require_evaluable,
+    scorer_metrics,
     split_population,
 )
 from .ordered import global_rank
 from .snapshot import INACTIVE_LABEL, Track
 
 KEYS = ("customer_id", "snapshot_date")
+# A ranking without probabilities has these metrics only.
+RANKING_COLUMNS = ("average_precision", "precision_at_20pct", "lift_at_20pct")
 ROUNDS = {"margin": 120, "revenue": 160}
 _TREES = dict(maxDepth=4, minInstancesPerNode=35, stepSize=0.05, maxBins=255)
 
@@ -205,7 +208,7 @@ def risk_columns(track: Track) -> tuple[str, str]:
 def recency_ranking(test: DataFrame) -> DataFrame:
     """Longest absence first, a ranking without probabilities."""
     metrics = classification_metrics(test, INACTIVE_LABEL, "recency_days")
-    return metrics.select("average_precision", "precision_at_20pct", "lift_at_20pct")
+    return metrics.select(*RANKING_COLUMNS)
 
 
 def fit_evaluate(
@@ -230,7 +233,16 @@ def fit_evaluate(
         predicted.select(*KEYS, INACTIVE_LABEL, track.value_label, "recency_days", "predicted_risk", value_output)
     )
     prior, mean = fit_baselines(development, INACTIVE_LABEL, track.value_label)
-    constant = predictions.withColumns({"_prior": F.lit(prior), "_mean": F.lit(mean)})
+    ranked = checkpoint(
+        scorer_metrics(
+            predictions,
+            INACTIVE_LABEL,
+            {"model": F.col("predicted_risk"), "prior": F.lit(prior), "recency": F.col("recency_days")},
+        )
+    )
+
+    def ranking(scorer: str) -> DataFrame:
+        return ranked.where(F.col("scorer") == scorer).drop("scorer")
 
     final_risk = fit_classifier(risk_name, panel, track, rounds, seed)
     final_value = fit_value_model(value_name, panel, track, rounds, seed)
@@ -241,11 +253,13 @@ def fit_evaluate(
         importance=permutation_importance(classifier, test, track.features, INACTIVE_LABEL, repeats, seed),
         validation_risk=risk_table,
         validation_value=value_table,
-        test_risk=classification_metrics(predictions, INACTIVE_LABEL, "predicted_risk"),
-        test_risk_baseline=classification_metrics(constant, INACTIVE_LABEL, "_prior"),
-        test_recency=recency_ranking(predictions),
+        test_risk=ranking("model"),
+        test_risk_baseline=ranking("prior"),
+        test_recency=ranking("recency").select(*RANKING_COLUMNS),
         test_value=regression_metrics(predictions, track.value_label, value_output),
-        test_value_baseline=regression_metrics(constant, track.value_label, "_mean"),
+        test_value_baseline=regression_metrics(
+            predictions.withColumn("_mean", F.lit(mean)), track.value_label, "_mean"
+        ),
         classifier_name=risk_name,
         value_model_name=value_name,
         classifier=final_risk,

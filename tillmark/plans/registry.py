@@ -769,13 +769,17 @@ def model_metrics(spark, root):
     prior, mean = metrics.fit_baselines(
         panel.where(F.col("split").isin("train", "validation")), INACTIVE_LABEL, "margin_next90"
     )
-    constant = test.withColumns({"prior": F.lit(prior), "mean": F.lit(mean)})
+    ranked = checkpoint(
+        metrics.scorer_metrics(
+            test, INACTIVE_LABEL,
+            {"model": F.col("inactive_risk90"), "prior": F.lit(prior), "recency": F.col("recency_days")},
+        )
+    )
+    model, baseline, recency = (ranked.where(F.col("scorer") == name) for name in ("model", "prior", "recency"))
     mart = metrics.model_metrics_mart(
-        metrics.classification_metrics(test, INACTIVE_LABEL, "inactive_risk90"),
-        metrics.classification_metrics(constant, INACTIVE_LABEL, "prior"),
-        modelling.recency_ranking(test),
+        model, baseline, recency,
         metrics.regression_metrics(test, "margin_next90", "expected_margin90"),
-        metrics.regression_metrics(constant, "margin_next90", "mean"),
+        metrics.regression_metrics(test.withColumn("mean", F.lit(mean)), "margin_next90", "mean"),
     )
     return rounded(mart, "value", "baseline", digits=4)
 
