@@ -9,7 +9,7 @@ partitions (times groups).
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -74,7 +74,9 @@ def running_totals(
     return joined.select(*df.columns, *[(F.col(f"_b_{n}") + F.col(f"_r_{n}")).alias(n) for n in totals])
 
 
-def rows_at_ranks(df: DataFrame, order: Sequence[Column], ranks_of: callable) -> tuple[int, dict[int, Row]]:
+def rows_at_ranks(
+    df: DataFrame, order: Sequence[Column], ranks_of: Callable[[int], Iterable[int]]
+) -> tuple[int, dict[int, Row]]:
     """The row count and the rows that stand at chosen ranks of the global order.
 
     ``ranks_of`` maps the row count to the wanted ranks; it must name a small
@@ -85,8 +87,7 @@ def rows_at_ranks(df: DataFrame, order: Sequence[Column], ranks_of: callable) ->
     pieces.sort(key=lambda piece: piece["_part"])
     total = sum(piece["rows"] for piece in pieces)
     places: dict[int, int] = {}
-    wanted: Iterable[int] = sorted(set(ranks_of(total)))
-    for rank in wanted:
+    for rank in sorted(set(ranks_of(total))):
         left = rank
         for piece in pieces:
             if left <= piece["rows"]:

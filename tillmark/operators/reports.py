@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import moment, month_number, month_text
-from ..functions.money import from_minor, ratio, sum_minor, wide_sum
+from ..functions.money import from_minor, wide_sum
 from . import measures as m
 
 
@@ -185,17 +185,3 @@ def scatter(scores: DataFrame, x: str, y: str, size: str | None = None, color: s
 
 def campaign_group_counts(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("experiment_group").agg(F.count("*").alias("customers"))
-
-
-def return_rate_by(events: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Return value, gross sales and their ratio under any grouping."""
-    sums = events.groupBy(*keys).agg(
-        (-sum_minor(F.col("net_minor"), F.col("event_type") == "return")).alias("returned"),
-        sum_minor(F.col("net_minor"), F.col("event_type") == "sale").alias("sold"),
-    )
-    return sums.select(
-        *keys,
-        from_minor(F.col("returned")).alias("return_value"),
-        from_minor(F.col("sold")).alias("gross_sale_value"),
-        ratio(F.col("returned"), F.col("sold")).alias("return_value_rate"),
-    )
