@@ -14,8 +14,8 @@ How it works
    exact; rarity only makes it cheap. The first ``n - ceil(t n) + 1`` shingles
    go out, once per class and task. Shingles whose cell is very full are salted.
 3. Shingles met by two classes form the posting lists. Classes are first tried
-   against one hub of each list, in two rounds with different hubs, which joins
-   large groups with a linear number of pairs. All remaining pairs of different
+   against one hub of each list, in rounds with different hubs, which joins large
+   groups with a linear number of pairs. All remaining pairs of different
    components that share a prefix shingle are then tried, without a cap.
 4. A pair is tried after length and positional filters and a bound from the
    number of shared prefix shingles. Verification applies a suffix filter and
@@ -46,6 +46,8 @@ from .components import components
 FREQUENCY_CELLS = 1 << 16
 # Cells fuller than this many times the mean have their shingles salted into parts of that size.
 SALT_ABOVE = 8
+# Rounds with hubs, while they find links, before all remaining pairs are tried.
+HUB_ROUNDS = 4
 
 
 def shingles(text: bytes, words_each: int = 5) -> np.ndarray:
@@ -188,27 +190,35 @@ class JaccardJoin:
         table = collect_counts(scanned.select("cell", "hits"), "cell", "hits", FREQUENCY_CELLS)
         prefixes = self.docs.mapInArrow(_scan_prefixes(words_each, percent, table), PREFIXES)
         lists = Window.partitionBy("token", "salt")
-        self.postings = stored(
+        met = stored(
             prefixes.withColumns({"hub": F.min("class").over(lists), "top": F.max("class").over(lists)})
             .where("hub <> top or salt > 0").drop("top").dropDuplicates(["token", "salt", "class"])
         )
+        # Shared prefix shingles of each class: no pair of it can share more.
+        self.sizes = stored(met.groupBy("class").agg(F.first("n").alias("n"), F.count("*").alias("m")))
+        self.postings = stored(met.join(self.sizes.select("class", "m"), "class"))
         self.links = self._links()
 
     def _links(self) -> DataFrame:
         self.roots = links = tried = None
-        for step in ("least", "hashed", "all"):
-            pairs = self._hub_pairs(step) if step != "all" else self._open_pairs()
+        step = 0
+        while True:
+            last = step > HUB_ROUNDS
+            pairs = self._open_pairs() if last else self._hub_pairs(step)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = stored(pairs)
             tried = pairs if tried is None else tried.union(pairs)
             found = self._verified(pairs)
-            if found is not None and not found.isEmpty():
+            none = found is None or found.isEmpty()
+            if not none:
                 # Roots stand for the links found before: a star has the same components.
                 edges = found if self.roots is None else found.union(self.roots.select("node", "root"))
                 self.roots = components(edges)
                 links = found if links is None else links.union(found)
-        return links
+            if last:
+                return links
+            step = HUB_ROUNDS + 1 if none and step else step + 1
 
     def _open_postings(self) -> DataFrame:
         """Postings of tokens that still meet in two or more components."""
@@ -220,8 +230,9 @@ class JaccardJoin:
         mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         return labelled.join(mixed.where("low <> high").select("token"), "token", "left_semi")
 
-    def _hub_pairs(self, step: str) -> DataFrame:
-        if step == "least":
+    def _hub_pairs(self, step: int) -> DataFrame:
+        """Each class with one hub of each list: first the least class, later one of the list's largest component."""
+        if not step:
             hubs = self.postings.where("salt > 0").groupBy("token").agg(F.min("hub").alias("chief"))
             within = self.postings.select(F.col("hub").alias("x"), F.col("class").alias("y"))
             across = self.postings.where("salt > 0").select("token", "hub").distinct().join(hubs, "token").select(
@@ -230,20 +241,33 @@ class JaccardJoin:
             pairs = within.union(across).where("x <> y")
         else:
             rows = stored(self._open_postings())
-            hubs = rows.groupBy("token").agg(
-                F.min(F.struct(F.xxhash64("class", "token"), F.col("class").alias("x"), F.col("component").alias("home"))).alias("hub")
-            ).select("token", "hub.x", "hub.home")
+            homes = rows.groupBy("token", "component").agg(
+                F.count("*").alias("held"), F.min(F.struct(F.xxhash64("class", "token", F.lit(step)), F.col("class").alias("x"))).alias("pick")
+            )
+            hubs = homes.groupBy("token").agg(F.max(F.struct("held", "component", "pick.x")).alias("hub")).select(
+                "token", "hub.x", F.col("hub.component").alias("home")
+            )
             pairs = rows.join(hubs, "token").where("component <> home").select("x", F.col("class").alias("y"))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        left = self.postings.select(F.col("class").alias("a"), "token", F.col("n").alias("n_a"), F.col("place").alias("i"))
-        right = self.postings.select(F.col("class").alias("b"), "token", F.col("n").alias("n_b"), F.col("place").alias("j"))
-        return self._promising(pairs.join(left, "a").join(right, ["b", "token"]))
+        for side in "ab":
+            pairs = pairs.join(self.sizes.select(*(F.col(c).alias(f"{c}_{side}") for c in ("class", "n", "m"))).withColumnRenamed(f"class_{side}", side), side)
+        pairs = pairs.where(self._room("least(m_a, m_b)")).select("a", "b")
+        return self._promising(
+            pairs.join(self._side("a", "i", self.postings), "a").join(self._side("b", "j", self.postings), ["b", "token"])
+        )
+
+    @staticmethod
+    def _side(side: str, place: str, rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(
+            "token", F.col("class").alias(side), F.col("place").alias(place), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "m", *more))
+        )
 
     def _open_pairs(self) -> DataFrame:
         rows = stored(self._open_postings())
-        x = rows.select("token", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("place").alias("i"), F.col("component").alias("home_a"))
-        y = rows.select("token", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("j"), F.col("component").alias("home_b"))
-        return self._promising(x.join(y, (x.token == y.token) & (x.a < y.b) & (x.home_a != y.home_b) & F.expr(self._near())))
+        x, y = self._side("a", "i", rows, "component"), self._side("b", "j", rows, "component")
+        return self._promising(x.join(y, (x.token == y.token) & F.expr(
+            f"a < b and component_a <> component_b and {self._near()} and {self._room('least(m_a, m_b)')}"
+        )))
 
     def _near(self) -> str:
         """Length filter, and the positional filter for a shingle at places i and j."""
@@ -253,8 +277,8 @@ class JaccardJoin:
             f"{100 + p} * (least(i, j) + cast(least(n_a - i, n_b - j) as bigint)) >= {p} * (cast(n_a as bigint) + n_b)"
         )
 
-    def _promising(self, met: DataFrame) -> DataFrame:
-        """Pairs whose shared prefix shingles leave room for the needed intersection.
+    def _room(self, shared: str) -> str:
+        """Length filter, and whether so many shared prefix shingles leave room for the needed intersection.
 
         Shared shingles beyond the prefixes lie beyond the end of the shorter-ending
         prefix of one side, so at most ``ceil(t n) - 1`` of them exist.
@@ -262,11 +286,15 @@ class JaccardJoin:
         p = self.percent
         beyond = f"cast(floor(({p} * cast(greatest(n_a, n_b) as bigint) + 99) / 100) as bigint) - 1"
         return (
-            met.where(self._near()).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
-            .where(f"{100 + p} * (shared + {beyond}) >= {p} * (cast(n_a as bigint) + n_b)")
-            .select("a", "b")
+            f"100 * cast(least(n_a, n_b) as bigint) >= {p} * cast(greatest(n_a, n_b) as bigint) and "
+            f"{100 + p} * ({shared} + {beyond}) >= {p} * (cast(n_a as bigint) + n_b)"
         )
 
+    def _promising(self, met: DataFrame) -> DataFrame:
+        """Pairs (a, b) that share enough prefix shingles."""
+        counted = met.where(self._near()).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared"))
+        return counted.where(self._room("shared")).select("a", "b")
+
     def _verified(self, pairs: DataFrame) -> DataFrame | None:
         """Pairs (a, b) that reach the similarity; None when there is nothing to try."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
