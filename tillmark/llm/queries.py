@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, near_duplicates, personal_data, pieces, quality
+from . import decontamination, language, near_duplicates, personal_data, pieces, quality, secrets, url_rules, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents", "doc_id", "text")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_held_out(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find_personal_data(documents(spark, sf_dir))
 
@@ -24,10 +28,23 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(documents(spark, sf_dir), read(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_and_read(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(read(spark, sf_dir, "pages", "page_id", "url"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(documents(spark, sf_dir))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(documents(spark, sf_dir))
 
@@ -39,19 +56,42 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_personal_data, op3_quality_rules, op5_sentencepiece, op9_near_duplicates, op10_decontamination)
+    for f in (
+        op1_language, op2_personal_data, op3_quality_rules, op4_warc, op5_sentencepiece, op6_url_rules, op8_secrets,
+        op9_near_duplicates, op10_decontamination,
+    )
 }
 
 # Words after folding A-Z; the word patterns are fixed by the operators.
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), q AS (SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest, sha256(body) AS k FROM p
+), r AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY k) ELSE page_id END AS chosen FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = chosen THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = chosen THEN NULL ELSE chosen END AS refers_to FROM r
+""",
+    "op6_url_rules": """
+WITH r AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r
+), l(h, s, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), f AS (
+  SELECT page_id, arg_max(h || s, length(h || s)) AS rule, arg_max(v, length(h || s)) AS v FROM p, l
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN f USING (page_id)
+""",
     "op9_near_duplicates": f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({_FOLD}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
 ), sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s FROM words
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM words
 ), rows_ AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
 ), met AS (
   SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS shared FROM rows_ a JOIN rows_ b ON a.g = b.g AND a.doc_id <> b.doc_id
