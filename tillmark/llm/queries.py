@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, near_duplicates, personal_data, pieces, quality, secrets, url_rules, warc
+from . import decontamination, language, language_model, near_duplicates, personal_data, pieces, quality, secrets, url_rules, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(documents(spark, sf_dir))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, sf_dir))
 
@@ -57,8 +61,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_language, op2_personal_data, op3_quality_rules, op4_warc, op5_sentencepiece, op6_url_rules, op8_secrets,
-        op9_near_duplicates, op10_decontamination,
+        op1_language, op2_personal_data, op3_quality_rules, op4_warc, op5_sentencepiece, op6_url_rules, op7_language_model,
+        op8_secrets, op9_near_duplicates, op10_decontamination,
     )
 }
 
