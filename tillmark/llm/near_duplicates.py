@@ -48,6 +48,8 @@ FREQUENCY_CELLS = 1 << 16
 SALT_ABOVE = 8
 # Rounds with hubs, while they find links, before all remaining pairs are tried.
 HUB_ROUNDS = 4
+# Classes with at most this many open shingles carry their hashes into the last join.
+SHORT_LIST = 256
 
 
 def shingles(text: bytes, words_each: int = 5) -> np.ndarray:
@@ -263,10 +265,20 @@ class JaccardJoin:
         )
 
     def _open_pairs(self) -> DataFrame:
-        rows = stored(self._open_postings())
-        x, y = self._side("a", "i", rows, "component"), self._side("b", "j", rows, "component")
+        rows = self._open_postings()
+        # Short lists of token hashes let the join itself bound what a pair shares. Equal hashes
+        # within a list are made up for by ``slack``; long lists are left out, and m bounds instead.
+        lists = rows.groupBy("class").agg(F.collect_set(F.hash("token")).alias("list"), F.count("*").alias("m_open"))
+        short = F.col("m_open") <= SHORT_LIST
+        lists = lists.select(
+            "class", "m_open", F.when(short, F.col("list")).alias("list"), (F.col("m_open") - F.size("list")).alias("slack")
+        )
+        rows = stored(rows.drop("m").join(lists, "class").withColumnRenamed("m_open", "m"))
+        x = self._side("a", "i", rows, "component", "list", "slack")
+        y = self._side("b", "j", rows, "component", "list", "slack")
+        shared = "if(list_a is null or list_b is null, least(m_a, m_b), size(array_intersect(list_a, list_b)) + slack_a)"
         return self._promising(x.join(y, (x.token == y.token) & F.expr(
-            f"a < b and component_a <> component_b and {self._near()} and {self._room('least(m_a, m_b)')}"
+            f"a < b and component_a <> component_b and {self._near()} and {self._room('least(m_a, m_b)')} and {self._room(shared)}"
         )))
 
     def _near(self) -> str:
