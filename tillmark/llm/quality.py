@@ -31,8 +31,9 @@ CELL_BITS = 16
 CELLS = 1 << CELL_BITS
 GRAM = 4
 TRUSTED_ROWS = 20_000
-# Nats per n-gram. Running text of the trusted kind scores about 0 or more.
-THRESHOLD = -0.2
+# Nats per n-gram. Running text of the trusted kind scores about 0, a little less where its
+# language is rare among the trusted rows; markup, shouting and symbol litter score below -0.7.
+THRESHOLD = -0.45
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 
 # Characters that count as symbols.

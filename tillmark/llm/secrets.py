@@ -75,9 +75,9 @@ def _of_strings(strings):
 
 def _walk(nodes) -> tuple[list[str] | None, object]:
     """(all strings the nodes can match, if few; query for what they must hold)."""
-    queries, run = [], [""]
+    queries, run, certain = [], [""], True
     for code, value in nodes:
-        strings, query = None, None
+        strings, query, ends = None, None, False
         if code is op.LITERAL:
             strings = [chr(value).lower()]
         elif code is op.SUBPATTERN:
@@ -92,7 +92,7 @@ def _walk(nodes) -> tuple[list[str] | None, object]:
             if held is not None and high == 1 and low == 0:
                 strings = ["", *held]
             elif low:
-                query = inside if held is None else _of_strings(held)
+                strings, query, ends = held, inside, high != 1  # one copy follows for sure, then more may
         elif code is op.IN and all(c is op.LITERAL for c, _ in value):
             strings = [chr(c).lower() for _, c in value]
         elif code in (op.AT, op.ASSERT, op.ASSERT_NOT):
@@ -101,8 +101,12 @@ def _walk(nodes) -> tuple[list[str] | None, object]:
             run = list(dict.fromkeys(a + b for a in run for b in strings))
         else:
             queries += [_of_strings(run), query if strings is None else _of_strings(strings)]
-            run = [""]
-    if not any(q is not None for q in queries) and len(queries) == 0:
+            run, ends = [""], False
+            certain = False
+        if ends:
+            queries.append(_of_strings(run))
+            run, certain = [""], False
+    if certain:
         return run, None
     return None, _both([*queries, _of_strings(run)])
 
