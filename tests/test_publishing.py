@@ -86,11 +86,37 @@ def test_every_contract_measure_has_an_aggregate():
 def test_contract():
     contract = {name: marts.contract_columns(ddl) for name, ddl in marts.REVENUE_CONTRACT.items()}
     bindings = ["dim_date.year_month", "[Net Revenue]", "customer_scores.segment"]
-    assert constraints.contract_errors(contract, marts.RELATIONSHIPS, bindings, list(measures.REVENUE_MEASURES)) == []
-    errors = constraints.contract_errors(
-        {"a": ["x", "x"], "b": ["y"]}, [("a.x", "b.z")], ["[Missing]", "b.q"], [], {"b": ["z"]}
+    names = list(measures.REVENUE_MEASURES)
+    assert constraints.contract_findings(contract, marts.RELATIONSHIPS, bindings, names, listed_tables=list(contract), listed_measures=names) == []
+    found = constraints.contract_findings(
+        {"a": ["x", "x"], "b": ["y"]}, [("a.x", "b.z")], ["[Missing]", "b.q"], ["Known"], {"b": ["z"]}, ["a", "a", "b"],
+        ["Known", "Lost"], {"Overview": ["card"], "Detail": []},
     )
-    assert len(errors) == 6
+    assert [rule for rule, _, _ in found] == [
+        "bare page", "missing mart", "other header", "repeated column", "repeated table", "undefined measure", "unknown binding",
+        "unknown binding", "unknown relationship end",
+    ]
+
+
+def test_top_products_keep_their_order_and_unknown_products(spark):
+    from tillmark.operators.reports import top_products
+
+    lines = spark.createDataFrame([(f"p{i}", 100 * i) for i in range(1, 12)], "product_id string, net_minor bigint")
+    names = spark.createDataFrame([(f"p{i}", f"n{i}") for i in range(1, 10)], "product_id string, product_name string")
+    found = [(r["product_id"], r["product_name"]) for r in top_products(lines, names).collect()]
+    assert found == [("p11", None), ("p10", None)] + [(f"p{i}", f"n{i}") for i in range(9, 3, -1)]
+
+
+def test_manifest_names_files_in_folders(spark, tmp_path):
+    from tillmark.sources.files import input_manifest
+
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "b" / "x.csv").write_text("1")
+    (tmp_path / "a" / "x.csv").write_text("2")
+    assert {r["file_name"] for r in input_manifest(spark, str(tmp_path)).collect()} == {"a/b/x.csv", "a/x.csv"}
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="No file"):
+        input_manifest(spark, str(tmp_path / "none"))
 
 
 def test_violations(spark):
@@ -145,8 +171,8 @@ def test_json_refuses_nan(spark, tmp_path):
     with pytest.raises(ValueError, match="NaN"):
         marts.write_json(spark.createDataFrame([(float("nan"),)], "x double"), str(tmp_path / "j"))
     marts.write_json(spark.createDataFrame([("İ", None)], "t string, x double"), str(tmp_path / "ok"))
-    part = next(f for f in os.listdir(tmp_path / "ok") if f.endswith(".json"))
-    assert json.loads(open(tmp_path / "ok" / part, encoding="utf-8").read()) == {"t": "İ", "x": None}
+    lines = [x for f in (tmp_path / "ok").glob("*.json") for x in f.read_text(encoding="utf-8").splitlines()]
+    assert [json.loads(x) for x in lines] == [{"t": "İ", "x": None}]
 
 
 def test_calendar(events):

@@ -49,7 +49,13 @@ def cohort_retention(events: DataFrame, cutoff: str) -> DataFrame:
     )
 
 
-def cohort_matrix(retention: DataFrame, ages: Sequence[int]) -> DataFrame:
-    """Cohorts as rows, ages as columns ``age_n``; cells that do not exist stay null."""
+def cohort_matrix(retention: DataFrame, ages: Sequence[int] | None = None) -> DataFrame:
+    """Cohorts as rows, ages as columns ``age_n``; cells that do not exist stay null.
+
+    Without ``ages`` every age from 0 to the largest in the table gets a column.
+    """
+    if ages is None:
+        oldest = retention.agg(F.max("month_index")).first()[0]
+        ages = range(0 if oldest is None else oldest + 1)
     wide = retention.groupBy("cohort").pivot("month_index", list(ages)).agg(F.max("retention_rate"))
     return wide.select("cohort", *[F.col(str(age)).alias(f"age_{age}") for age in ages])

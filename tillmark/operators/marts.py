@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import spreadsheet_safe
 from ..sources.files import write_delimited
-from .constraints import contract_errors
+from .constraints import contract_findings
 
 # Ordered columns and types of the revenue-track report contract.
 REVENUE_CONTRACT = {
@@ -178,7 +178,7 @@ def contract_report(tables: Mapping[str, DataFrame], contract: Mapping[str, str]
     """Per mart: rows, null cells in key columns and whether the header equals the contract."""
     report = None
     for name, df in tables.items():
-        header = contract_errors({name: contract_columns(contract[name])}, [], actual={name: df.columns}) == []
+        header = not contract_findings({name: contract_columns(contract[name])}, actual={name: df.columns})
         keys = [c for c in PRIMARY_KEYS.get(name, ()) if c in df.columns]
         nulls = [F.count(F.when(F.col(k).isNull(), 1)) for k in keys]
         total = F.lit(0).cast("bigint")

@@ -60,12 +60,11 @@ def by_product_attribute(events: DataFrame, products: DataFrame, attributes: Seq
 
 
 def top_products(events: DataFrame, products: DataFrame, count: int = 8) -> DataFrame:
-    """Products of highest net revenue, lowest id first on ties."""
+    """Products of highest net revenue in that order, lowest id first on ties; unknown products have no name."""
     per_product = events.groupBy("product_id").agg(F.sum("net_minor").alias("net_minor"))
     best = per_product.orderBy(F.desc("net_minor"), "product_id").limit(count)
-    return best.join(products.select("product_id", "product_name"), "product_id").select(
-        "product_id", "product_name", from_minor(F.col("net_minor")).alias("net_revenue")
-    )
+    named = best.join(products.select("product_id", "product_name"), "product_id", "left").orderBy(F.desc("net_minor"), "product_id")
+    return named.select("product_id", "product_name", from_minor(F.col("net_minor")).alias("net_revenue"))
 
 
 def portfolio_totals(events: DataFrame) -> DataFrame:

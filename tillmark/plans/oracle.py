@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import campaign, rfm
-from .registry import COHORT_AGES, CONFIG, LIMITS, PERIOD
+from .registry import CONFIG, LIMITS, PERIOD
 
 
 def _r2(x: str) -> str:
@@ -760,9 +760,8 @@ SELECT customer_id, r_score, f_score, m_score FROM segmented""",
     "rfm_quintile_segments": f"""WITH {_panel([TEST], revenue=True)},{QUINTILES}
 SELECT customer_id, snapshot_date, rfm_score, segment FROM segmented""",
     "cohort_retention": f"WITH {EV},{COHORTS} SELECT * FROM retention",
-    "cohort_matrix": f"WITH {EV},{COHORTS} SELECT cohort, " + ", ".join(
-        f"round(max(CASE WHEN month_index = {age} THEN retention_rate END), 6) AS age_{age}" for age in COHORT_AGES
-    ) + " FROM retention GROUP BY cohort",
+    "cohort_matrix": f"PIVOT (WITH {EV},{COHORTS} SELECT cohort, 'age_' || month_index AS age, retention_rate FROM retention) "
+    "ON age USING round(max(retention_rate), 6) GROUP BY cohort",
     "customer_affinity": f"WITH {EV},{PRODUCTS},{FAVOURITES} SELECT * FROM favourites",
     "top_product": f"{REVENUE_SCORES} SELECT * FROM tops",
     "ltv_scenario": f"WITH {_portfolio(SCORE)} SELECT customer_id, expected_margin90, ltv_3year_scenario FROM scores",

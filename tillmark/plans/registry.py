@@ -33,7 +33,6 @@ CONFIG = RunConfig(
 LIMITS = rfm.Thresholds(frequency=(4, 3, 2, 1), money=(400000, 250000, 150000, 50000))
 PERIOD = ("2000-01-01", "2001-01-01")
 RETURN_FIELDS = ("customer_record_id", "order_id")
-COHORT_AGES = tuple(range(79))
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -586,9 +585,8 @@ def cohort_retention(spark, root):
 
 
 def cohort_matrix(spark, root):
-    return rounded(
-        cohort.cohort_matrix(cohort_retention(spark, root), COHORT_AGES), *[f"age_{age}" for age in COHORT_AGES]
-    )
+    matrix = cohort.cohort_matrix(checkpoint(cohort_retention(spark, root)))
+    return rounded(matrix, *[c for c in matrix.columns if c != "cohort"])
 
 
 def customer_affinity(spark, root):

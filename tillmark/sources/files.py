@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,10 +49,18 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", quote_all: bool =
 
 
 def input_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """File name, length and SHA-256 of every file below ``path``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+    """Name below ``path``, length and SHA-256 of every file there, sub-folders included.
+
+    Raises when there is no file. A file is one row, so each must be below 2 GiB.
+    """
+    files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(path)
+    if files.select("path").isEmpty():
+        raise ValueError(f"No file below {path}.")
+    root = re.sub("^[a-z0-9]+:(//[^/]*)?", "", path).rstrip("/") + "/"
+    inside = F.instr("path", root)
+    below = F.when(inside > 0, F.expr("substring(path, start + width)")).otherwise(F.element_at(F.split("path", "/"), -1))
+    return files.withColumns({"start": inside, "width": F.lit(len(root))}).select(
+        below.alias("file_name"),
         F.col("length").alias("file_bytes"),
         F.sha2("content", 256).alias("sha256"),
     )
