@@ -32,6 +32,7 @@ an empty result; null ids stay rows and never represent a group that has an id.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,10 +47,11 @@ from .components import components
 FREQUENCY_CELLS = 1 << 16
 # Cells fuller than this many times the mean have their shingles salted into parts of that size.
 SALT_ABOVE = 8
-# Rounds with hubs, while they find links, before all remaining pairs are tried.
+# Rounds with hubs before all remaining pairs are tried, while a round adds one link to every so many found before.
 HUB_ROUNDS = 4
-# Classes with at most this many open shingles carry their hashes into the last join.
-SHORT_LIST = 256
+HUB_GAIN = 10
+# 64-bit words of the signature that bounds what two classes share in the last join.
+SIGNATURE_WORDS = 8
 
 
 def shingles(text: bytes, words_each: int = 5) -> np.ndarray:
@@ -137,10 +139,13 @@ def _scan_prefixes(words_each: int, percent: int, table: np.ndarray):
 
 
 def _scan_members(words_each: int):
+    """Texts of the wanted classes; a row that shares the id of a member but not its set is passed over."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [shingles(text, words_each).tobytes() for text in raw_texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(found, pa.binary())], ["class", "members"])
+            sets = (shingles(text, words_each) for text in raw_texts(batch))
+            same = [len(found) > 0 and _set_key(found) == key for found, key in zip(sets, batch.column("class").to_pylist())]
+            yield batch.select(["class", "text"]).filter(pa.array(same, pa.bool_()))
 
     return run
 
@@ -157,12 +162,15 @@ def distance_floor(x: np.ndarray, y: np.ndarray, depth: int = 2) -> int:
     )
 
 
-def _verify(percent: int):
+def _verify(words_each: int, percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text_a"):
             kept = []
-            for x, y in zip(batch.column("members_a").to_pylist(), batch.column("members_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            # Texts travel, since they compress and hashes do not; a hub's set is made once per slice.
+            sets: dict[bytes, np.ndarray] = {}
+            for x, y in zip(raw_texts(batch, "text_a"), raw_texts(batch, "text_b")):
+                x = sets[x] if x in sets else sets.setdefault(x, shingles(x, words_each))
+                y = shingles(y, words_each)
                 total = len(x) + len(y)
                 # 100 i >= p (total - i), and i = (total - distance) / 2
                 if (100 + percent) * (total - distance_floor(x, y)) < 2 * percent * total:
@@ -216,21 +224,24 @@ class JaccardJoin:
             if not none:
                 # Roots stand for the links found before: a star has the same components.
                 edges = found if self.roots is None else found.union(self.roots.select("node", "root"))
-                self.roots = components(edges)
+                self.roots = stored(components(edges))
                 links = found if links is None else links.union(found)
             if last:
                 return links
-            step = HUB_ROUNDS + 1 if none and step else step + 1
+            spent = none or HUB_GAIN * found.count() < links.count()
+            step = HUB_ROUNDS + 1 if spent and step else step + 1
 
     def _open_postings(self) -> DataFrame:
-        """Postings of tokens that still meet in two or more components."""
+        """Postings of tokens that still meet in two or more components; others never open again."""
         if self.roots is None:
             labelled = self.postings.withColumn("component", F.col("class"))
         else:
             roots = self.roots.withColumnRenamed("node", "class")
             labelled = self.postings.join(roots, "class", "left").withColumn("component", F.coalesce("root", "class")).drop("root")
         mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        return labelled.join(mixed.where("low <> high").select("token"), "token", "left_semi")
+        rows = stored(labelled.join(mixed.where("low <> high").select("token"), "token", "left_semi"))
+        self.postings = rows.drop("component")
+        return rows
 
     def _hub_pairs(self, step: int) -> DataFrame:
         """Each class with one hub of each list: first the least class, later one of the list's largest component."""
@@ -242,7 +253,7 @@ class JaccardJoin:
             )
             pairs = within.union(across).where("x <> y")
         else:
-            rows = stored(self._open_postings())
+            rows = self._open_postings()
             homes = rows.groupBy("token", "component").agg(
                 F.count("*").alias("held"), F.min(F.struct(F.xxhash64("class", "token", F.lit(step)), F.col("class").alias("x"))).alias("pick")
             )
@@ -253,33 +264,42 @@ class JaccardJoin:
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         for side in "ab":
             pairs = pairs.join(self.sizes.select(*(F.col(c).alias(f"{c}_{side}") for c in ("class", "n", "m"))).withColumnRenamed(f"class_{side}", side), side)
-        pairs = pairs.where(self._room("least(m_a, m_b)")).select("a", "b")
+        pairs = stored(pairs.where(self._room("least(m_a, m_b)")).select("a", "b"))
         return self._promising(
             pairs.join(self._side("a", "i", self.postings), "a").join(self._side("b", "j", self.postings), ["b", "token"])
         )
 
     @staticmethod
-    def _side(side: str, place: str, rows: DataFrame, *more: str) -> DataFrame:
+    def _side(side: str, place: str, rows: DataFrame) -> DataFrame:
         return rows.select(
-            "token", F.col("class").alias(side), F.col("place").alias(place), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "m", *more))
+            "token", F.col("class").alias(side), F.col("place").alias(place), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "m"))
         )
 
     def _open_pairs(self) -> DataFrame:
         rows = self._open_postings()
-        # Short lists of token hashes let the join itself bound what a pair shares. Equal hashes
-        # within a list are made up for by ``slack``; long lists are left out, and m bounds instead.
-        lists = rows.groupBy("class").agg(F.collect_set(F.hash("token")).alias("list"), F.count("*").alias("m_open"))
-        short = F.col("m_open") <= SHORT_LIST
-        lists = lists.select(
-            "class", "m_open", F.when(short, F.col("list")).alias("list"), (F.col("m_open") - F.size("list")).alias("slack")
-        )
-        rows = stored(rows.drop("m").join(lists, "class").withColumnRenamed("m_open", "m"))
-        x = self._side("a", "i", rows, "component", "list", "slack")
-        y = self._side("b", "j", rows, "component", "list", "slack")
-        shared = "if(list_a is null or list_b is null, least(m_a, m_b), size(array_intersect(list_a, list_b)) + slack_a)"
-        return self._promising(x.join(y, (x.token == y.token) & F.expr(
-            f"a < b and component_a <> component_b and {self._near()} and {self._room('least(m_a, m_b)')} and {self._room(shared)}"
-        )))
+        # One bit per token lets the join itself bound what a pair shares: a shared token has its
+        # bit on both sides, and ``slack`` makes up for tokens of a class that fall on one bit.
+        words = [f"word{k}" for k in range(SIGNATURE_WORDS)]
+        signatures = rows.groupBy("class").agg(F.count("*").alias("m"), *(
+            F.expr(
+                f"bit_or(if((shiftright(token, 6) & {SIGNATURE_WORDS - 1}) = {k}, shiftleft(1L, cast(token & 63 as int)), 0L))"
+            ).alias(word) for k, word in enumerate(words)
+        )).withColumn("slack", F.col("m") - F.expr(" + ".join(f"bit_count({w})" for w in words)))
+        rows = stored(rows.select("token", "class", "n", "place", "component").join(signatures, "class"))
+        # Both sides are the same rows under the same names, so that they are dealt out once.
+        shared = " + ".join(f"bit_count(a.{w} & b.{w})" for w in words) + " + least(a.slack, b.slack)"
+        names = {"n_a": "a.n", "n_b": "b.n", "i": "a.place", "j": "b.place", "m_a": "a.m", "m_b": "b.m"}
+
+        def sided(condition: str) -> str:
+            return re.sub(r"\b(n_a|n_b|i|j|m_a|m_b)\b", lambda found: names[found[0]], condition)
+
+        met = rows.alias("a").join(rows.alias("b"), F.expr(
+            "a.token = b.token and a.class < b.class and a.component <> b.component and "
+            + sided(f"{self._near()} and {self._room('least(m_a, m_b)')} and {self._room(f'least(m_a, m_b, {shared})')}")
+        ))
+        return self._promising(met.selectExpr(
+            "a.class as a", "b.class as b", *(f"{column} as {name}" for name, column in names.items())
+        ))
 
     def _near(self) -> str:
         """Length filter, and the positional filter for a shingle at places i and j."""
@@ -313,14 +333,16 @@ class JaccardJoin:
         ids = stored(wanted.join(self.classes, "class").select(F.col("first_id").alias("doc_id"), "class"))
         if ids.isEmpty():
             return None
-        sets = stored(with_ids(self.docs, ids, "inner").select("class", "text").mapInArrow(
-            _scan_members(self.words_each), "class bigint, members binary"
-        ).dropDuplicates(["class"]))
+        texts = stored(with_ids(self.docs, ids, "inner").select("class", "text").mapInArrow(
+            _scan_members(self.words_each), "class bigint, text string"
+        ))
+        if texts.count() > ids.count():  # repeated rows
+            texts = stored(texts.dropDuplicates(["class"]))
         met = (
-            pairs.join(sets.select(F.col("class").alias("a"), F.col("members").alias("members_a")), "a")
-            .join(sets.select(F.col("class").alias("b"), F.col("members").alias("members_b")), "b")
+            pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
+            .join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
         )
-        return stored(met.mapInArrow(_verify(self.percent), "a bigint, b bigint"))
+        return stored(met.mapInArrow(_verify(self.words_each, self.percent), "a bigint, b bigint"))
 
     def documents(self) -> DataFrame:
         """(doc_id, n_shingles, component_id) for every row of the input."""
