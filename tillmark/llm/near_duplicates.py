@@ -13,7 +13,8 @@ How it works
    then by hash. Any order shared by all documents makes prefix filtering
    exact; rarity only makes it cheap. The first ``n - ceil(t n) + 1`` shingles
    go out, once per class and task. Shingles whose cell is very full are salted.
-3. Shingles met by two classes form the posting lists. Classes are first tried
+3. Shingles met by two classes form the posting lists. In a list of two rows the
+   filters of step 4 apply at once. Classes are first tried
    against one hub of each list, in rounds with different hubs, which joins large
    groups with a linear number of pairs. All remaining pairs of different
    components that share a prefix shingle are then tried, without a cap.
@@ -49,7 +50,9 @@ FREQUENCY_CELLS = 1 << 16
 SALT_ABOVE = 8
 # Rounds with hubs before all remaining pairs are tried, while a round adds one link to every so many found before.
 HUB_ROUNDS = 4
-HUB_GAIN = 10
+HUB_GAIN = 4
+# Times the rows of lists of two are tried against the counts of their classes.
+MATE_ROUNDS = 2
 # 64-bit words of the signature that bounds what two classes share in the last join.
 SIGNATURE_WORDS = 8
 
@@ -185,6 +188,11 @@ def _verify(words_each: int, percent: int):
     return run
 
 
+def sided(condition: str, **names: str) -> str:
+    """A filter on n_a, n_b, i, j, m_a, m_b with other expressions in their places."""
+    return re.sub(r"\b(n_a|n_b|i|j|m_a|m_b)\b", lambda found: names[found[0]], condition)
+
+
 class JaccardJoin:
     """The join over one table of documents; ``links`` and ``classes`` are the results."""
 
@@ -200,13 +208,24 @@ class JaccardJoin:
         table = collect_counts(scanned.select("cell", "hits"), "cell", "hits", FREQUENCY_CELLS)
         prefixes = self.docs.mapInArrow(_scan_prefixes(words_each, percent, table), PREFIXES)
         lists = Window.partitionBy("token", "salt")
-        met = stored(
-            prefixes.withColumns({"hub": F.min("class").over(lists), "top": F.max("class").over(lists)})
-            .where("hub <> top or salt > 0").drop("top").dropDuplicates(["token", "salt", "class"])
+        # In a list of two rows the other one is known: its length and place are the sums less the own.
+        prefixes = prefixes.withColumns({
+            "hub": F.min("class").over(lists), "top": F.max("class").over(lists), "rows": F.count("*").over(lists),
+            "n_all": F.sum("n").over(lists), "places": F.sum("place").over(lists),
+        }).withColumn("mate_n", F.when(F.col("rows") == 2, F.col("n_all") - F.col("n")))
+        near = sided(self._near(), n_a="n", n_b="mate_n", i="place", j="(places - place)")
+        met = (
+            prefixes.where(f"salt > 0 or hub <> top and (mate_n is null or {near})")
+            .drop("top", "rows", "n_all", "places").dropDuplicates(["token", "salt", "class"])
         )
-        # Shared prefix shingles of each class: no pair of it can share more.
-        self.sizes = stored(met.groupBy("class").agg(F.first("n").alias("n"), F.count("*").alias("m")))
-        self.postings = stored(met.join(self.sizes.select("class", "m"), "class"))
+        # Shared prefix shingles of each class: no pair of it can share more. Rows in lists of two
+        # that leave no room even so are dropped, which lowers the counts again.
+        room = sided(self._room("m"), n_a="n", n_b="mate_n")
+        held = F.count("*").over(Window.partitionBy("class"))
+        for _ in range(MATE_ROUNDS):
+            met = met.withColumn("m", held).where(f"salt > 0 or mate_n is null or {room}")
+        self.postings = stored(met.drop("mate_n").withColumn("m", held))
+        self.sizes = stored(self.postings.groupBy("class").agg(F.first("n").alias("n"), F.first("m").alias("m")))
         self.links = self._links()
 
     def _links(self) -> DataFrame:
@@ -244,7 +263,7 @@ class JaccardJoin:
         return rows
 
     def _hub_pairs(self, step: int) -> DataFrame:
-        """Each class with one hub of each list: first the least class, later one of the list's largest component."""
+        """Each class with one hub of each list: first the least class, later one drawn from the list."""
         if not step:
             hubs = self.postings.where("salt > 0").groupBy("token").agg(F.min("hub").alias("chief"))
             within = self.postings.select(F.col("hub").alias("x"), F.col("class").alias("y"))
@@ -254,13 +273,16 @@ class JaccardJoin:
             pairs = within.union(across).where("x <> y")
         else:
             rows = self._open_postings()
-            homes = rows.groupBy("token", "component").agg(
-                F.count("*").alias("held"), F.min(F.struct(F.xxhash64("class", "token", F.lit(step)), F.col("class").alias("x"))).alias("pick")
+            # A row drawn by hash lies in a component as often as the component has rows in the list.
+            pick = F.struct(F.xxhash64("class", "token", F.lit(step)), F.col("component").alias("home"), F.col("class").alias("x"), "n", "place", "m")
+            hubs = rows.groupBy("token").agg(F.min(pick).alias("pick")).select("token", "pick.home", "pick.x", "pick.n", "pick.place", "pick.m")
+            fits = sided(
+                f"{self._near()} and {self._room('least(m_a, m_b)')}",
+                n_a="a.n", n_b="b.n", i="a.place", j="b.place", m_a="a.m", m_b="b.m",
             )
-            hubs = homes.groupBy("token").agg(F.max(F.struct("held", "component", "pick.x")).alias("hub")).select(
-                "token", "hub.x", F.col("hub.component").alias("home")
-            )
-            pairs = rows.join(hubs, "token").where("component <> home").select("x", F.col("class").alias("y"))
+            pairs = rows.alias("a").join(
+                hubs.alias("b"), F.expr(f"a.token = b.token and a.component <> b.home and {fits}")
+            ).select("b.x", F.col("a.class").alias("y"))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         for side in "ab":
             pairs = pairs.join(self.sizes.select(*(F.col(c).alias(f"{c}_{side}") for c in ("class", "n", "m"))).withColumnRenamed(f"class_{side}", side), side)
@@ -290,12 +312,11 @@ class JaccardJoin:
         shared = " + ".join(f"bit_count(a.{w} & b.{w})" for w in words) + " + least(a.slack, b.slack)"
         names = {"n_a": "a.n", "n_b": "b.n", "i": "a.place", "j": "b.place", "m_a": "a.m", "m_b": "b.m"}
 
-        def sided(condition: str) -> str:
-            return re.sub(r"\b(n_a|n_b|i|j|m_a|m_b)\b", lambda found: names[found[0]], condition)
-
         met = rows.alias("a").join(rows.alias("b"), F.expr(
             "a.token = b.token and a.class < b.class and a.component <> b.component and "
-            + sided(f"{self._near()} and {self._room('least(m_a, m_b)')} and {self._room(f'least(m_a, m_b, {shared})')}")
+            + sided(
+                f"{self._near()} and {self._room('least(m_a, m_b)')} and {self._room(f'least(m_a, m_b, {shared})')}", **names
+            )
         ))
         return self._promising(met.selectExpr(
             "a.class as a", "b.class as b", *(f"{column} as {name}" for name, column in names.items())
