@@ -63,6 +63,13 @@ def test_empty_table_and_null_ids(spark):
     )
 
 
+def test_rows_that_share_an_id_keep_their_own_texts(spark):
+    base = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(base)), (1, " ".join(reversed(base))), (1, " ".join(base)), (2, " ".join(base + ["more"]))]
+    found = nd.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == [(1, 36, 1)] * 3 + [(2, 37, 1)]
+
+
 def test_keep_one_keeps_columns_and_reduces_repeats(spark):
     rows = [(3, "a b c d e f g", 1), (1, "a b c d e f g", 2), (9, "", 3), (9, "", 3), (4, None, 4)]
     kept = nd.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, class int"))

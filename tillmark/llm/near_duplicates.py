@@ -252,11 +252,12 @@ class JaccardJoin:
 
     def _open_postings(self) -> DataFrame:
         """Postings of tokens that still meet in two or more components; others never open again."""
+        postings = self.postings.select("token", "class", "n", "place", "m")
         if self.roots is None:
-            labelled = self.postings.withColumn("component", F.col("class"))
+            labelled = postings.withColumn("component", F.col("class"))
         else:
             roots = self.roots.withColumnRenamed("node", "class")
-            labelled = self.postings.join(roots, "class", "left").withColumn("component", F.coalesce("root", "class")).drop("root")
+            labelled = postings.join(roots, "class", "left").withColumn("component", F.coalesce("root", "class")).drop("root")
         mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         rows = stored(labelled.join(mixed.where("low <> high").select("token"), "token", "left_semi"))
         self.postings = rows.drop("component")
