@@ -208,6 +208,23 @@ def test_contamination_by_brute_force(spark):
     assert set(kept) == {1, 4, 5} and kept[1]["text"].split() == ["x"] * 500
 
 
+def test_contamination_with_more_items_than_one_automaton_holds(spark, monkeypatch):
+    w = [f"w{i}" for i in range(200)]
+    items = [("a", " ".join(w[:60])), ("b", " ".join(w[50:75])), ("a", "p q r"), (None, "q r s"), ("c", " ".join(w[100:130])), ("d", ""), ("e", " ".join(w[62:80]))]
+    texts = [" ".join(w), " ".join(w[30:78] + ["z"] * 20), "x p q r s x " * 3, " ".join(["z"] * 900 + w[40:70] + ["z"] * 90), None, "", "z z"]
+    docs = spark.createDataFrame([*enumerate(texts), (1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[0])], "doc_id bigint, text string").repartition(3)
+    table = spark.createDataFrame(items, "item_id string, text string").coalesce(1)
+
+    def results():
+        return tuple(sorted(map(str, f(docs, table).collect())) for f in (decontamination.find_contamination, decontamination.decontaminate))
+
+    whole = results()
+    for most in (13, 20, 70):
+        monkeypatch.setattr(decontamination, "MAX_ITEM_WORDS", most)
+        assert len(list(decontamination.item_blocks(table))) > 1
+        assert results() == whole
+
+
 def test_url_rules_by_brute_force(spark):
     hosts = ["net", "a.net", "anet", "Example.NET", "b.example.net", "example.com", "x.example.com", "org", "q.org", "com", "", ".net", "a.net."]
     urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/en/", "/en", "/de/x?y", "/fr/#z", "?/fr/")] + [None, "", "net/", "a://b://c"]

@@ -7,9 +7,12 @@ Every document streams through it whole. The automaton tracks the longest match
 that ends at each word. A match of ``window`` words or more, or a whole shorter
 item, marks its words as hit.
 
-The item table is a stated query set: its total words are counted first and may
-not exceed ``MAX_ITEM_WORDS``, which bounds the automaton (at most two states a
-word). Beyond it the operator refuses; pass the items in several calls then.
+Items are dealt into blocks of at most ``MAX_ITEM_WORDS`` words, which bounds each
+automaton (at most two states a word). An item longer than that is cut into
+pieces that share a window less one word, so every window lies whole in one of
+them. With more than one block, every document streams through each block in a
+pass of its own; the ranges and items met are united per document before
+anything is counted or cut.
 
 Defined results: null, empty and wordless texts have no words and no hits; an
 empty item table hits nothing; equal items (repeated rows) are all listed, ids
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_texts, slices
+from .common import raw_texts, slices, stored
 
 MAX_ITEM_WORDS = 200_000
 
@@ -152,14 +156,85 @@ class ItemAutomaton:
         return spans, met
 
 
-def item_automaton(items: DataFrame, window: int = 13) -> ItemAutomaton:
-    """The automaton of ``items`` (item_id, text), after a check of their size."""
-    words = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if words > 8 * MAX_ITEM_WORDS:
-        raise ValueError(f"items hold {words} bytes; {8 * MAX_ITEM_WORDS} are the bound of one automaton")
-    rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").collect()
-    parts = [(r["item_id"], normal_words((r["text"] or "").encode())) for r in rows]
-    return ItemAutomaton([p for p in parts if p[1]], window)
+def item_blocks(items: DataFrame, window: int = 13) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """``items`` (item_id, text) as lists of (id, words) with ``MAX_ITEM_WORDS`` words at most, one held at a time."""
+    most = max(MAX_ITEM_WORDS, window)
+    block, held = [], 0
+    for row in items.select(F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator():
+        words = normal_words((row["text"] or "").encode())
+        for start in range(0, max(len(words) - window + 1, 1), most - window + 1):
+            piece = words[start : start + most]
+            if block and held + len(piece) > most:
+                yield block
+                block, held = [], 0
+            if piece:
+                block.append((row["item_id"], piece))
+                held += len(piece)
+    if block:
+        yield block
+
+
+def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges in order, with those that meet or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            start, end = out[-1][0], max(end, out.pop()[1])
+        out.append((start, end))
+    return out
+
+
+def _united_hits(docs: DataFrame, blocks: Iterable[list[tuple[str | None, list[bytes]]]], window: int) -> DataFrame:
+    """(tm_id, tm_hash, tm_spans, tm_names) of the documents hit, from a pass for each block.
+
+    Rows are known by id and text hash; rows that agree in both have the same hits.
+    """
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tm_hash"))
+    schema = f"tm_id {docs.schema['doc_id'].dataType.simpleString()}, tm_hash bigint, tm_spans array<bigint>, tm_names array<string>"
+
+    def scan(automaton: ItemAutomaton):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                hit, spans, names = [], [], []
+                for text in raw_texts(batch):
+                    found, met = automaton.scan(normal_words(text))
+                    hit.append(bool(found))
+                    if found:
+                        spans.append([place for span in found for place in span])
+                        names.append(sorted({n for m in met if (n := automaton.names[m]) is not None}))
+                kept = batch.select(["doc_id", "tm_hash"]).filter(pa.array(hit, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(spans, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))],
+                    ["tm_id", "tm_hash", "tm_spans", "tm_names"],
+                )
+
+        return run
+
+    parts = None
+    for block in blocks:
+        found = stored(keyed.mapInArrow(scan(ItemAutomaton(block, window)), schema).dropDuplicates(["tm_id", "tm_hash"]))
+        parts = found if parts is None else parts.union(found)
+    return stored(parts.groupBy("tm_id", "tm_hash").agg(
+        F.flatten(F.collect_list("tm_spans")).alias("tm_spans"), F.array_distinct(F.flatten(F.collect_list("tm_names"))).alias("tm_names")
+    ))
+
+
+def _with_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, tm_key and any others) with tm_spans and tm_names, null where nothing is hit."""
+    return rows.join(hits, F.col("doc_id").eqNullSafe(F.col("tm_id")) & (F.col("tm_key") == F.col("tm_hash")), "left").drop("tm_id", "tm_hash", "tm_key")
+
+
+def _spans_of(flat: list[int] | None) -> list[tuple[int, int]]:
+    return merged(zip(flat[::2], flat[1::2])) if flat else []
+
+
+def _dealt(items: DataFrame, window: int):
+    """The automaton when one block holds all items, else None; and the blocks."""
+    blocks = item_blocks(items, window)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return ItemAutomaton(first, window), None
+    return None, chain([first, second], blocks)
 
 
 def over_limit(hit: int, total: int, percent: int) -> bool:
@@ -169,26 +244,48 @@ def over_limit(hit: int, total: int, percent: int) -> bool:
 FOUND = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
 
 
+def _judged(ids: pa.Array, found: Iterable[tuple[int, list[tuple[int, int]], Iterable[str]]], percent: int) -> pa.RecordBatch:
+    """Result rows from (words, ranges, distinct names) of each document."""
+    rows = []
+    for total, spans, names in found:
+        hit, names = sum(b - a for a, b in spans), sorted(names)
+        rows.append((total, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), over_limit(hit, total, percent)))
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays(
+        [ids] + [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 3 + (pa.string(), pa.bool_()))],
+        ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    )
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = 13, percent: int = 5) -> DataFrame:
     """Words, hit words and items met of each document (doc_id, text)."""
-    automaton = item_automaton(items, window)
+    automaton, blocks = _dealt(items, window)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            rows = []
+            found = []
             for text in raw_texts(batch):
                 words = normal_words(text)
                 spans, met = automaton.scan(words)
-                hit = sum(b - a for a, b in spans)
-                names = sorted({n for m in met if (n := automaton.names[m]) is not None})
-                rows.append((len(words), hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), over_limit(hit, len(words), percent)))
-            columns = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")] + [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 3 + (pa.string(), pa.bool_()))],
-                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-            )
+                found.append((len(words), spans, {n for m in met if (n := automaton.names[m]) is not None}))
+            yield _judged(batch.column("doc_id"), found, percent)
+
+    if blocks is None:
+        return docs.select("doc_id", "text").mapInArrow(run, FOUND)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sizes = pa.array([len(normal_words(text)) for text in raw_texts(batch)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tm_key"), sizes], ["doc_id", "tm_key", "n_words"])
+
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = zip(*(batch.column(c).to_pylist() for c in ("n_words", "tm_spans", "tm_names")))
+            yield _judged(batch.column("doc_id"), [(n, _spans_of(flat), names or ()) for n, flat, names in found], percent)
 
-    return docs.select("doc_id", "text").mapInArrow(run, FOUND)
+    hits = _united_hits(docs, blocks, window)
+    sizes = docs.select("doc_id", "text", F.xxhash64("text").alias("tm_key")).mapInArrow(count, "doc_id bigint, tm_key bigint, n_words bigint")
+    return _with_hits(sizes, hits).mapInArrow(judge, FOUND)
 
 
 def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -213,22 +310,29 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, percent:
     text. Documents of which they make up ``percent`` or more go. ``n_chars`` is
     the new length where that column exists.
     """
-    automaton = item_automaton(items, window)
-    schema = docs.schema
+    automaton, blocks = _dealt(items, window)
+    schema, names = docs.schema, docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             kept, changed = [], {}
+            united = batch.column("tm_spans").to_pylist() if automaton is None else None
             for row, text in enumerate(raw_texts(batch)):
+                if united is not None and not united[row]:
+                    kept.append(True)
+                    continue
                 words = normal_words(text)
-                spans, _ = automaton.scan(words)
+                spans = automaton.scan(words)[0] if united is None else _spans_of(united[row])
                 over = over_limit(sum(b - a for a, b in spans), len(words), percent)
                 kept.append(not over)
                 if spans and not over:
                     changed[row] = cut_words(text, spans)
-            yield replaced(batch, changed).filter(pa.array(kept, pa.bool_()))
+            yield replaced(batch.select(names), changed).filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    if blocks is None:
+        return docs.mapInArrow(run, schema)
+    docs = stored(docs)  # read once for each block
+    return _with_hits(docs.withColumn("tm_key", F.xxhash64("text")), _united_hits(docs, blocks, window)).mapInArrow(run, schema)
 
 
 def replaced(batch: pa.RecordBatch, texts: dict[int, bytes]) -> pa.RecordBatch:
