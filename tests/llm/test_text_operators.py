@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -160,6 +161,32 @@ def test_language_model_is_normalised_and_learns():
     assert all(table.reshape(5, 5, 5)[:, h].argmax(axis=1).tolist() == [w] * 5 for h, w in ((1, 2), (2, 3), (3, 1)))
 
 
+def test_language_model_tells_order_among_words_of_any_rank(spark):
+    random_, follow = random.Random(3), [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(700):  # each word but the last of a run of 10 has one follower, all are about equally frequent
+        runs = [follow[10 * k : 10 * k + 10] for k in random_.choices(range(30), k=12)]
+        texts.append([w for run in runs for w in run])
+    held = [i for i in range(700) if zlib.crc32(str(i).encode()) % 7 == 2]
+    shuffled = {i: random_.sample(texts[i], len(texts[i])) for i in held[::2]}
+    docs = [(i, " ".join(shuffled.get(i, t))) for i, t in enumerate(texts)]
+    rows = by_id(language_model.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2)))
+    mean = {i: rows[i]["score"] / rows[i]["n_tokens"] for i in held}
+    fluent, mixed = ([mean[i] for i in held if (i in shuffled) == s] for s in (False, True))
+    assert min(fluent) > max(mixed) + 0.3
+    unigram = [rows[i]["base_score"] / rows[i]["n_tokens"] for i in held]
+    assert min(fluent) > max(unigram) + 0.5
+
+
+def test_language_model_is_normalised_over_many_groups():
+    model = language_model.LogBilinear(90, np.arange(90, 0, -1.0))
+    model.rows += np.random.default_rng(5).normal(0, 0.5, model.rows.shape).astype(np.float32)
+    assert model.groups > 5
+    w = np.arange(90)
+    for h1, h2 in ((0, 0), (3, 88), (89, 1)):
+        assert (10.0 ** model.log10(np.full(90, h1), np.full(90, h2), w)).sum() == pytest.approx(1, abs=1e-5)
+
+
 def test_pieces_equal_the_library_and_round_trip(table, documents):
     import sentencepiece
 

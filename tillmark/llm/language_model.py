@@ -1,30 +1,36 @@
 """Log-bilinear language model trained with noise-contrastive estimation.
 
 Tokens are words (ASCII case folded; runs of anything but space and \\t..\\r) and
-one end per text. All training tokens are counted. The most frequent words form
-the shortlist of the neural model, next to the end token and a class for every
-other word; context is the two tokens before (the end token before the start).
-
-The score of class w after h1 h2 is q_w . (C1 r_h1 + C2 r_h2) + b_w. Class
-trigrams of the whole training text are counted into a table of fixed size, and
-the noise-contrastive objective is optimised in numpy over all of them: data
-against NOISE draws from the unigram, whose expectation is taken exactly. The
-softmax over all classes after every context, by batched matrix products, gives
-normalised log-probabilities. Within the other class a word w has probability
-(c+1)/(N'+V'+1), with its count c and the class's N' tokens of V' words, which
-leaves one share for unseen words.
+one end per text. All training tokens are counted. Every frequent word has its
+own vectors, and so have the end token and one symbol for all other words;
+context is the two tokens before (the end token before the start).
+
+The score of symbol w after h1 h2 is q_w . (r_h1 C1 + r_h2 C2) + b_w. Symbols fall
+into about sqrt(n) groups by frequency, which have vectors of their own. Both are
+trained with noise-contrastive estimation, words and groups against noise drawn
+from their unigrams. P(w) = P(group) P(w in group), each a softmax over all its
+members, by batched matrix products. Within the other words a word w has
+probability (c+1)/(N'+V'+1), with its count c and the N' tokens of V' words
+outside the list, which leaves one share for unseen words.
+
+Tasks train on all of their tokens from common vectors and pass on what they
+changed. Changes are averaged per row by use; rows used too seldom in one task to
+settle there move further, by the square root of the tasks that changed them at
+most. One text in ``WARM`` gives the tasks a common start. So the driver holds
+the vectors only, whatever the corpus.
 
 Words counted at least as often as some power of two, ``FREQUENT`` at most, go
 to every task; the rest meet their counts in a join. So what is broadcast is
-bounded, and what is gathered grows with the corpus.
+bounded, and what is counted and passed on grows with the corpus.
 
 Defined results: null text is empty and has one token, its end; repeated rows
 are scored alike; without training documents every count is 0 and the model is
-uniform over its classes; an empty table gives an empty result.
+uniform over its symbols; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import copy
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -34,11 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import collect_counts, count_rows, crc_of_id, raw_texts, slices, stored
+from .common import crc_of_id, raw_texts, slices, stored
 
-SHORTLIST = 62  # with the end and the other class 64 classes
 FREQUENT = 100_000
-DIMENSION, NOISE, STEPS, RATE = 24, 16, 150, 0.05
+DIMENSION, NOISE, STEPS, RATE = 24, 16, 150, 0.1
+# Tokens of one training step, and the noise they share.
+BATCH, DRAWN = 1024, 64
+# Uses in a task from which a row counts as settled there.
+SETTLED = 1000
+WARM = 8
+# Rows of vectors that travel together, and contexts normalised together.
+TOGETHER, NORMALISED = 256, 4096
 # Words a task counts before it passes them on.
 HELD = 200_000
 
@@ -71,81 +83,153 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 class LogBilinear:
-    """Vectors of the classes, and the table of their log-probabilities after each context."""
+    """Vectors of the symbols and their groups, as rows: r, then q and b, then those of the groups, then C1 and C2."""
 
-    def __init__(self, classes: int, seed: int = 7):
-        rng = np.random.default_rng(seed)
+    def __init__(self, classes: int, counts: np.ndarray | None = None, seed: int = 7):
+        d = DIMENSION
         self.classes = classes
-        self.parts = {
-            "r": rng.normal(0, 0.1, (classes, DIMENSION)), "q": rng.normal(0, 0.1, (classes, DIMENSION)),
-            "c1": np.eye(DIMENSION), "c2": np.eye(DIMENSION) * 0.5, "b": np.zeros(classes),
-        }
-
-    def scores(self) -> tuple[np.ndarray, np.ndarray]:
-        """Context vectors and class scores for all contexts, in the order of (h1, h2)."""
-        p = self.parts
-        context = ((p["r"] @ p["c1"])[:, None, :] + (p["r"] @ p["c2"])[None, :, :]).reshape(-1, DIMENSION)
-        return context, context @ p["q"].T + p["b"]
+        self._divide(np.zeros(classes) if counts is None else counts)
+        self.rows = np.zeros((2 * classes + self.groups + 2 * d, d + 1), np.float32)
+        self.rows[:classes, :d] = np.random.default_rng(seed).normal(0, 0.3, (classes, d))
+        self.rows[-2 * d : -d, :d], self.rows[-d:, :d] = np.eye(d) * 0.5, np.eye(d)
+        self._biases()
+
+    def _divide(self, counts: np.ndarray) -> None:
+        """Unigrams, and groups of neighbours with about equal sums of square roots."""
+        self.unigram = (counts + 1.0) / (counts.sum() + self.classes)
+        root = np.sqrt(self.unigram)
+        place = np.floor((np.cumsum(root) - root) / root.sum() * math.ceil(math.sqrt(self.classes)))
+        self.group = np.unique(place, return_inverse=True)[1].reshape(-1)
+        self.groups = int(self.group[-1]) + 1
+        self.starts = np.searchsorted(self.group, np.arange(self.groups + 1))
+        self.noise = []
+        for base, chance in ((self.classes, self.unigram), (2 * self.classes, np.bincount(self.group, self.unigram))):
+            self.noise.append((base, np.cumsum(chance) / chance.sum(), np.log(NOISE * chance).astype(np.float32)))
+
+    def _biases(self) -> None:
+        for base, _, log_noise in self.noise:
+            self.rows[base : base + len(log_noise), -1] = log_noise - math.log(NOISE)
+
+    def ready(self, seed: int = 11) -> None:
+        """Before steps: no slopes seen, no rows used."""
+        self.squares = np.full(len(self.rows), 0.1, np.float32)
+        self.used = np.zeros(len(self.rows), np.int64)
+        self.chance = np.random.default_rng(seed)
+
+    def context(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        d = DIMENSION
+        return self.rows[h1, :d] @ self.rows[-2 * d : -d, :d] + self.rows[h2, :d] @ self.rows[-d:, :d]
+
+    def _move(self, ids: np.ndarray, slopes: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        first = np.flatnonzero(np.diff(ids, prepend=-1))
+        ids, slopes = ids[first], np.add.reduceat(slopes[order], first, axis=0)
+        self.squares[ids] += (slopes * slopes).mean(axis=1)
+        self.rows[ids] += RATE * slopes / np.sqrt(self.squares[ids])[:, None]
+
+    def use(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> None:
+        """Count the rows that the steps over these tokens use."""
+        for ids in (h1, h2, self.classes + w, 2 * self.classes + self.group[w]):
+            self.used += np.bincount(ids, minlength=len(self.used))
+        self.used[-2 * DIMENSION :] += len(w)
+
+    def learn(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray, weight: np.ndarray) -> None:
+        """One step up the noise-contrastive objective of words and groups, with noise shared by the batch."""
+        d, size = DIMENSION, len(self.rows)
+        x1, x2 = self.rows[h1, :d], self.rows[h2, :d]
+        c1, c2 = self.rows[-2 * d : -d, :d], self.rows[-d:, :d]
+        context = x1 @ c1 + x2 @ c2
+        full = np.concatenate([context, np.ones((len(context), 1), np.float32)], axis=1)
+        at = np.zeros_like(context)
+        moves = []
+        for (base, cumulated, log_noise), target in zip(self.noise, (w, self.group[w])):
+            drawn = np.minimum(np.searchsorted(cumulated, self.chance.random(DRAWN)), len(log_noise) - 1)
+            real, noise = self.rows[base + target], self.rows[base + drawn]
+            score = np.einsum("ij,ij->i", full, real) - log_noise[target]
+            error = weight / (1.0 + np.exp(np.clip(score, -60, 60)))
+            score = full @ noise.T - log_noise[drawn]
+            errors = (-NOISE / DRAWN) * weight[:, None] / (1.0 + np.exp(np.clip(-score, -60, 60)))
+            at += error[:, None] * real[:, :d] + errors @ noise[:, :d]
+            moves.append((np.concatenate([base + target, base + drawn]), np.concatenate([error[:, None] * full, errors.T @ full])))
+        both = np.concatenate([h1, h2])
+        slopes = np.concatenate([at @ c1.T, at @ c2.T, x1.T @ at, x2.T @ at])
+        moves.append((np.concatenate([both, np.arange(size - 2 * d, size)]), np.pad(slopes, ((0, 0), (0, 1)))))
+        for ids, slopes in moves:
+            self._move(ids, slopes)
 
     def train(self, counts: np.ndarray, steps: int = STEPS) -> None:
-        """Adam on the noise-contrastive objective over all counted (h1, h2, w)."""
-        data = counts.reshape(-1, self.classes).astype(float)
-        total = data.sum()
-        if not total:
+        """Steps over all cells of a dense table of (h1, h2, w)."""
+        if not counts.sum():
             return
-        unigram = (data.sum(0) + 1.0) / (total + self.classes)
-        self.parts["b"] = np.log(unigram)
-        data /= total
-        noise = NOISE * data.sum(1)[:, None] * unigram[None, :]
-        shift = np.log(NOISE * unigram)
-        first = {k: np.zeros_like(v) for k, v in self.parts.items()}
-        second = {k: np.zeros_like(v) for k, v in self.parts.items()}
-        n, d = self.classes, DIMENSION
-        for step in range(1, steps + 1):
-            p = self.parts
-            context, score = self.scores()
-            is_data = 1.0 / (1.0 + np.exp(np.clip(shift - score, -60, 60)))
-            error = data * (1.0 - is_data) - noise * is_data  # gradient of the objective by the score
-            at = (error @ p["q"]).reshape(n, n, d)
-            by1, by2 = at.sum(1), at.sum(0)
-            slope = {
-                "q": error.T @ context, "b": error.sum(0), "r": by1 @ p["c1"].T + by2 @ p["c2"].T,
-                "c1": p["r"].T @ by1, "c2": p["r"].T @ by2,
-            }
-            for k, g in slope.items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                p[k] = p[k] + RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-9)
+        self.__init__(self.classes, counts.reshape(-1, self.classes).sum(0).astype(float))
+        cells = np.flatnonzero(counts)
+        before, w = np.divmod(cells, self.classes)
+        h1, h2 = np.divmod(before, self.classes)
+        self.ready()
+        for _ in range(steps):
+            self.learn(h1, h2, w, counts[cells].astype(np.float32))
+
+    def log10(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Normalised log10 P(w | h1 h2) of each row."""
+        d, n = DIMENSION, self.classes
+        context, group = self.context(h1, h2), self.group[w]
+        logs = np.zeros(len(w))
+
+        def add(rows: np.ndarray | slice, vectors: np.ndarray, target: np.ndarray) -> None:
+            score = context[rows] @ vectors[:, :d].T + vectors[:, d]
+            score -= score.max(axis=1, keepdims=True)
+            chosen = score[np.arange(len(target)), target]
+            logs[rows] += chosen - np.log(np.exp(score, out=score).sum(axis=1))
+
+        for start in range(0, len(w), NORMALISED):
+            rows = slice(start, start + NORMALISED)
+            add(rows, self.rows[2 * n : 2 * n + self.groups], group[rows])
+        order = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[order], np.arange(self.groups + 1))
+        for g in np.flatnonzero(np.diff(ends)):
+            first, stop = self.starts[g], self.starts[g + 1]
+            if stop - first > 1:
+                step = max(1, NORMALISED * 256 // int(stop - first))
+                for start in range(ends[g], ends[g + 1], step):
+                    rows = order[start : min(start + step, ends[g + 1])]
+                    add(rows, self.rows[n + first : n + stop], w[rows] - first)
+        return logs / math.log(10)
 
     def log10_table(self) -> np.ndarray:
-        """Normalised log10 P(w | h1 h2), one row per context."""
-        _, score = self.scores()
-        top = score.max(axis=1, keepdims=True)
-        return ((score - top - np.log(np.exp(score - top).sum(axis=1, keepdims=True))) / math.log(10)).astype(np.float32)
+        """log10 P(w | h1 h2) of all symbols, one row per context in the order of (h1, h2)."""
+        n = self.classes
+        cells = np.arange(n**3)
+        return self.log10(cells // (n * n), cells // n % n, cells % n).reshape(n * n, n)
 
 
 class Vocabulary:
-    """Frequent words with counts; the first of them are the shortlist, then end and other class."""
+    """Frequent words by falling counts, then the end and the symbol for all other words."""
 
     def __init__(self, words: list[tuple[str, int]], ends: int):
         ordered = sorted(words, key=lambda x: (-x[1], x[0]))
-        self.shortlist = [w for w, _ in ordered[:SHORTLIST]]
-        self.end, self.other = len(self.shortlist), len(self.shortlist) + 1
+        self.end, self.other = len(ordered), len(ordered) + 1
         self.classes = self.other + 1
         self.index = {w.encode(): i for i, (w, _) in enumerate(ordered)}
-        self.log_count = np.log10(np.array([c for _, c in ordered] + [0], float) + 1.0)
+        self.counts = np.array([c for _, c in ordered], float)
+        self.log_count = np.log10(np.append(self.counts, 0.0) + 1.0)
         self.ends = ends
 
     def of_text(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Words, their numbers (-1: not frequent) and the classes of all tokens."""
+        """Words, their numbers (-1: not frequent) and the symbols of all tokens."""
         words = tokens(text)
         numbers = np.fromiter((self.index.get(w, -1) for w in words), np.int64, len(words))
-        classes = np.where((numbers >= 0) & (numbers < self.end), numbers, self.other)
-        return words, numbers, np.append(classes, self.end)
+        return words, numbers, np.append(np.where(numbers >= 0, numbers, self.other), self.end)
 
-    def contexts(self, classes: np.ndarray) -> np.ndarray:
-        padded = np.concatenate(([self.end, self.end], classes))
-        return padded[:-2] * self.classes + padded[1:-1]
+    def trigrams(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(h1, h2, w) of all tokens of some texts, given as their symbols."""
+        w = np.concatenate(parts)
+        h2 = np.concatenate(([self.end], w[:-1]))
+        h1 = np.concatenate(([self.end], h2[:-1]))
+        # The token before the first of a text is an end anyway, the one before that is made one.
+        first = np.cumsum([0] + [len(p) for p in parts[:-1]])
+        h1[first] = self.end
+        return h1, h2, w
 
 
 def frequent_words(counts: DataFrame, most: int = FREQUENT) -> list[tuple[str, int]]:
@@ -161,39 +245,80 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> list[tuple[str, i
     return [(r["word"], r["c"]) for r in counts.where(F.col("c") >= (1 << least)).collect()] if least is not None else []
 
 
-def trigram_counts(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """Counts of class trigrams, end tokens before the start included."""
-    size = vocabulary.classes**3
+def _train_pass(texts: DataFrame, vocabulary: Vocabulary, model: LogBilinear) -> None:
+    """Tasks learn from all tokens of ``texts``, each from the rows of ``model``, which then take up the changes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(size, np.int64)
+        own = copy.copy(model)
+        own.rows = model.rows.copy()
+        own.ready()
         for batch in slices(batches, "text"):
-            cells = []
-            for text in raw_texts(batch):
-                _, _, classes = vocabulary.of_text(text)
-                cells.append(vocabulary.contexts(classes) * vocabulary.classes + classes)
-            if cells:
-                table += np.bincount(np.concatenate(cells), minlength=size)
-        for found, hits in count_rows(table):
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(hits, pa.int64())], ["cell", "hits"])
+            parts = [vocabulary.of_text(text)[2] for text in raw_texts(batch)]
+            if not parts:
+                continue
+            h1, h2, w = vocabulary.trigrams(parts)
+            own.use(h1, h2, w)
+            order = own.chance.permutation(len(w))
+            for start in range(0, len(w), BATCH):
+                at = order[start : start + BATCH]
+                own.learn(h1[at], h2[at], w[at], np.ones(len(at), np.float32))
+        changed = np.flatnonzero(own.used)
+        for part in np.split(changed, np.flatnonzero(np.diff(changed // TOGETHER)) + 1) if len(changed) else []:
+            values = [
+                (part % TOGETHER).astype(np.uint8), own.used[part].astype(np.float32),
+                (own.rows[part] - model.rows[part]).astype(np.float16),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(part[0]) // TOGETHER], pa.int64()), *(pa.array([v.tobytes()], pa.binary()) for v in values)],
+                ["block", "places", "used", "moved"],
+            )
 
-    return collect_counts(texts.select("text").mapInArrow(run, "cell bigint, hits bigint"), "cell", "hits", size)
+    def unite(rows: pa.Table) -> pa.Table:
+        total = np.zeros((TOGETHER, DIMENSION + 1))
+        uses, squared = np.zeros(TOGETHER), np.zeros(TOGETHER)
+        tasks = np.zeros(TOGETHER)
+        for places, used, moved in zip(*(rows.column(c).to_pylist() for c in ("places", "used", "moved"))):
+            places, used = np.frombuffer(places, np.uint8), np.frombuffer(used, np.float32).astype(float)
+            total[places] += used[:, None] * np.frombuffer(moved, np.float16).reshape(-1, DIMENSION + 1)
+            uses[places] += used
+            squared[places] += used * used
+            tasks[places] += 1
+        some = np.maximum(uses, 1)
+        alike = uses * uses / np.maximum(squared, 1)  # tasks, when all use a row as often
+        further = np.sqrt(np.minimum(alike, np.maximum(1, SETTLED * tasks / some)))
+        united = (total / some[:, None] * np.maximum(further, 1)[:, None]).astype(np.float32)
+        return pa.table({"block": rows.column("block")[:1], "moved": pa.array([united.tobytes()], pa.binary())})
+
+    changes = texts.select("text").mapInArrow(run, "block bigint, places binary, used binary, moved binary")
+    for row in changes.groupBy("block").applyInArrow(unite, "block bigint, moved binary").collect():
+        start = row["block"] * TOGETHER
+        rows = model.rows[start : start + TOGETHER]
+        rows += np.frombuffer(row["moved"], np.float32).reshape(TOGETHER, -1)[: len(rows)]
+
+
+def train_model(training: DataFrame, vocabulary: Vocabulary, in_other: int) -> LogBilinear:
+    """The model of all tokens of ``training`` (doc_id, text)."""
+    model = LogBilinear(vocabulary.classes, np.append(vocabulary.counts, [vocabulary.ends, in_other]))
+    _train_pass(training.where(crc_of_id() % (WARM * 7) < 7), vocabulary, model)
+    _train_pass(training, vocabulary, model)
+    return model
 
 
 SCANNED = (
     "doc_id bigint, key bigint, held_out boolean, n_tokens bigint, known bigint, others bigint, neural double, logs double, "
-    "other_logs double, word string, times bigint"
+    "word string, times bigint"
 )
 
 
-def _scan(vocabulary: Vocabulary, table: np.ndarray):
+def _scan(vocabulary: Vocabulary, model: LogBilinear):
     """Per document what the frequent words give, and a row for each rarer word it holds."""
     names = [p.split()[0] for p in SCANNED.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             keys = batch.column("key").to_numpy()
-            sums: list[list] = [[], [], [], [], [], []]
+            sums: list[list] = [[], [], [], []]
+            parts: list[np.ndarray] = []
             rare_keys, rare_words, rare_times = [], [], []
             for key, text in zip(keys, raw_texts(batch)):
                 words, numbers, classes = vocabulary.of_text(text)
@@ -201,26 +326,28 @@ def _scan(vocabulary: Vocabulary, table: np.ndarray):
                 logs[numbers < 0] = 0.0
                 end_log = math.log10(vocabulary.ends + 1.0)
                 known = int(np.count_nonzero(numbers >= 0)) + (vocabulary.ends > 0)
-                neural = float(table[vocabulary.contexts(classes), classes].sum(dtype=np.float64))
+                parts.append(classes)
                 for column, value in zip(sums, (
-                    len(words) + 1, known, int(np.count_nonzero(classes == vocabulary.other)), neural, float(logs.sum()) + end_log,
-                    float(logs[classes[:-1] == vocabulary.other].sum()),
+                    len(words) + 1, known, int(np.count_nonzero(numbers < 0)), float(logs.sum()) + end_log,
                 )):
                     column.append(value)
                 rare = Counter(words[i] for i in np.flatnonzero(numbers < 0))
                 rare_keys += [key] * len(rare)
                 rare_words += rare.keys()
                 rare_times += rare.values()
+            first = np.cumsum([0] + [len(p) for p in parts[:-1]])
+            neural = np.add.reduceat(model.log10(*vocabulary.trigrams(parts)), first)
+            sums.insert(3, neural)
             rows, extra = len(batch), len(rare_words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), batch.column("held_out")]
-                + [pa.array(c, t) for c, t in zip(sums, [pa.int64()] * 3 + [pa.float64()] * 3)]
+                + [pa.array(c, t) for c, t in zip(sums, [pa.int64()] * 3 + [pa.float64()] * 2)]
                 + [pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], names,
             )
             if extra:
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(extra, pa.int64()), pa.array(rare_keys, pa.int64()), pa.nulls(extra, pa.bool_())]
-                    + [pa.nulls(extra, t) for t in [pa.int64()] * 3 + [pa.float64()] * 3]
+                    + [pa.nulls(extra, t) for t in [pa.int64()] * 3 + [pa.float64()] * 2]
                     + [pa.array(rare_words, pa.binary()).cast(pa.string()), pa.array(rare_times, pa.int64())], names,
                 )
 
@@ -236,15 +363,13 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame
     size = counts.agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
     total, types = (size["n"] or 0) + ends, size["v"] + (ends > 0)
     vocabulary = Vocabulary(frequent_words(counts), ends)
-    trigrams = trigram_counts(training, vocabulary)
-    model = LogBilinear(vocabulary.classes)
-    model.train(trigrams)
-    in_other = int(trigrams.reshape(-1, vocabulary.classes)[:, vocabulary.other].sum())
-    other_types = size["v"] - len(vocabulary.shortlist)
+    in_other = int(total - ends - vocabulary.counts.sum())
+    other_types = size["v"] - vocabulary.end
+    model = train_model(training, vocabulary, in_other)
 
     # Rows with equal id and text get equal keys; their rare words are then counted once.
     keyed = marked.withColumn("key", F.xxhash64("doc_id", "text"))
-    scanned = stored(keyed.mapInArrow(_scan(vocabulary, model.log10_table()), SCANNED))
+    scanned = stored(keyed.mapInArrow(_scan(vocabulary, model), SCANNED))
     rare = (
         scanned.where("word is not null").select("key", "word", "times")
         .join(counts, "word").groupBy("key", "word").agg(F.max("times").alias("times"), F.first("c").alias("c"))
@@ -254,5 +379,5 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame
     return joined.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.col("rare_known")).alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.col("rare_logs") - F.col("n_tokens") * math.log10(total + types + 1)).alias("base_score"),
-        (F.col("neural") + F.col("other_logs") + F.col("rare_logs") - F.col("others") * math.log10(in_other + other_types + 1)).alias("score"),
+        (F.col("neural") + F.col("rare_logs") - F.col("others") * math.log10(in_other + other_types + 1)).alias("score"),
     )
