@@ -201,3 +201,28 @@ def test_selection_evaluation_and_storage(spark, panel, track, tmp_path):
     again = classifier.predict(panel.drop("split"), "inactive_risk90").agg(F.sum("inactive_risk90")).first()[0]
     assert again == pytest.approx(result.scores.agg(F.sum("inactive_risk90")).first()[0])
     assert value_model.predict(panel, "v").count() == 360
+
+
+def test_model_queries_use_the_selected_models(panel, spark, monkeypatch):
+    from tillmark.plans import registry
+
+    fitted = []
+    monkeypatch.setattr(registry, "labelled_panel", lambda *_: panel)
+    monkeypatch.setattr(registry, "margin_events", lambda *_: None)
+    monkeypatch.setattr(registry, "snapshot_panel", lambda *_: panel.drop("split"))
+    monkeypatch.setattr(modelling, "select_models", lambda *_: ("prior_baseline", "gradient_boosting", None, None))
+
+    class Model:
+        def __init__(self, name):
+            fitted.append(name)
+
+        def predict(self, rows, output):
+            return rows.withColumn(output, F.lit(0.5))
+
+    monkeypatch.setattr(modelling, "fit_classifier", lambda name, *_: Model(name))
+    monkeypatch.setattr(modelling, "fit_value_model", lambda name, *_: Model(name))
+    monkeypatch.setattr(modelling, "permutation_importance", lambda model, *_: model)
+    for query, names in ((registry.score_customers, 2), (registry.test_predictions, 2), (registry.feature_importance, 1)):
+        fitted.clear()
+        query(spark, "")
+        assert fitted == ["prior_baseline", "gradient_boosting"][:names]

@@ -836,32 +836,41 @@ def model_selection(spark, root):
     return risk.unionByName(value).withColumn("selected", chosen)
 
 
+def _selected(panel: DataFrame) -> tuple[str, str]:
+    """Names of the risk and the value model that are best on validation."""
+    return modelling.select_models(
+        panel.where(F.col("split") == "train"), panel.where(F.col("split") == "validation"),
+        MARGIN, modelling.ROUNDS["margin"], CONFIG.seed,
+    )[:2]
+
+
 def score_customers(spark, root):
-    """Final models, refitted on all labelled customers, applied to the scoring snapshot."""
+    """Selected models, refitted on all labelled customers, applied to the scoring snapshot."""
     panel = modelling.training_frame(labelled_panel(spark, root))
     scoring = snapshot_panel(margin_events(spark, root), [CONFIG.score_cutoff])
-    classifier = modelling.fit_logistic(panel, MARGIN.features, INACTIVE_LABEL)
-    value_model = modelling.fit_value_model(
-        "gradient_boosting", panel, MARGIN, modelling.ROUNDS["margin"], CONFIG.seed
-    )
+    risk_name, value_name = _selected(panel)
+    classifier = modelling.fit_classifier(risk_name, panel, MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
+    value_model = modelling.fit_value_model(value_name, panel, MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
     scored = value_model.predict(classifier.predict(scoring, "inactive_risk90"), "expected_margin90")
     return scored.select("customer_id", "snapshot_date", "inactive_risk90", "expected_margin90")
 
 
 def feature_importance(spark, root):
-    """AP lost on the test split when one feature of the risk model is shuffled."""
+    """AP lost on the test split when one feature of the selected risk model is shuffled."""
     panel = modelling.training_frame(labelled_panel(spark, root))
-    model = modelling.fit_logistic(_development(panel), MARGIN.features, INACTIVE_LABEL)
+    risk_name, _ = _selected(panel)
+    model = modelling.fit_classifier(risk_name, _development(panel), MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
     return modelling.permutation_importance(
         model, panel.where(F.col("split") == "test"), MARGIN.features, INACTIVE_LABEL
     )
 
 
 def test_predictions(spark, root):
-    """Truth next to prediction for every test customer."""
+    """Truth next to the selected models' predictions for every test customer."""
     panel = modelling.training_frame(labelled_panel(spark, root))
-    model = modelling.fit_logistic(_development(panel), MARGIN.features, INACTIVE_LABEL)
-    value = modelling.fit_value_model("mean_baseline", _development(panel), MARGIN, 0, CONFIG.seed)
+    risk_name, value_name = _selected(panel)
+    model = modelling.fit_classifier(risk_name, _development(panel), MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
+    value = modelling.fit_value_model(value_name, _development(panel), MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
     scored = value.predict(model.predict(panel.where(F.col("split") == "test"), "predicted_risk"), "predicted_margin90")
     return scored.select(
         "customer_id", "snapshot_date", INACTIVE_LABEL, MARGIN.value_label, "predicted_risk", "predicted_margin90"
