@@ -93,3 +93,17 @@ def test_components_of_a_long_path_and_a_star(spark):
 def test_shingles_are_sets_of_windows():
     text = "The the THE a b c the the the a b"
     assert len(nd.shingles(text.encode())) == len(shingle_set(text))
+
+
+def test_links_only_span_the_classes(spark, texts):
+    join = nd.JaccardJoin(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    assert not hasattr(join, "links")
+    edges = join.spanning_links.select("a", "b")
+    roots = {r["node"]: r["root"] for r in components(edges).collect()}
+    first = {r["class"]: r["first_id"] for r in join.classes.collect()}
+    lowest = {}
+    for key, i in first.items():
+        root = roots.get(key, key)
+        lowest[root] = min(i, lowest.get(root, i))
+    expected = duplicate_classes(texts)
+    assert all(expected[i][1] == lowest[roots.get(key, key)] for key, i in first.items())

@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard join with rare-first prefixes and connected classes.
+"""Connected classes of an exact n-gram Jaccard threshold, with rare-first prefixes.
 
 A document's set holds its distinct word shingles (ASCII case folded; words are
 runs of anything but space and \\t..\\r). Documents link when the Jaccard
@@ -23,6 +23,10 @@ How it works
    then counts the intersection, once per pair.
 5. Links are closed by alternating stars (``components``).
 
+Pairs whose classes are already connected are not tried. So the operator returns
+classes only: ``spanning_links`` connects each of them, but is not the list of
+all similar pairs, and says nothing about the number of links of a document.
+
 Shingles and sets are identified by 64-bit hashes.
 
 Defined results: null, empty and blank texts have no shingles and link with
@@ -194,7 +198,11 @@ def sided(condition: str, **names: str) -> str:
 
 
 class JaccardJoin:
-    """The join over one table of documents; ``links`` and ``classes`` are the results."""
+    """The join over one table of documents, up to the links that connect its components.
+
+    ``classes`` and ``documents()`` are whole; ``spanning_links`` are similar pairs
+    of classes that connect every component, without most pairs inside it.
+    """
 
     def __init__(self, docs: DataFrame, words_each: int = 5, percent: int = 75):
         self.percent = percent
@@ -226,9 +234,9 @@ class JaccardJoin:
             met = met.withColumn("m", held).where(f"salt > 0 or mate_n is null or {room}")
         self.postings = stored(met.drop("mate_n").withColumn("m", held))
         self.sizes = stored(self.postings.groupBy("class").agg(F.first("n").alias("n"), F.first("m").alias("m")))
-        self.links = self._links()
+        self.spanning_links = self._spanning_links()
 
-    def _links(self) -> DataFrame:
+    def _spanning_links(self) -> DataFrame:
         self.roots = links = tried = None
         step = 0
         while True:
