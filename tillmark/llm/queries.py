@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, language_model, near_duplicates, personal_data, pieces, quality, secrets, url_rules, warc
+from . import byte_bpe, decontamination, language, language_model, near_duplicates, personal_data, pieces, quality, secrets, url_rules, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,11 +58,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_contamination(documents(spark, sf_dir), items)
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(byte_bpe.round_trips(documents(spark, sf_dir), path, public_tokenizers.PATTERN))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language, op2_personal_data, op3_quality_rules, op4_warc, op5_sentencepiece, op6_url_rules, op7_language_model,
-        op8_secrets, op9_near_duplicates, op10_decontamination,
+        op8_secrets, op9_near_duplicates, op10_decontamination, op13_byte_bpe,
     )
 }
 
