@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontamination, language, language_model, near_duplicates, personal_data, pieces, quality, secrets, url_rules, warc
+from . import (
+    byte_bpe, decontamination, divergence, language, language_model, near_duplicates, personal_data, pieces, quality, secrets,
+    url_rules, warc,
+)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +61,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_contamination(documents(spark, sf_dir), items)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -69,7 +76,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language, op2_personal_data, op3_quality_rules, op4_warc, op5_sentencepiece, op6_url_rules, op7_language_model,
-        op8_secrets, op9_near_duplicates, op10_decontamination, op13_byte_bpe,
+        op8_secrets, op9_near_duplicates, op10_decontamination, op12_source_divergence, op13_byte_bpe,
     )
 }
 
@@ -134,5 +141,31 @@ WITH d AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op12_source_divergence": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_FOLD}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), t AS (SELECT r, lang, source, unnest(w) AS term FROM d
+), k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30
+), c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL
+), g AS (SELECT DISTINCT lang, source FROM d
+), v AS (SELECT g.lang, count(term) AS kept FROM (SELECT DISTINCT lang FROM g) g LEFT JOIN k USING (lang) GROUP BY ALL
+), s AS (
+  SELECT lang, source, kept, CAST(coalesce(sum(n), 0) AS BIGINT) AS total FROM g JOIN v USING (lang) LEFT JOIN c USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000 * CAST(coalesce(n, 0) + 5 AS HUGEINT)) // (total + 5 * kept) AS p
+  FROM s JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+), q AS (
+  SELECT lang, term, 1 + (1000000000 * CAST(sum(n) + 5 AS HUGEINT)) // (any_value(whole) + 5 * any_value(kept)) AS q
+  FROM p JOIN (SELECT lang, any_value(kept) AS kept, sum(total) AS whole FROM s GROUP BY lang) USING (lang) GROUP BY ALL
+), f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(m.value, 0) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL
+  ) m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+), o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 50
 """,
 }
