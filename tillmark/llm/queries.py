@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, decontamination, divergence, language, language_model, near_duplicates, personal_data, pieces, quality, secrets,
-    url_rules, warc,
+    byte_bpe, decontamination, divergence, hard_negatives, language, language_model, near_duplicates, personal_data, pieces,
+    quality, secrets, url_rules, warc,
 )
 from .common import read
 
@@ -61,6 +62,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_contamination(documents(spark, sf_dir), items)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.whole_vectors(read(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(read(spark, sf_dir, "documents", "text", "lang", "source"))
 
@@ -76,7 +83,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language, op2_personal_data, op3_quality_rules, op4_warc, op5_sentencepiece, op6_url_rules, op7_language_model,
-        op8_secrets, op9_near_duplicates, op10_decontamination, op12_source_divergence, op13_byte_bpe,
+        op8_secrets, op9_near_duplicates, op10_decontamination, op11_hard_negatives, op12_source_divergence, op13_byte_bpe,
     )
 }
 
@@ -141,6 +148,24 @@ WITH d AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op11_hard_negatives": """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE label <> own AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
 """,
     "op12_source_divergence": f"""
 WITH d AS (
