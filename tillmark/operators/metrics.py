@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import ratio
-from .ordered import running_totals
+from ..session import checkpoint
+from .ordered import global_rank, totals_so_far
 
 TOP_SHARE = 0.2
 MIN_ROWS = 30
@@ -51,56 +52,64 @@ def classification_metrics(
 ) -> DataFrame:
     """Row count, prevalence, AP, ROC-AUC, Brier loss, precision and lift of the top fifth.
 
-    One row per ``group``. Rows are laid out once by descending score (``ties``
-    make the order total) with running counts; everything else is a sum over
-    distinct scores. AP adds precision times the gain in recall per distinct
-    score; AUC counts a tied pair as half.
+    One row per ``group``. Rows are counted per distinct score first, so a score
+    that many rows share is one row from there on. The scores are laid out once by
+    descending value; totals of each partition give the rows and hits before it, and
+    one scan adds everything up: AP is precision times the gain in recall per
+    distinct score, AUC counts a tied pair as half. Only rows of the score at which
+    the top fifth ends are looked at one by one, in the order of ``ties``.
     """
-    # Without groups all rows share one key, stored as data so that joins stay keyed.
-    keys = list(group) or ["_all"]
     narrow = scored.select(
-        *(list(group) or [F.lit(1).alias("_all")]),
-        *ties, F.col(label).cast("bigint").alias("_hit"), F.col(score).cast("double").alias("_score"),
+        *group, *ties, F.col(label).cast("bigint").alias("_hit"), F.col(score).cast("double").alias("_score")
     )
-    counted = running_totals(
-        narrow, [F.desc("_score"), *map(F.col, ties)], {"_rank": F.lit(1), "_hits": F.col("_hit")}, keys
-    )
-    per_score = counted.groupBy(*keys, "_score").agg(
-        F.count("*").alias("rows"),
-        F.sum("_hit").alias("hits"),
-        F.max("_rank").alias("rows_down_to"),
-        F.max("_hits").alias("hits_down_to"),
-    )
-    hits, misses, score_value = F.col("hits"), F.col("rows") - F.col("hits"), F.col("_score")
-    above = F.col("hits_down_to") - hits
-    sums = per_score.groupBy(*keys).agg(
-        F.sum("rows").alias("n"),
-        F.sum("hits").alias("positives"),
-        F.sum(hits * F.col("hits_down_to") / F.col("rows_down_to")).alias("precision_sum"),
-        F.sum(misses * (above + 0.5 * hits)).alias("pairs_won"),
-        F.sum(hits * (score_value - 1) * (score_value - 1) + misses * score_value * score_value).alias("squares"),
-    )
-    size = counted.groupBy(*keys).agg(F.max("_rank").alias("_n"))
-    limit = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(TOP_SHARE)))
-    top = (
-        counted.join(size, keys)
-        .where(F.col("_rank") <= limit)
-        .groupBy(*keys)
-        .agg((F.sum("_hit") / F.count("*")).alias("precision_at_20pct"))
+    per_score = narrow.groupBy(*group, "_score").agg(F.count("*").alias("_rows"), F.sum("_hit").alias("_hits"))
+    counted = totals_so_far(per_score, [F.desc("_score")], ("_rows", "_hits"), group)
+    rows, hits, rows_down_to, hits_down_to = (F.col(c) for c in ("_rows", "_hits", "_rows_so_far", "_hits_so_far"))
+    misses, value, above = rows - hits, F.col("_score"), rows_down_to - rows
+    limit = F.greatest(F.lit(1), F.ceil(F.col("_rows_in_all") * F.lit(TOP_SHARE)))
+    inside, cut = rows_down_to <= limit, (above < limit) & (rows_down_to > limit)
+    sums = counted.groupBy(*group).agg(
+        F.sum(rows).alias("n"),
+        F.sum(hits).alias("positives"),
+        F.sum(hits * hits_down_to / rows_down_to).alias("precision_sum"),
+        F.sum(misses * (hits_down_to - hits + 0.5 * hits)).alias("pairs_won"),
+        F.sum(hits * (value - 1) * (value - 1) + misses * value * value).alias("squares"),
+        F.max(limit).alias("limit"),
+        F.coalesce(F.sum(F.when(inside, hits)), F.lit(0)).alias("hits_inside"),
+        F.max(F.when(cut, F.struct(value.alias("score"), (limit - above).alias("left")))).alias("cut"),
     )
+    sums = checkpoint(sums.where("n > 0"))
+    tied = _hits_of_cut_score(narrow, sums, group, ties)
     n, positives = F.col("n"), F.col("positives")
-    return sums.join(top, keys).select(
+    whole = sums.join(tied, list(group), "left") if group else sums.withColumn("hits_tied", F.lit(tied))
+    precision = (F.col("hits_inside") + F.coalesce("hits_tied", F.lit(0))) / F.col("limit")
+    return whole.select(
         *group,
         "n",
         (positives / n).alias("prevalence"),
         ratio(F.col("precision_sum"), positives).alias("average_precision"),
         ratio(F.col("pairs_won"), positives * (n - positives)).alias("roc_auc"),
         (F.col("squares") / n).alias("brier"),
-        "precision_at_20pct",
-        ratio(F.col("precision_at_20pct"), positives / n).alias("lift_at_20pct"),
+        precision.alias("precision_at_20pct"),
+        ratio(precision, positives / n).alias("lift_at_20pct"),
     )
 
 
+def _hits_of_cut_score(narrow: DataFrame, sums: DataFrame, group: Sequence[str], ties: Sequence[str]) -> DataFrame | int:
+    """Hits among the rows of the score at which the top fifth ends that still belong to it; a number without groups."""
+    order = [F.col(c) for c in ties]
+    if not group:
+        found = sums.where("cut IS NOT NULL").select("cut.score", "cut.left").first()
+        if found is None:
+            return 0
+        return global_rank(narrow.where(F.col("_score") == found["score"]), order).where(
+            F.col("rank") <= found["left"]
+        ).agg(F.coalesce(F.sum("_hit"), F.lit(0))).first()[0]
+    cuts = sums.where("cut IS NOT NULL").select(*group, F.col("cut.score").alias("_score"), F.col("cut.left").alias("_left"))
+    ranked = global_rank(narrow.join(cuts, [*group, "_score"]), order, group)
+    return ranked.where("rank <= _left").groupBy(*group).agg(F.sum("_hit").alias("hits_tied"))
+
+
 def scorer_metrics(
     scored: DataFrame, label: str, scorers: Mapping[str, Column], ties: Sequence[str] = TIE_KEYS
 ) -> DataFrame:

@@ -9,7 +9,7 @@ partitions (times groups).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -56,22 +56,38 @@ def global_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (
     )
 
 
-def running_totals(
-    df: DataFrame, order: Sequence[Column], totals: Mapping[str, Column], group: Sequence[str] = ()
-) -> DataFrame:
-    """Add inclusive running sums in ``order``, within each ``group`` when given."""
-    values = df.select("*", *[expr.alias(f"_v_{name}") for name, expr in totals.items()])
-    ordered = _laid_out(values, group, order)
-    pieces = ordered.groupBy(*group, "_part").agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in totals])
-    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        *group, "_part", *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in totals]
-    )
+def totals_so_far(df: DataFrame, order: Sequence[Column], columns: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """Add inclusive running sums ``<column>_so_far`` in ``order`` and the sum ``<column>_in_all``, within each ``group``.
+
+    Totals of the partitions are taken first. Without groups they are one row per
+    partition, which the driver turns into literals; with groups they are joined
+    by group and partition, so that a large group is spread like its rows.
+    """
+    ordered = _laid_out(df, group, order)
+    pieces = ordered.groupBy(*group, "_part").agg(*[F.sum(c).alias(f"_p_{c}") for c in columns])
     inside = Window.partitionBy(*group, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    summed = ordered.select("*", *[F.sum(f"_v_{n}").over(inside).alias(f"_r_{n}") for n in totals])
-    # The window has already placed the rows by these keys, so only the offsets move.
-    joined = summed.join(offsets, [*group, "_part"])
-    return joined.select(*df.columns, *[(F.col(f"_b_{n}") + F.col(f"_r_{n}")).alias(n) for n in totals])
+    summed = ordered.withColumns({f"_r_{c}": F.sum(c).over(inside) for c in columns})
+    if group:
+        earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = pieces.select(
+            *group, "_part",
+            *[F.coalesce(F.sum(f"_p_{c}").over(earlier), F.lit(0)).alias(f"_b_{c}") for c in columns],
+            *[F.sum(f"_p_{c}").over(Window.partitionBy(*group)).alias(f"{c}_in_all") for c in columns],
+        )
+        # The window has already placed the rows by these keys, so only the offsets move.
+        summed = summed.join(offsets, [*group, "_part"])
+    else:
+        found = sorted(pieces.collect(), key=lambda row: row["_part"])
+        for c in columns:
+            starts, total = [], 0
+            for row in found:
+                starts += [F.lit(row["_part"]), F.lit(total)]
+                total += row[f"_p_{c}"]
+            before = F.element_at(F.create_map(*starts), F.col("_part")) if starts else F.lit(0)
+            summed = summed.withColumns({f"_b_{c}": before, f"{c}_in_all": F.lit(total)})
+    return summed.select(
+        *df.columns, *[(F.col(f"_b_{c}") + F.col(f"_r_{c}")).alias(f"{c}_so_far") for c in columns], *[f"{c}_in_all" for c in columns]
+    )
 
 
 def rows_at_ranks(
