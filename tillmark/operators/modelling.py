@@ -28,6 +28,7 @@ from .metrics import (
     scorer_metrics,
     split_population,
 )
+from .model_store import ModelStore, fingerprint, shared_store
 from .ordered import global_rank
 from .snapshot import INACTIVE_LABEL, Track
 
@@ -56,33 +57,45 @@ class Fitted:
     output: str
 
     def predict(self, df: DataFrame, name: str) -> DataFrame:
-        scored = self.model.transform(df)
+        scored = self.model.transform(df.drop(VECTOR))
         value = vector_to_array("probability")[1] if self.output == "probability" else F.col("prediction")
         return scored.select(*df.columns, value.alias(name))
 
 
+VECTOR = "raw_features"
+# Rows of a task while models are fitted; small panels are one task.
+ROWS_PER_TASK = 50_000
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="raw_features")
+    return VectorAssembler(inputCols=list(features), outputCol=VECTOR)
+
+
+def _fit(stages: list, train: DataFrame, features: Sequence[str]) -> PipelineModel:
+    """Fit on vectors that ``training_frame`` has assembled, or assemble them; the result assembles its own."""
+    assembler = _assembler(features)
+    frame = train if VECTOR in train.columns else assembler.transform(train)
+    return PipelineModel([assembler, *Pipeline(stages=stages).fit(frame).stages])
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 1500) -> Fitted:
     """Standardised logistic regression with unit inverse penalty."""
     rows = train.count()
-    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True)
+    scaler = StandardScaler(inputCol=VECTOR, outputCol="features", withMean=True)
     learner = LogisticRegression(
         labelCol=label, featuresCol="features", maxIter=max_iter, regParam=1.0 / rows, standardization=False
     )
-    return Fitted(Pipeline(stages=[_assembler(features), scaler, learner]).fit(train), "probability")
+    return Fitted(_fit([scaler, learner], train, features), "probability")
 
 
 def fit_boosted_classifier(train: DataFrame, features: Sequence[str], label: str, rounds: int, seed: int) -> Fitted:
-    learner = GBTClassifier(labelCol=label, featuresCol="raw_features", maxIter=rounds, seed=seed, **_TREES)
-    return Fitted(Pipeline(stages=[_assembler(features), learner]).fit(train), "probability")
+    learner = GBTClassifier(labelCol=label, featuresCol=VECTOR, maxIter=rounds, seed=seed, **_TREES)
+    return Fitted(_fit([learner], train, features), "probability")
 
 
 def fit_boosted_regressor(train: DataFrame, features: Sequence[str], label: str, rounds: int, seed: int) -> Fitted:
-    learner = GBTRegressor(labelCol=label, featuresCol="raw_features", maxIter=rounds, seed=seed, **_TREES)
-    return Fitted(Pipeline(stages=[_assembler(features), learner]).fit(train), "prediction")
+    learner = GBTRegressor(labelCol=label, featuresCol=VECTOR, maxIter=rounds, seed=seed, **_TREES)
+    return Fitted(_fit([learner], train, features), "prediction")
 
 
 def fit_classifier(name: str, train: DataFrame, track: Track, rounds: int, seed: int) -> Constant | Fitted:
@@ -101,29 +114,84 @@ def fit_value_model(name: str, train: DataFrame, track: Track, rounds: int, seed
 
 CLASSIFIERS = ("prior_baseline", "logistic_regression", "gradient_boosting")
 VALUE_MODELS = ("mean_baseline", "gradient_boosting")
+BASELINES = (CLASSIFIERS[0], VALUE_MODELS[0])
+# What a model is fitted on.
+SCOPES = {"train": ("train",), "development": ("train", "validation"), "all": ("train", "validation", "test")}
+
 
+def training_frame(panel: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The labelled panel with its feature vectors, written once: every boosting round reads it again."""
+    frame = checkpoint(_assembler(features).transform(panel))
+    return frame.coalesce(frame.count() // ROWS_PER_TASK + 1)
 
-def training_frame(panel: DataFrame) -> DataFrame:
-    """The labelled panel, written once: every boosting round reads it again."""
-    return checkpoint(panel)
 
+class ModelRun:
+    """Candidates of one panel and one set of settings; each is fitted once, also across queries of a cluster.
+
+    Models and metric rows live in ``folder`` (by default below the shared
+    checkpoint folder) under a fingerprint of the panel's rows and the settings.
+    """
+
+    def __init__(self, panel: DataFrame, track: Track, rounds: int | None = None, seed: int = 42, folder: str | None = None):
+        self.track, self.rounds, self.seed = track, rounds or ROUNDS[track.name], seed
+        self.panel = training_frame(panel, track.features)
+        columns = [*KEYS, "split", INACTIVE_LABEL, track.value_label, "recency_days", *track.features]
+        settings = {"track": track.name, "rounds": self.rounds, "seed": seed, "trees": _TREES, "version": panel.sparkSession.version}
+        self.mark = fingerprint(self.panel, sorted(set(columns)), settings)
+        spark = panel.sparkSession
+        self.store = ModelStore(spark, f"{folder or shared_store(spark)}/{self.mark}")
+
+    def rows(self, scope: str) -> DataFrame:
+        return self.panel.where(F.col("split").isin(*SCOPES.get(scope, (scope,))))
+
+    def classifier(self, name: str, scope: str) -> Constant | Fitted:
+        def fit() -> Constant | Fitted:
+            return fit_classifier(name, self.rows(scope), self.track, self.rounds, self.seed)
+
+        if name in BASELINES:
+            return fit()
+        return Fitted(self.store.model(f"risk-{name}-{scope}", lambda: fit().model), "probability")
+
+    def value_model(self, name: str, scope: str) -> Constant | Fitted:
+        def fit() -> Constant | Fitted:
+            return fit_value_model(name, self.rows(scope), self.track, self.rounds, self.seed)
+
+        if name in BASELINES:
+            return fit()
+        return Fitted(self.store.model(f"value-{name}-{scope}", lambda: fit().model), "prediction")
+
+    def _predicted(self, models: dict[str, Constant | Fitted], label: str) -> DataFrame:
+        """Predictions of every candidate for the validation rows, with the candidate's name."""
+        validation = self.rows("validation")
+        return _stack([
+            model.predict(validation, "predicted").select(*KEYS, label, "predicted", F.lit(name).alias("model"))
+            for name, model in models.items()
+        ])
 
-def select_models(
-    train: DataFrame, validation: DataFrame, track: Track, rounds: int, seed: int
-) -> tuple[str, str, DataFrame, DataFrame]:
-    """Highest validation AP and lowest validation MAE, with both metric tables (one row per model)."""
-    risk, value = [], []
-    for name in CLASSIFIERS:
-        model = fit_classifier(name, train, track, rounds, seed)
-        risk.append(model.predict(validation, "predicted").select(*KEYS, INACTIVE_LABEL, "predicted", F.lit(name).alias("model")))
-    for name in VALUE_MODELS:
-        model = fit_value_model(name, train, track, rounds, seed)
-        value.append(model.predict(validation, "predicted").select(track.value_label, "predicted", F.lit(name).alias("model")))
-    risk_table = classification_metrics(_stack(risk), INACTIVE_LABEL, "predicted", ["model"])
-    value_table = regression_metrics(_stack(value), track.value_label, "predicted", ["model"])
-    best_risk = max(risk_table.collect(), key=lambda r: (r["average_precision"], -CLASSIFIERS.index(r["model"])))
-    best_value = min(value_table.collect(), key=lambda r: (r["mae"], VALUE_MODELS.index(r["model"])))
-    return best_risk["model"], best_value["model"], risk_table, value_table
+    def risk_table(self) -> DataFrame:
+        """Validation metrics of the risk candidates, one row each."""
+        def made() -> DataFrame:
+            models = {name: self.classifier(name, "train") for name in CLASSIFIERS}
+            return classification_metrics(self._predicted(models, INACTIVE_LABEL), INACTIVE_LABEL, "predicted", ["model"])
+
+        return self.store.table("risk-validation", made)
+
+    def value_table(self) -> DataFrame:
+        """Validation metrics of the value candidates, one row each."""
+        def made() -> DataFrame:
+            models = {name: self.value_model(name, "train") for name in VALUE_MODELS}
+            label = self.track.value_label
+            return regression_metrics(self._predicted(models, label), label, "predicted", ["model"])
+
+        return self.store.table("value-validation", made)
+
+    def risk_name(self) -> str:
+        """The risk candidate of the highest validation AP; of equal ones the simpler."""
+        return max(self.risk_table().collect(), key=lambda r: (r["average_precision"], -CLASSIFIERS.index(r["model"])))["model"]
+
+    def value_name(self) -> str:
+        """The value candidate of the lowest validation MAE; of equal ones the simpler."""
+        return min(self.value_table().collect(), key=lambda r: (r["mae"], VALUE_MODELS.index(r["model"])))["model"]
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:
@@ -139,32 +207,37 @@ def permutation_importance(
     """Mean and deviation of the AP lost when one feature is shuffled, largest first.
 
     Rows get a random but repeatable place (rank of a seeded hash). A shuffled
-    column takes its values from the row a fixed number of places further,
-    different for each feature and repeat, so one ranking and one equi-join
-    serve all shuffles, and all of them are scored and measured in one pass.
+    column takes its value from the row a fixed number of places further, different
+    for each feature and repeat. Values are looked up one by one in a long table
+    (place, feature), so only the changed value of each row, feature and repeat
+    moves; the row itself moves once. All shuffles are scored and measured in one pass.
     """
     draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in KEYS]))
     rows = test.select(*KEYS, label, *features).withColumn("_draw", draw)
     placed = checkpoint(global_rank(rows, [F.col("_draw"), *map(F.col, KEYS)], name="_place").drop("_draw"))
     total = placed.count()
     chance = random.Random(seed)
-    plans = [("", 0, 0)] + [
-        (name, turn, chance.randrange(1, max(total, 2))) for name in features for turn in range(repeats)
-    ]
-    plan = F.explode(
-        F.array(*[
-            F.struct(F.lit(n).alias("feature"), F.lit(t).alias("turn"), F.lit(s).cast("bigint").alias("shift"))
-            for n, t, s in plans
-        ])
-    ).alias("plan")
-    donors = placed.select(F.col("_place").alias("_donor"), *[F.col(f).alias(f"_d_{f}") for f in features])
+    plans = [(name, turn, chance.randrange(1, max(total, 2))) for name in features for turn in range(repeats)]
+    plan = F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.lit(t).alias("turn"), F.lit(s).cast("bigint").alias("shift")) for n, t, s in plans
+    ])
+    values = placed.select(
+        F.col("_place").alias("_donor"),
+        F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])).alias("given"),
+    ).select("_donor", "given.*")
+    swapped = (
+        placed.select("_place", F.explode(plan).alias("plan"))
+        .select("_place", "plan.feature", "plan.turn", ((F.col("_place") - 1 + F.col("plan.shift")) % total + 1).alias("_donor"))
+        .join(values, ["_donor", "feature"])
+        .groupBy("_place").agg(F.collect_list(F.struct("feature", "turn", "value")).alias("swaps"))
+    )
+    as_is = F.struct(F.lit("").alias("feature"), F.lit(0).alias("turn"), F.lit(None).cast("double").alias("value"))
     shuffled = (
-        placed.select("*", plan)
-        .withColumn("_donor", (F.col("_place") - 1 + F.col("plan.shift")) % total + 1)
-        .join(donors, "_donor")
+        placed.join(swapped, "_place", "left")
+        .select(*KEYS, label, *features, F.explode(F.concat(F.array(as_is), F.coalesce("swaps", F.array().cast("array<struct<feature:string,turn:int,value:double>>")))).alias("swap"))
         .select(
-            *KEYS, label, F.col("plan.feature").alias("feature"), F.col("plan.turn").alias("turn"),
-            *[F.when(F.col("plan.feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)).alias(f) for f in features],
+            *KEYS, label, "swap.feature", "swap.turn",
+            *[F.when(F.col("swap.feature") == f, F.col("swap.value")).otherwise(F.col(f)).alias(f) for f in features],
         )
     )
     scored = model.predict(shuffled, "predicted")
@@ -218,15 +291,12 @@ def fit_evaluate(
 
     ``panel`` carries a ``split`` column with train, validation and test.
     """
-    rounds = rounds or ROUNDS[track.name]
-    panel = training_frame(panel)
+    run = ModelRun(panel, track, rounds, seed)
+    panel = run.panel
     require_evaluable(split_population(panel, INACTIVE_LABEL))
-    train, validation, test = (panel.where(F.col("split") == s) for s in ("train", "validation", "test"))
-    risk_name, value_name, risk_table, value_table = select_models(train, validation, track, rounds, seed)
-
-    development = panel.where(F.col("split").isin("train", "validation"))
-    classifier = fit_classifier(risk_name, development, track, rounds, seed)
-    value_model = fit_value_model(value_name, development, track, rounds, seed)
+    test, development = run.rows("test"), run.rows("development")
+    risk_name, value_name = run.risk_name(), run.value_name()
+    classifier, value_model = run.classifier(risk_name, "development"), run.value_model(value_name, "development")
     value_output = f"predicted_{track.name}90"
     predicted = value_model.predict(classifier.predict(test, "predicted_risk"), value_output)
     predictions = checkpoint(
@@ -244,15 +314,14 @@ def fit_evaluate(
     def ranking(scorer: str) -> DataFrame:
         return ranked.where(F.col("scorer") == scorer).drop("scorer")
 
-    final_risk = fit_classifier(risk_name, panel, track, rounds, seed)
-    final_value = fit_value_model(value_name, panel, track, rounds, seed)
+    final_risk, final_value = run.classifier(risk_name, "all"), run.value_model(value_name, "all")
     risk, value = risk_columns(track)
     return Evaluation(
         scores=final_value.predict(final_risk.predict(scoring, risk), value),
         predictions=predictions.drop("recency_days"),
         importance=permutation_importance(classifier, test, track.features, INACTIVE_LABEL, repeats, seed),
-        validation_risk=risk_table,
-        validation_value=value_table,
+        validation_risk=run.risk_table(),
+        validation_value=run.value_table(),
         test_risk=ranking("model"),
         test_risk_baseline=ranking("prior"),
         test_recency=ranking("recency").select(*RANKING_COLUMNS),

@@ -805,7 +805,7 @@ def _development(panel: DataFrame) -> DataFrame:
 
 def logistic_regression(spark, root):
     """Standardised logistic regression on train, risk for every validation customer."""
-    panel = modelling.training_frame(labelled_panel(spark, root))
+    panel = modelling.training_frame(labelled_panel(spark, root), MARGIN.features)
     model = modelling.fit_logistic(panel.where(F.col("split") == "train"), MARGIN.features, INACTIVE_LABEL)
     scored = model.predict(panel.where(F.col("split") == "validation"), "predicted_risk")
     return scored.select("customer_id", "snapshot_date", INACTIVE_LABEL, "predicted_risk")
@@ -813,7 +813,7 @@ def logistic_regression(spark, root):
 
 def gradient_boosting(spark, root):
     """Boosted value model on train and validation, prediction for every test customer."""
-    panel = modelling.training_frame(labelled_panel(spark, root))
+    panel = modelling.training_frame(labelled_panel(spark, root), MARGIN.features)
     model = modelling.fit_value_model(
         "gradient_boosting", _development(panel), MARGIN, modelling.ROUNDS["margin"], CONFIG.seed
     )
@@ -821,62 +821,71 @@ def gradient_boosting(spark, root):
     return scored.select("customer_id", "snapshot_date", MARGIN.value_label, "predicted_margin90")
 
 
+def _models(spark: SparkSession, root: str) -> modelling.ModelRun:
+    """Candidates of the labelled panel; queries of one session or cluster fit each of them once."""
+    return modelling.ModelRun(labelled_panel(spark, root), MARGIN, seed=CONFIG.seed)
+
+
 def model_selection(spark, root):
     """Validation metrics of every candidate and which one is selected."""
-    panel = modelling.training_frame(labelled_panel(spark, root))
-    risk_name, value_name, risk, value = modelling.select_models(
-        panel.where(F.col("split") == "train"), panel.where(F.col("split") == "validation"),
-        MARGIN, modelling.ROUNDS["margin"], CONFIG.seed,
-    )
-    risk = risk.select(F.lit("risk").alias("task"), "model", F.col("average_precision").alias("validation_metric"))
-    value = value.select(F.lit("value").alias("task"), "model", F.col("mae").alias("validation_metric"))
-    chosen = ((F.col("task") == "risk") & (F.col("model") == risk_name)) | (
-        (F.col("task") == "value") & (F.col("model") == value_name)
+    run = _models(spark, root)
+    risk = run.risk_table().select(F.lit("risk").alias("task"), "model", F.col("average_precision").alias("validation_metric"))
+    value = run.value_table().select(F.lit("value").alias("task"), "model", F.col("mae").alias("validation_metric"))
+    chosen = ((F.col("task") == "risk") & (F.col("model") == run.risk_name())) | (
+        (F.col("task") == "value") & (F.col("model") == run.value_name())
     )
     return risk.unionByName(value).withColumn("selected", chosen)
 
 
-def _selected(panel: DataFrame) -> tuple[str, str]:
-    """Names of the risk and the value model that are best on validation."""
-    return modelling.select_models(
-        panel.where(F.col("split") == "train"), panel.where(F.col("split") == "validation"),
-        MARGIN, modelling.ROUNDS["margin"], CONFIG.seed,
-    )[:2]
+def selection_candidates(spark, root):
+    """Candidates of each task, whether their metric is a number, and how many are selected."""
+    found = model_selection(spark, root)
+    selected = found.groupBy("task").agg(F.count_if("selected").alias("selected_of_task"))
+    return found.join(selected, "task").select("task", "model", F.col("validation_metric").isNotNull().alias("measured"), "selected_of_task")
 
 
 def score_customers(spark, root):
     """Selected models, refitted on all labelled customers, applied to the scoring snapshot."""
-    panel = modelling.training_frame(labelled_panel(spark, root))
+    run = _models(spark, root)
     scoring = snapshot_panel(margin_events(spark, root), [CONFIG.score_cutoff])
-    risk_name, value_name = _selected(panel)
-    classifier = modelling.fit_classifier(risk_name, panel, MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
-    value_model = modelling.fit_value_model(value_name, panel, MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
+    classifier, value_model = run.classifier(run.risk_name(), "all"), run.value_model(run.value_name(), "all")
     scored = value_model.predict(classifier.predict(scoring, "inactive_risk90"), "expected_margin90")
     return scored.select("customer_id", "snapshot_date", "inactive_risk90", "expected_margin90")
 
 
+def scored_keys(spark, root):
+    """Customers that ``score_customers`` scores, and whether their scores are possible ones."""
+    return score_customers(spark, root).select(
+        "customer_id", "snapshot_date", F.col("inactive_risk90").between(0, 1).alias("risk_in_range"),
+        F.col("expected_margin90").isNotNull().alias("value_given"),
+    )
+
+
 def feature_importance(spark, root):
     """AP lost on the test split when one feature of the selected risk model is shuffled."""
-    panel = modelling.training_frame(labelled_panel(spark, root))
-    risk_name, _ = _selected(panel)
-    model = modelling.fit_classifier(risk_name, _development(panel), MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
-    return modelling.permutation_importance(
-        model, panel.where(F.col("split") == "test"), MARGIN.features, INACTIVE_LABEL
-    )
+    run = _models(spark, root)
+    model = run.classifier(run.risk_name(), "development")
+    return modelling.permutation_importance(model, run.rows("test"), MARGIN.features, INACTIVE_LABEL)
 
 
 def test_predictions(spark, root):
     """Truth next to the selected models' predictions for every test customer."""
-    panel = modelling.training_frame(labelled_panel(spark, root))
-    risk_name, value_name = _selected(panel)
-    model = modelling.fit_classifier(risk_name, _development(panel), MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
-    value = modelling.fit_value_model(value_name, _development(panel), MARGIN, modelling.ROUNDS["margin"], CONFIG.seed)
-    scored = value.predict(model.predict(panel.where(F.col("split") == "test"), "predicted_risk"), "predicted_margin90")
+    run = _models(spark, root)
+    model, value = run.classifier(run.risk_name(), "development"), run.value_model(run.value_name(), "development")
+    scored = value.predict(model.predict(run.rows("test"), "predicted_risk"), "predicted_margin90")
     return scored.select(
         "customer_id", "snapshot_date", INACTIVE_LABEL, MARGIN.value_label, "predicted_risk", "predicted_margin90"
     )
 
 
+def test_prediction_labels(spark, root):
+    """Keys and truth of ``test_predictions``, and whether the predictions are possible ones."""
+    return rounded(test_predictions(spark, root), MARGIN.value_label, digits=2).select(
+        "customer_id", "snapshot_date", INACTIVE_LABEL, MARGIN.value_label,
+        F.col("predicted_risk").between(0, 1).alias("risk_in_range"), F.col("predicted_margin90").isNotNull().alias("value_given"),
+    )
+
+
 def segment_overview(spark: SparkSession, root: str) -> DataFrame:
     """Flagship: customers, revenue and average recency per fixed-threshold segment."""
     features = snapshot_panel(margin_events(spark, root), [CONFIG.test_cutoff])
@@ -916,7 +925,7 @@ QUERIES: dict[str, Query] = {
         scatter_recency_value, scatter_risk_value, measures_scores,
         split_population, baseline_predictions, classification_metrics, classification_metrics_by_group,
         average_precision, roc_auc, lift_at_20pct, recency_ranking, regression_metrics, model_metrics, measures_model,
-        logistic_regression, gradient_boosting, model_selection, score_customers, feature_importance,
-        test_predictions,
+        logistic_regression, gradient_boosting, model_selection, selection_candidates, score_customers, scored_keys,
+        feature_importance, test_predictions, test_prediction_labels,
     )
 }
