@@ -49,6 +49,12 @@ def cohort_retention(events: DataFrame, cutoff: str) -> DataFrame:
     )
 
 
+def calendar_ages(start: str, cutoff: str) -> range:
+    """All ages that a cohort from ``start`` on can have in complete months before the cutoff's month."""
+    first, end = as_moment(start), as_moment(cutoff)
+    return range(max(0, (end.year - first.year) * 12 + end.month - first.month))
+
+
 def cohort_matrix(retention: DataFrame, ages: Sequence[int] | None = None) -> DataFrame:
     """Cohorts as rows, ages as columns ``age_n``; cells that do not exist stay null.
 

@@ -6,11 +6,13 @@ windows hold it. A sale outside all windows gives one lifetime row that only
 serves the date of the first purchase, so the copies stay bounded however long
 the history is.
 
-Copies are summed per (cutoff, customer, order) first. That turns the distinct
-order counts into sums of flags, and where the events come out of a join on the
-order key this step needs no shuffle. Distinct categories, brands or products
-are counted apart from the few columns they need; both results end up
-partitioned by (cutoff, customer), so joining them moves nothing.
+Copies are summed per (cutoff, customer, order) first, with the set of what the
+order sold. Where the events come out of a join on the order key, this step keeps
+the join's partitioning. The orders are written once and read twice: their sums
+are added up per customer, and their distinct products per customer are joined
+with the product table to count categories and brands. So lines are read and moved
+once, never by product; what moves by product is one row per cutoff, customer and
+product.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from ..config import (
 )
 from ..functions.dates import days, days_between, moment
 from ..functions.money import from_minor, ratio
+from ..session import stored
 
 _LIFETIME = "0001-01-01"
 _SHARED = [
@@ -81,12 +84,19 @@ def _by_cutoff(events: DataFrame, cutoffs: Sequence[str], before: int, after: in
     return events.withColumn("cutoff", F.explode(F.array(*copies))).where(F.col("cutoff").isNotNull())
 
 
-def _variety(events: DataFrame, cutoffs: Sequence[str], history_days: int, facets: dict[str, str]) -> DataFrame:
-    """Distinct values of each facet column among the sales of the history window."""
-    sales = _by_cutoff(events.where(F.col("event_type") == "sale"), cutoffs, history_days, 0, lifetime=False)
-    return sales.groupBy("cutoff", "customer_id").agg(
-        *[F.count_distinct(column).alias(name) for name, column in facets.items()]
-    )
+def _variety(orders: DataFrame, facets: dict[str, str], products: DataFrame | None) -> DataFrame:
+    """Distinct values of each facet column among what the orders of the history window sold.
+
+    Facets of ``products`` are looked up after a customer's products are distinct.
+    The sets are as long as there are categories or brands, and a product counts itself.
+    """
+    sold = orders.select("cutoff", "customer_id", F.explode("sold").alias("sold")).select("cutoff", "customer_id", "sold.*").distinct()
+    if products is not None:
+        sold = sold.join(products.select("product_id", *facets.values()), "product_id", "left")
+    counts = {
+        name: F.count(column) if column == "product_id" else F.size(F.collect_set(column)) for name, column in facets.items()
+    }
+    return sold.groupBy("cutoff", "customer_id").agg(*[count.cast("bigint").alias(name) for name, count in counts.items()])
 
 
 def snapshot_panel(
@@ -98,11 +108,13 @@ def snapshot_panel(
     history_days: int = HISTORY_DAYS,
     active_days: int = ACTIVE_DAYS,
     horizon_days: int = HORIZON_DAYS,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """Customer features at each cutoff, with forward labels when ``labelled``.
 
     The population is every customer with a sale in the history window whose
-    last one is at most ``active_days`` old.
+    last one is at most ``active_days`` old. ``products`` (product_id, category,
+    brand) is for events that do not carry these columns themselves.
     """
     if labelled:
         if observed_until is None:
@@ -152,10 +164,14 @@ def snapshot_panel(
     if labelled:
         sums |= {"purchases_next": seen(future & is_sale), "value_next": units(track.value_column, future)}
 
-    per_order = rows.groupBy("cutoff", "customer_id", "order_id").agg(
-        F.min(F.when(is_sale, time)).alias("first_sale"),
-        F.max(F.when(sold, time)).alias("last_sale"),
-        *[expression.alias(name) for name, expression in sums.items()],
+    carried = ["product_id"] if products is not None else list(facets.values())
+    per_order = stored(
+        rows.groupBy("cutoff", "customer_id", "order_id").agg(
+            F.min(F.when(is_sale, time)).alias("first_sale"),
+            F.max(F.when(sold, time)).alias("last_sale"),
+            F.collect_set(F.when(sold, F.struct(*carried))).alias("sold"),
+            *[expression.alias(name) for name, expression in sums.items()],
+        )
     )
     per_customer = per_order.groupBy("cutoff", "customer_id").agg(
         F.min("first_sale").alias("first_sale"),
@@ -170,7 +186,7 @@ def snapshot_panel(
         per_customer.withColumn("first_sale", first_ever)
         .where(windowed & F.col("last_sale").isNotNull() & (recency <= active_days))
     )
-    features = eligible.join(_variety(events, cutoffs, history_days, facets), ["cutoff", "customer_id"])
+    features = eligible.join(_variety(per_order, facets, products), ["cutoff", "customer_id"], "left")
 
     derived = {
         "recency_days": recency,
@@ -205,4 +221,4 @@ def require_sales_history(features: DataFrame, cutoffs: Sequence[str]) -> None:
     present = {str(row["snapshot_date"]) for row in features.select("snapshot_date").distinct().collect()}
     missing = [c for c in cutoffs if str(as_moment(c).date()) not in present]
     if missing:
-        raise ValueError(f"No sales history before {missing}.")
+        raise ValueError(f"Nobody has bought before the cutoffs {missing}.")

@@ -760,8 +760,10 @@ SELECT customer_id, r_score, f_score, m_score FROM segmented""",
     "rfm_quintile_segments": f"""WITH {_panel([TEST], revenue=True)},{QUINTILES}
 SELECT customer_id, snapshot_date, rfm_score, segment FROM segmented""",
     "cohort_retention": f"WITH {EV},{COHORTS} SELECT * FROM retention",
-    "cohort_matrix": f"PIVOT (WITH {EV},{COHORTS} SELECT cohort, 'age_' || month_index AS age, retention_rate FROM retention) "
-    "ON age USING round(max(retention_rate), 6) GROUP BY cohort",
+    "cohort_matrix": f"WITH {EV},{COHORTS} SELECT cohort, " + ", ".join(
+        f"round(max(retention_rate) FILTER (WHERE month_index = {age}), 6) AS age_{age}"
+        for age in range((2001 - 1995) * 12 + 7)
+    ) + " FROM retention GROUP BY cohort",
     "customer_affinity": f"WITH {EV},{PRODUCTS},{FAVOURITES} SELECT * FROM favourites",
     "top_product": f"{REVENUE_SCORES} SELECT * FROM tops",
     "ltv_scenario": f"WITH {_portfolio(SCORE)} SELECT customer_id, expected_margin90, ltv_3year_scenario FROM scores",
@@ -835,4 +837,12 @@ SELECT max(value) FILTER (WHERE metric = 'average_precision') AS average_precisi
        round((max(baseline) FILTER (WHERE metric = 'revenue_mae') - max(value) FILTER (WHERE metric = 'revenue_mae'))
              / max(baseline) FILTER (WHERE metric = 'revenue_mae'), 6) AS mae_improvement
 FROM shown""",
+    "selection_candidates": """SELECT task, model, true AS measured, CAST(1 AS BIGINT) AS selected_of_task FROM (VALUES
+  ('risk', 'prior_baseline'), ('risk', 'logistic_regression'), ('risk', 'gradient_boosting'),
+  ('value', 'mean_baseline'), ('value', 'gradient_boosting')) AS candidates(task, model)""",
+    "scored_keys": f"""WITH {_panel([SCORE])}
+SELECT customer_id, snapshot_date, true AS risk_in_range, true AS value_given FROM panel""",
+    "test_prediction_labels": f"""WITH {_panel([TEST])}
+SELECT customer_id, snapshot_date, inactive_next90, round(value_next, 2) AS margin_next90, true AS risk_in_range,
+       true AS value_given FROM panel""",
 }

@@ -29,6 +29,7 @@ CONFIG = RunConfig(
     test_cutoff="2000-07-01",
     score_cutoff="2001-08-02",
     observed_until="2001-08-02",
+    start="1995-01-01",
 )
 LIMITS = rfm.Thresholds(frequency=(4, 3, 2, 1), money=(400000, 250000, 150000, 50000))
 PERIOD = ("2000-01-01", "2001-01-01")
@@ -43,13 +44,14 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 # ------------------------------------------------------------------ shared inputs
 
 
-def margin_events(spark: SparkSession, root: str) -> DataFrame:
-    return tables.sales_events(spark, root, ("category", "brand"))
+def margin_panel(spark: SparkSession, root: str, cutoffs: list[str], **settings) -> DataFrame:
+    """Margin snapshots; categories and brands are looked up per customer and product, not per line."""
+    return snapshot_panel(tables.sales_events(spark, root), cutoffs, products=tables.products(spark, root), **settings)
 
 
 def labelled_panel(spark: SparkSession, root: str) -> DataFrame:
-    panel = snapshot_panel(
-        margin_events(spark, root), CONFIG.labelled_cutoffs, labelled=True, observed_until=CONFIG.observed_until
+    panel = margin_panel(
+        spark, root, CONFIG.labelled_cutoffs, labelled=True, observed_until=CONFIG.observed_until
     )
     return with_split(panel)
 
@@ -63,8 +65,8 @@ def with_split(panel: DataFrame) -> DataFrame:
 
 def held_out(spark: SparkSession, root: str) -> DataFrame:
     """Labelled test snapshot with the deterministic risk and value scores."""
-    panel = snapshot_panel(
-        margin_events(spark, root), [CONFIG.test_cutoff], labelled=True, observed_until=CONFIG.observed_until
+    panel = margin_panel(
+        spark, root, [CONFIG.test_cutoff], labelled=True, observed_until=CONFIG.observed_until
     )
     return with_simple_scores(panel)
 
@@ -79,7 +81,7 @@ def with_simple_scores(features: DataFrame) -> DataFrame:
 
 def portfolio(spark: SparkSession, root: str, cutoffs: tuple[str, ...] = (CONFIG.score_cutoff,)) -> DataFrame:
     """Segmented and scored customers at the given cutoffs."""
-    features = snapshot_panel(margin_events(spark, root), cutoffs)
+    features = margin_panel(spark, root, cutoffs)
     scored = with_simple_scores(rfm.fixed_segments(features, LIMITS))
     return scored.withColumn("ltv_3year_scenario", round_cents(campaign.ltv_scenario(F.col("expected_margin90"))))
 
@@ -513,7 +515,7 @@ def date_parts(spark, root):
 
 
 def snapshot_features(spark, root):
-    return snapshot_panel(margin_events(spark, root), [CONFIG.test_cutoff])
+    return margin_panel(spark, root, [CONFIG.test_cutoff])
 
 
 def snapshot_features_revenue(spark, root):
@@ -561,7 +563,7 @@ def split_plan(spark, root):
 
 
 def rfm_fixed_segments(spark, root):
-    features = snapshot_panel(margin_events(spark, root), [CONFIG.test_cutoff])
+    features = margin_panel(spark, root, [CONFIG.test_cutoff])
     return rfm.fixed_segments(features, LIMITS).select(
         "customer_id", "snapshot_date", "r_score", "f_score", "m_score", "rfm_score", "segment"
     )
@@ -585,7 +587,8 @@ def cohort_retention(spark, root):
 
 
 def cohort_matrix(spark, root):
-    matrix = cohort.cohort_matrix(checkpoint(cohort_retention(spark, root)))
+    """Ages run over the whole calendar of the configuration, so the columns do not depend on the data."""
+    matrix = cohort.cohort_matrix(cohort_retention(spark, root), cohort.calendar_ages(CONFIG.start, CONFIG.score_cutoff))
     return rounded(matrix, *[c for c in matrix.columns if c != "cohort"])
 
 
@@ -799,33 +802,25 @@ def measures_model(spark, root):
 # ------------------------------------------------------------------- trained models
 
 
-def _development(panel: DataFrame) -> DataFrame:
-    return panel.where(F.col("split").isin("train", "validation"))
+def _models(spark: SparkSession, root: str) -> modelling.ModelRun:
+    """Candidates of the labelled panel; queries of one session or cluster fit each of them once."""
+    return modelling.ModelRun(labelled_panel(spark, root), MARGIN, seed=CONFIG.seed)
 
 
 def logistic_regression(spark, root):
     """Standardised logistic regression on train, risk for every validation customer."""
-    panel = modelling.training_frame(labelled_panel(spark, root), MARGIN.features)
-    model = modelling.fit_logistic(panel.where(F.col("split") == "train"), MARGIN.features, INACTIVE_LABEL)
-    scored = model.predict(panel.where(F.col("split") == "validation"), "predicted_risk")
+    run = _models(spark, root)
+    scored = run.classifier("logistic_regression", "train").predict(run.rows("validation"), "predicted_risk")
     return scored.select("customer_id", "snapshot_date", INACTIVE_LABEL, "predicted_risk")
 
 
 def gradient_boosting(spark, root):
     """Boosted value model on train and validation, prediction for every test customer."""
-    panel = modelling.training_frame(labelled_panel(spark, root), MARGIN.features)
-    model = modelling.fit_value_model(
-        "gradient_boosting", _development(panel), MARGIN, modelling.ROUNDS["margin"], CONFIG.seed
-    )
-    scored = model.predict(panel.where(F.col("split") == "test"), "predicted_margin90")
+    run = _models(spark, root)
+    scored = run.value_model("gradient_boosting", "development").predict(run.rows("test"), "predicted_margin90")
     return scored.select("customer_id", "snapshot_date", MARGIN.value_label, "predicted_margin90")
 
 
-def _models(spark: SparkSession, root: str) -> modelling.ModelRun:
-    """Candidates of the labelled panel; queries of one session or cluster fit each of them once."""
-    return modelling.ModelRun(labelled_panel(spark, root), MARGIN, seed=CONFIG.seed)
-
-
 def model_selection(spark, root):
     """Validation metrics of every candidate and which one is selected."""
     run = _models(spark, root)
@@ -847,7 +842,7 @@ def selection_candidates(spark, root):
 def score_customers(spark, root):
     """Selected models, refitted on all labelled customers, applied to the scoring snapshot."""
     run = _models(spark, root)
-    scoring = snapshot_panel(margin_events(spark, root), [CONFIG.score_cutoff])
+    scoring = margin_panel(spark, root, [CONFIG.score_cutoff])
     classifier, value_model = run.classifier(run.risk_name(), "all"), run.value_model(run.value_name(), "all")
     scored = value_model.predict(classifier.predict(scoring, "inactive_risk90"), "expected_margin90")
     return scored.select("customer_id", "snapshot_date", "inactive_risk90", "expected_margin90")
@@ -888,7 +883,7 @@ def test_prediction_labels(spark, root):
 
 def segment_overview(spark: SparkSession, root: str) -> DataFrame:
     """Flagship: customers, revenue and average recency per fixed-threshold segment."""
-    features = snapshot_panel(margin_events(spark, root), [CONFIG.test_cutoff])
+    features = margin_panel(spark, root, [CONFIG.test_cutoff])
     report = (
         rfm.fixed_segments(features, LIMITS)
         .groupBy("segment")
