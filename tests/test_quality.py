@@ -1,14 +1,15 @@
+import dataclasses
 import datetime
 import random
 
 import pytest
 from conftest import event
+from pyspark.sql import functions as F
 
 from tillmark.functions import values
 from tillmark.operators import quality
 from tillmark.operators.dedup import keep_first
 from tillmark.operators.returns import accepted_returns, matching_returns
-from pyspark.sql import functions as F
 
 RAW = (
     "event_id", "order_id", "customer_record_id", "product_id", "event_time", "event_type", "quantity", "unit_price",
@@ -139,6 +140,48 @@ def test_greedy_returns_equal_brute_force_with_a_hot_sale(events):
     assert {r["event_id"] for r in accepted_returns(events(*rows)).collect()} == expected
 
 
+def test_a_sale_of_a_million_units(events):
+    """100,000 returns of one sale that ask for more than it had: one pass over them, no growing state."""
+    spark = events(event("S", "2025-01-01", quantity=1_000_000, order="O")).sparkSession
+    sale = events(event("S", "2025-01-01", quantity=1_000_000, order="O"))
+    one = events(event("R", "2025-01-02", "return", "S", 1, order="O")).drop("event_id", "quantity", "event_time")
+    numbered = spark.range(100_000).select(
+        F.format_string("R%06d", "id").alias("event_id"), (F.col("id") % 21 + 1).cast("double").alias("quantity"),
+        (F.lit(datetime.datetime(2025, 1, 2)).cast("timestamp_ntz") + F.make_interval(secs=F.col("id"))).cast("timestamp_ntz").alias("event_time"),
+    )
+    rows = sale.unionByName(numbered.crossJoin(one))
+    found = {r["event_id"] for r in accepted_returns(rows).collect()}
+    assert found == greedy(1_000_000, [(i, f"R{i:06d}", i % 21 + 1) for i in range(100_000)])
+
+
+def test_returns_that_fit_together_need_no_order(events):
+    rows = [event("S", "2025-01-01", quantity=6, order="O")]
+    rows += [event(f"R{i}", "2025-01-02", "return", "S", size, order="O") for i, size in enumerate([1, 2, 3])]
+    assert {r["event_id"] for r in accepted_returns(events(*rows)).collect()} == {"R0", "R1", "R2"}
+
+
+def test_a_lost_row_breaks_the_reconciliation(spark, dims):
+    rows = raw(spark, event("A", "2025-01-01"), event("B", "2025-01-02"), event("A", "2025-01-01"))
+    cleaned = quality.clean_events(rows, *dims, "2025-02-01")
+    quality.require_reconciled(quality.quality_report(cleaned))
+    for lost in (
+        dataclasses.replace(cleaned, accepted=cleaned.accepted.where("event_id <> 'B'")),
+        dataclasses.replace(cleaned, screened=cleaned.screened.where("event_id <> 'A'")),
+        dataclasses.replace(cleaned, raw_rows=4),
+    ):
+        with pytest.raises(ValueError, match="do not equal"):
+            quality.require_reconciled(quality.quality_report(lost))
+
+
+def test_rows_beyond_two_to_the_fortieth(spark):
+    far = 2**41 + 7
+    rows = [("UK", "7", "Cup", "100", "2010-01-01", "1.5", "2", "S", "b", far), ("UK", "7", "Cup", "100", "2010-01-01", "1.5", "2", "S", "b", far - 1),
+            ("UK", "8", "Cup", "100", "2010-01-01", "1.5", "2", "S", "b", 2), ("UK", "8", "Cup", "100", "2010-01-01", "1.5", "2", "S", "a", far + 5)]
+    df = spark.createDataFrame(rows, [*quality.LINE_COLUMNS, "source_sheet", "source_row"])
+    found = {(r["Customer ID"], r["source_sheet"], r["source_row"], r["_copies"]) for r in quality.first_lines(df, ["a", "b"]).collect()}
+    assert found == {("7", "b", far - 1, 2), ("8", "a", far + 5, 2)}
+
+
 def test_keep_first_follows_the_position(spark):
     df = spark.createDataFrame(
         [("a", None, 3, "late"), ("a", None, 1, "first"), ("b", 1, 2, "only")], "k string, n int, at bigint, note string"

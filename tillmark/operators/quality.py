@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import moment
@@ -17,7 +17,7 @@ from ..functions.values import (
     lenient_timestamp,
     strip,
 )
-from ..session import checkpoint
+from ..session import stored
 from ..sources.tables import with_accounting, with_plain_revenue
 from .constraints import assert_unique
 from .dedup import drop_exact_duplicates, keep_first
@@ -45,17 +45,24 @@ QUALITY_METRICS = (
     ("reconciled", "Row reconciliation", "boolean", "pass or fail"),
 )
 _NUMBERS = ("quantity", "unit_price", "discount_rate", "unit_cost")
-_SHEET_BITS = 40
+# Equal input rows behind a screened row.
+COPIES = "_copies"
+# Position of a row over all sheets: sheet times this plus row, a decimal with room for both.
+_SHEET_STEP = 10**19
 
 
 @dataclass(frozen=True)
 class Cleaned:
-    """Outcome of a cleaning run: every screened row is either accepted or quarantined."""
+    """Outcome of a cleaning run: every screened row is either accepted or quarantined.
+
+    ``screened`` carries the number of equal input rows of each row; ``raw_rows``
+    was counted on the input itself.
+    """
 
     accepted: DataFrame
     quarantine: DataFrame
     screened: DataFrame
-    raw: DataFrame
+    raw_rows: int
 
 
 # ---------------------------------------------------------------- margin track
@@ -86,7 +93,7 @@ def screen_events(raw: DataFrame, products: DataFrame, mapping: DataFrame, obser
     and brand, so an accepted row needs no further join. Return references are
     not judged here.
     """
-    events = drop_exact_duplicates(raw.fillna({"origin_event_id": ""}))
+    events = drop_exact_duplicates(raw.fillna({"origin_event_id": ""}), COPIES)
     events = events.withColumns(
         {"event_time": lenient_timestamp(F.col("event_time")), **{c: lenient_number(F.col(c)) for c in _NUMBERS}}
     )
@@ -108,13 +115,14 @@ def clean_events(
     if check_keys:
         assert_unique(products, ["product_id"], "product_id must be unique.")
         assert_unique(mapping, ["record_id"], "record_id must be unique.")
-    screened = checkpoint(screen_events(raw, products, mapping, observed_until))
+    seen = Observation()
+    screened = stored(screen_events(raw.observe(seen, F.count(F.lit(1)).alias("rows")), products, mapping, observed_until))
     if check_keys:
         assert_unique(screened, ["event_id"], "Conflicting rows share an event_id; reconcile the source.")
     good = F.col("rejection_reason").isNull()
     open_return = good & F.coalesce(F.col("event_type") == "return", F.lit(False))
-    passed = accepted_returns(screened.where(good), shared).withColumn("_passed", F.lit(True))
-    # Only the returns take part in the join with the verdicts.
+    # Returns are decided once; only they take part in the join with the verdicts.
+    passed = stored(accepted_returns(screened.where(good), shared).withColumn("_passed", F.lit(True)))
     returns = (
         screened.where(open_return)
         .join(passed, "event_id", "left")
@@ -123,10 +131,10 @@ def clean_events(
     )
     judged = screened.where(~open_return).unionByName(returns)
     return Cleaned(
-        accepted=with_accounting(judged.where(good).drop("rejection_reason")),
-        quarantine=judged.where(~good),
+        accepted=with_accounting(judged.where(good).drop("rejection_reason", COPIES)),
+        quarantine=judged.where(~good).drop(COPIES),
         screened=screened,
-        raw=raw,
+        raw_rows=seen.get["rows"],
     )
 
 
@@ -157,12 +165,12 @@ def first_lines(raw: DataFrame, sheets: Sequence[str]) -> DataFrame:
     """Drop rows equal on all business columns, keeping the first by part and row."""
     require_columns(raw, LINE_COLUMNS)
     ordinal = F.array_position(F.lit(list(sheets)), F.col("source_sheet")) - 1
-    position = F.shiftleft(ordinal.cast("bigint"), _SHEET_BITS) + F.col("source_row")
-    kept = keep_first(raw.select(*LINE_COLUMNS, position.alias("_position")), LINE_COLUMNS, "_position")
-    sheet = F.element_at(F.lit(list(sheets)), F.shiftright("_position", _SHEET_BITS).cast("int") + 1)
-    return kept.withColumns(
-        {"source_sheet": sheet, "source_row": F.col("_position").bitwiseAND(F.lit((1 << _SHEET_BITS) - 1))}
-    ).drop("_position")
+    step = F.lit(str(_SHEET_STEP)).cast("decimal(20,0)")
+    position = (ordinal.cast("decimal(10,0)") * step + F.col("source_row").cast("decimal(19,0)")).cast("decimal(38,0)")
+    kept = keep_first(raw.select(*LINE_COLUMNS, position.alias("_position")), LINE_COLUMNS, "_position", COPIES)
+    place = F.call_function("div", F.col("_position"), step)
+    row = (F.col("_position") - (place.cast("decimal(10,0)") * step).cast("decimal(38,0)")).cast("bigint")
+    return kept.withColumns({"source_sheet": F.element_at(F.lit(list(sheets)), place.cast("int") + 1), "source_row": row}).drop("_position")
 
 
 def screen_lines(lines: DataFrame) -> DataFrame:
@@ -211,14 +219,14 @@ def clean_lines(parts: Mapping[str, DataFrame], order: Sequence[str], prefix: st
     """Union, deduplicate, quarantine and type the revenue-track parts."""
     for part in parts.values():
         require_columns(part, LINE_COLUMNS)
-    raw = union_with_provenance(parts, order)
-    screened = checkpoint(screen_lines(first_lines(raw, list(parts))))
+    raw_rows = sum(part.count() for part in parts.values())
+    screened = stored(screen_lines(first_lines(union_with_provenance(parts, order), list(parts))))
     good = F.col("quarantine_reason").isNull()
     return Cleaned(
         accepted=type_and_key(screened.where(good), prefix),
-        quarantine=screened.where(~good),
+        quarantine=screened.where(~good).drop(COPIES),
         screened=screened,
-        raw=raw,
+        raw_rows=raw_rows,
     )
 
 
@@ -238,6 +246,8 @@ def reason_counts(quarantine: DataFrame, column: str = "rejection_reason") -> Da
 def quality_report(cleaned: Cleaned, extra: Mapping[str, Column] | None = None) -> DataFrame:
     """One row that reconciles raw = duplicates removed + quarantined + accepted rows.
 
+    All four are counted apart: input rows on the input, duplicates where they were
+    removed, the others in what came out, so a row lost in between is noticed.
     ``extra`` adds aggregates over the accepted rows.
     """
     extra = extra or {}
@@ -249,10 +259,12 @@ def quality_report(cleaned: Cleaned, extra: Mapping[str, Column] | None = None)
     )
     # One-row tables become one row by summing their union.
     parts = accepted
-    for name, rows in (("raw", cleaned.raw), ("screened", cleaned.screened), ("quarantined", cleaned.quarantine)):
-        parts = parts.unionByName(rows.agg(F.count("*").alias(f"{name}_rows")), allowMissingColumns=True)
-    totals = parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
-    removed = F.col("raw_rows") - F.col("screened_rows")
+    quarantined = cleaned.quarantine.agg(F.count("*").alias("quarantined_rows"))
+    repeated = cleaned.screened.agg(F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).alias("removed"))
+    for counted in (quarantined, repeated):
+        parts = parts.unionByName(counted, allowMissingColumns=True)
+    totals = parts.agg(*[F.sum(c).alias(c) for c in parts.columns]).withColumn("raw_rows", F.lit(cleaned.raw_rows).cast("bigint"))
+    removed = F.col("removed")
     balanced = F.col("raw_rows") == removed + F.col("quarantined_rows") + F.col("accepted_rows")
     return totals.select(
         "raw_rows",

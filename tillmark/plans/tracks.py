@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 import pyspark
 from pyspark.sql import DataFrame, SparkSession
@@ -117,7 +117,7 @@ def run_margin_track(
     people = identity.unified_customers(audit)
     cleaned = quality.clean_events(raw_events, products, audit, config.observed_until, shared)
     events = checkpoint(cleaned.accepted)
-    cleaned = quality.Cleaned(events, cleaned.quarantine, cleaned.screened, cleaned.raw)
+    cleaned = replace(cleaned, accepted=events)
     report = checkpoint(quality.quality_report(cleaned))
     quality.require_reconciled(report)
 
@@ -169,7 +169,7 @@ def run_revenue_track(
     validate_split_plan(config)
     cleaned = quality.clean_lines(parts, order, prefix)
     events = checkpoint(cleaned.accepted)
-    cleaned = quality.Cleaned(events, cleaned.quarantine, cleaned.screened, cleaned.raw)
+    cleaned = replace(cleaned, accepted=events)
     _require_data_before_end(events, config)
     report = checkpoint(quality.quality_report(cleaned, quality.revenue_quality_columns()))
     quality.require_reconciled(report)
