@@ -1,8 +1,8 @@
-"""Exact money: amounts are summed as whole minor units in a 64-bit integer.
+"""Exact money: amounts are whole minor units, 64-bit in a line and decimal in a sum.
 
-Integer sums do not depend on the order in which partitions arrive. With cents
-a group holds up to 9.2e16 currency units; past that ANSI arithmetic raises, so
-totals over a whole table go through :func:`wide_sum`.
+Such sums do not depend on the order in which partitions arrive. Sums of one
+customer or order stay in 64 bits (up to 9.2e16 currency units with cents, past
+that ANSI arithmetic raises); measures and reports go through :func:`sum_minor`.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ def to_minor(amount: Column, digits: int = 2) -> Column:
 
 
 def from_minor(units: Column, digits: int = 2) -> Column:
-    return units / F.lit(10**digits)
+    return units.cast("double") / F.lit(10**digits)
 
 
 def round_cents(amount: Column) -> Column:
@@ -25,14 +25,14 @@ def round_cents(amount: Column) -> Column:
 
 
 def sum_minor(units: Column, only: Column | None = None) -> Column:
-    """Sum of minor units, 0 for a group without a matching row."""
+    """Sum of minor units, 0 for a group without a matching row; cannot overflow."""
     value = units if only is None else F.when(only, units)
-    return F.coalesce(F.sum(value), F.lit(0))
+    return F.coalesce(wide_sum(value), F.lit(0))
 
 
 def wide_sum(units: Column) -> Column:
-    """Sum that cannot overflow; for totals of already aggregated rows."""
-    return F.sum(units.cast("decimal(20,0)"))
+    """Sum in a decimal, which holds ten billion times the largest 64-bit number."""
+    return F.sum(units.cast("decimal(28,0)"))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import spreadsheet_safe
-from ..sources.files import write_delimited
+from ..sources.files import Folder, read_typed, write_delimited
 from .constraints import contract_findings
 
 # Ordered columns and types of the revenue-track report contract.
@@ -110,6 +111,19 @@ def read_mart(spark: SparkSession, root: str, name: str, contract: Mapping[str,
     return spark.read.schema(ddl).parquet(f"{root}/parquet/{name}")
 
 
+def read_delimited_mart(spark: SparkSession, root: str, name: str, contract: Mapping[str, str]) -> DataFrame:
+    """Typed scan of a delimited mart; stops at the first row that is not of the contract's types."""
+    rows = read_typed(spark, f"{root}/csv/{name}", contract[name])
+    broken = F.raise_error(F.concat(F.lit(f"Row of {name} breaks its contract: "), F.col("_rejected")))
+    columns = contract_columns(contract[name])
+    return rows.where(F.when(F.col("_rejected").isNotNull(), broken.cast("boolean")).otherwise(F.lit(True))).select(*columns)
+
+
+def write_in_order(df: DataFrame, path: str, order: Sequence[str] = ("event_time", "event_id")) -> None:
+    """Parquet files whose names and rows follow ``order``, for readers that need the sequence of events."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
+
+
 def require_no_nan(df: DataFrame) -> None:
     """A document must not hold NaN or an infinite number."""
     numbers = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("double", "float")]
@@ -130,34 +144,50 @@ def load_tables(
 ) -> DataFrame:
     """Publish tables under the contract and reconcile row counts.
 
-    Headers must match the contract, a target must not exist, empty text
-    becomes null. The manifest is written last, so a set without a manifest is
-    not complete. Returns table_name, rows_sent, rows_loaded.
+    Headers must match the contract, a target must not exist, empty text becomes
+    null. Tables are written to a staging folder beside the targets while their rows
+    are counted on the way, then counted again as read back; only when all agree are
+    they moved to their places, and the manifest comes last. If anything fails, no
+    table of the set stays visible. Returns table_name, rows_sent, rows_loaded.
     """
     actual = {name: df.columns for name, df in tables.items()}
     expected = {name: contract_columns(contract[name]) for name in tables}
     wrong = [name for name in tables if len(set(actual[name])) != len(actual[name]) or set(actual[name]) != set(expected[name])]
     if wrong:
         raise ValueError(f"Column mismatch in {wrong}.")
-    counts = None
-    for name, df in tables.items():
-        texts = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
-        blank_free = df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if c in texts else F.col(c) for c in df.columns])
-        write_mart(conform(blank_free, contract[name]), root, name)
-        sent = df.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows_sent"), F.lit(0).cast("bigint").alias("rows_loaded"))
-        loaded = read_mart(spark, root, name, contract).agg(
-            F.lit(name).alias("table_name"), F.lit(0).cast("bigint").alias("rows_sent"), F.count("*").alias("rows_loaded")
-        )
-        both = sent.unionByName(loaded)
-        counts = both if counts is None else counts.unionByName(both)
-    report = counts.groupBy("table_name").agg(F.sum("rows_sent").alias("rows_sent"), F.sum("rows_loaded").alias("rows_loaded"))
-    rows = report.collect()
-    unequal = sorted(r["table_name"] for r in rows if r["rows_sent"] != r["rows_loaded"])
-    if unequal:
-        raise ValueError(f"Row count mismatch in {unequal}.")
-    manifest = {"tables": {r["table_name"]: r["rows_loaded"] for r in rows}}
-    spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string").coalesce(1).write.text(f"{root}/manifest")
-    return spark.createDataFrame(rows, report.schema)
+    files, staging = Folder(spark, root), f"{root}/_staging-{uuid.uuid4().hex}"
+    places = {name: f"{root}/parquet/{name}" for name in tables}
+    taken = sorted(name for name, place in places.items() if files.has(place))
+    if taken:
+        raise ValueError(f"Target tables exist already: {taken}.")
+    moved = []
+    try:
+        sent = {}
+        for name, df in tables.items():
+            texts = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
+            blank_free = df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if c in texts else F.col(c) for c in df.columns])
+            seen = Observation()
+            write_mart(conform(blank_free, contract[name]).observe(seen, F.count(F.lit(1)).alias("rows")), staging, name)
+            sent[name] = seen.get["rows"]
+        loaded = {name: read_mart(spark, staging, name, contract).count() for name in tables}
+        unequal = sorted(name for name in tables if sent[name] != loaded[name])
+        if unequal:
+            raise ValueError(f"Row count mismatch in {unequal}.")
+        files.make(f"{root}/parquet")
+        for name, place in places.items():
+            if not files.rename(f"{staging}/parquet/{name}", place):
+                raise ValueError(f"Table {name} could not be moved to its place.")
+            moved.append(place)
+        manifest = json.dumps({"tables": loaded}, sort_keys=True)
+        spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.text(f"{root}/manifest")
+    except Exception:
+        for place in moved:
+            files.remove(place)
+        raise
+    finally:
+        files.remove(staging)
+    rows = [(name, sent[name], loaded[name]) for name in tables]
+    return spark.createDataFrame(rows, "table_name string, rows_sent bigint, rows_loaded bigint")
 
 
 def escaped_export(df: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from ..sources.files import Folder
 
 
 def shared_store(spark: SparkSession) -> str:
@@ -41,26 +42,17 @@ class ModelStore:
     """Models and tables by name below one folder; what exists is read, what does not is made and kept."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
-
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _files(self, path: str):
-        return self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self.spark, self.folder, self._files = spark, folder, Folder(spark, folder)
 
     def has(self, name: str) -> bool:
-        path = f"{self.folder}/{name}"
-        return self._files(path).exists(self._path(path))
+        return self._files.has(f"{self.folder}/{name}")
 
     def _keep(self, name: str, write: Callable[[str], None]) -> None:
         """Write under a temporary name, then rename; if another run was first, its result stays."""
-        made, wanted = f"{self.folder}/_making-{uuid.uuid4().hex}", f"{self.folder}/{name}"
+        made = f"{self.folder}/_making-{uuid.uuid4().hex}"
         write(made)
-        files = self._files(made)
-        # some file systems move a folder into an existing one, so look first
-        if self.has(name) or not files.rename(self._path(made), self._path(wanted)):
-            files.delete(self._path(made), True)
+        if not self._files.rename(made, f"{self.folder}/{name}"):
+            self._files.remove(made)
 
     def model(self, name: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
         if not self.has(name):

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import moment, month_number, month_text
-from ..functions.money import from_minor, wide_sum
+from ..functions.money import from_minor, ratio, wide_sum
 from . import measures as m
 
 
@@ -46,7 +46,7 @@ def monthly_revenue(events: DataFrame) -> DataFrame:
 def by_product_attribute(events: DataFrame, products: DataFrame, attributes: Sequence[str]) -> DataFrame:
     """Net revenue and margin per product attribute combination, best first."""
     per_product = events.groupBy("product_id").agg(
-        F.sum("net_minor").alias("net_minor"), F.sum("margin_minor").alias("margin_minor")
+        wide_sum(F.col("net_minor")).alias("net_minor"), wide_sum(F.col("margin_minor")).alias("margin_minor")
     )
     joined = per_product.join(products.select("product_id", *attributes), "product_id")
     return (
@@ -61,7 +61,7 @@ def by_product_attribute(events: DataFrame, products: DataFrame, attributes: Seq
 
 def top_products(events: DataFrame, products: DataFrame, count: int = 8) -> DataFrame:
     """Products of highest net revenue in that order, lowest id first on ties; unknown products have no name."""
-    per_product = events.groupBy("product_id").agg(F.sum("net_minor").alias("net_minor"))
+    per_product = events.groupBy("product_id").agg(wide_sum(F.col("net_minor")).alias("net_minor"))
     best = per_product.orderBy(F.desc("net_minor"), "product_id").limit(count)
     named = best.join(products.select("product_id", "product_name"), "product_id", "left").orderBy(F.desc("net_minor"), "product_id")
     return named.select("product_id", "product_name", from_minor(F.col("net_minor")).alias("net_revenue"))
@@ -129,6 +129,44 @@ def latest_snapshot(scores: DataFrame) -> DataFrame:
     return scores.where(F.col("snapshot_date") == newest)
 
 
+def at_snapshot(scores: DataFrame, date: str | None = None) -> DataFrame:
+    """The slicer of the score pages: rows of one snapshot date, the most recent one unless named."""
+    return latest_snapshot(scores) if date is None else scores.where(F.col("snapshot_date") == F.lit(date).cast("date"))
+
+
+def headline_cards(events: DataFrame) -> DataFrame:
+    """The four cards over all channels: revenue, sale orders, purchasing customers, return rate.
+
+    Orders and customers are told apart in aggregates of their own keys, so no line is copied for a distinct count.
+    """
+    sale, net = F.col("event_type") == "sale", F.col("net_minor")
+    returned, sold = F.when(F.col("event_type") == "return", -net).otherwise(0), F.when(sale, net).otherwise(0)
+    per_order = events.groupBy("order_id", "customer_id").agg(
+        F.sum("net_minor").alias("net"), F.sum(returned).alias("returned"), F.sum(sold).alias("sold"),
+        F.max(F.when(sale, 1).otherwise(0)).alias("bought"),
+    )
+    sums = [wide_sum(F.col(c)).alias(c) for c in ("net", "returned", "sold")]
+    orders = per_order.groupBy("order_id").agg(*sums, F.max("bought").alias("bought"))
+    buyers = per_order.where("bought = 1").select("customer_id").distinct().agg(F.count("customer_id").alias("purchasing_customers"))
+    totals = orders.agg(*sums, F.sum("bought").alias("sale_orders"))
+    both = totals.unionByName(buyers, allowMissingColumns=True)
+    whole = both.agg(*[F.sum(c).alias(c) for c in both.columns])
+    return whole.select(
+        from_minor(F.col("net")).alias("net_revenue"), "sale_orders", "purchasing_customers",
+        ratio(F.col("returned"), F.col("sold")).alias("return_value_rate"),
+    )
+
+
+def metric_labels(mart: DataFrame) -> DataFrame:
+    """Value and baseline per label of the model mart, by label."""
+    return mart.groupBy("label").agg(F.sum("value").alias("value"), F.sum("baseline").alias("baseline")).orderBy("label")
+
+
+def quality_labels(mart: DataFrame) -> DataFrame:
+    """Value per label of the quality mart, largest first."""
+    return mart.groupBy("label").agg(F.sum("value").alias("value")).orderBy(F.desc("value"), "label")
+
+
 def segment_value_latest(scores: DataFrame, value: str = "expected_margin90") -> DataFrame:
     return (
         latest_snapshot(scores)

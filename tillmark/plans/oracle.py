@@ -791,14 +791,16 @@ WHERE segment = '{rfm.FIXED_SEGMENTS[3]}' AND CAST(customer_id AS VARCHAR) LIKE
     "top_risk_customers": f"""WITH {_portfolio(SCORE)}
 SELECT customer_id, segment, recency_days, round(inactive_risk90, 6) AS inactive_risk90 FROM scores
 ORDER BY scores.inactive_risk90 DESC, customer_id LIMIT 200""",
-    "customer_detail": f"""WITH {_portfolio(TEST, SCORE)}
+    **{name: f"""WITH {_portfolio(TEST, SCORE)}
 SELECT customer_id, segment, sum(recency_days) AS recency_days, CAST(sum(frequency_365) AS BIGINT) AS frequency_365,
        round(sum(net_revenue_365), 2) AS net_revenue_365, round(sum(inactive_risk90), 6) AS inactive_risk90
-FROM scores GROUP BY customer_id, segment""",
-    "scatter_recency_value": f"""WITH {_portfolio(TEST, SCORE)}
+FROM scores WHERE snapshot_date = DATE '{date}' GROUP BY customer_id, segment"""
+       for name, date in (("customer_detail", SCORE), ("customer_detail_at", TEST))},
+    **{name: f"""WITH {_portfolio(TEST, SCORE)}
 SELECT customer_id, min(segment) AS segment, sum(recency_days) AS recency_days,
        round(sum(net_revenue_365), 2) AS net_revenue_365, round(avg(inactive_risk90), 6) AS inactive_risk90
-FROM scores GROUP BY customer_id""",
+FROM scores WHERE snapshot_date = DATE '{date}' GROUP BY customer_id"""
+       for name, date in (("scatter_recency_value", SCORE), ("scatter_recency_value_at", TEST))},
     "scatter_risk_value": f"""{REVENUE_SCORES}
 SELECT customer_id, min(segment) AS segment, round(sum(inactive_risk90), 4) AS inactive_risk90,
        round(sum(expected_revenue90), 4) AS expected_revenue90, round(sum(analysis_priority), 4) AS analysis_priority
@@ -846,3 +848,19 @@ SELECT customer_id, snapshot_date, true AS risk_in_range, true AS value_given FR
 SELECT customer_id, snapshot_date, inactive_next90, round(value_next, 2) AS margin_next90, true AS risk_in_range,
        true AS value_given FROM panel""",
 }
+
+# Queries that bring the same rows by another way, and label reports over the marts.
+ORACLE_SQL |= {
+    **{f"text_{name}": ORACLE_SQL[name]
+       for name in ("mart_customer_scores", "mart_dim_customer", "mart_dim_product", "mart_dim_date")},
+    "text_mart_fact_sales": f"SELECT * EXCLUDE (year_month) FROM ({ORACLE_SQL['mart_fact_sales']})",
+    "sorted_event_sink": f"WITH {EV} SELECT count(*) AS event_rows, CAST(0 AS BIGINT) AS rows_out_of_order FROM ev",
+    "export_customers": f"""WITH {_portfolio(SCORE)}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, segment, rfm_score, CAST(frequency_365 AS VARCHAR) AS frequency_365 FROM scores
+WHERE segment = '{rfm.FIXED_SEGMENTS[3]}' AND CAST(customer_id AS VARCHAR) LIKE '%1%' AND inactive_risk90 >= 0.1""",
+    "headline_cards": f"""WITH {EV}
+SELECT {_money("net_minor")} AS net_revenue, {SALE_ORDERS} AS sale_orders, {BUYERS} AS purchasing_customers,
+       round(-{_sum("net_minor", RETURN)} / {_sum("net_minor", SALE)}::DOUBLE, 6) AS return_value_rate FROM ev""",
+    "model_metric_labels": f"SELECT label, round(sum(value), 4) AS value, round(sum(baseline), 4) AS baseline FROM ({ORACLE_SQL['model_metrics']}) GROUP BY label",
+    "quality_metric_labels": f"SELECT label, CAST(sum(value) AS BIGINT) AS value FROM ({ORACLE_SQL['data_quality_metrics']}) GROUP BY label",
+}

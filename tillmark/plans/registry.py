@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import RunConfig, as_moment, validate_split_plan
@@ -183,6 +183,57 @@ def mart_fact_sales_revenue(spark, root):
     return _published(spark, events, "fact_sales", marts.REVENUE_CONTRACT)
 
 
+def _as_text(spark, df: DataFrame, name: str, contract) -> DataFrame:
+    """Write a mart as delimited text and read it back through the typed scan."""
+    folder = scratch_folder(spark)
+    marts.write_mart(marts.conform(df, contract[name]), folder, name, ("csv",))
+    return marts.read_delimited_mart(spark, folder, name, contract)
+
+
+def text_mart_fact_sales(spark, root):
+    events = tables.sales_events(spark, root).withColumn("event_date", F.to_date("event_time"))
+    return _as_text(spark, events, "fact_sales", marts.MARGIN_CONTRACT)
+
+
+def text_mart_customer_scores(spark, root):
+    return _as_text(spark, scores_with_profile(spark, root), "customer_scores", marts.MARGIN_CONTRACT)
+
+
+def text_mart_dim_customer(spark, root):
+    return _as_text(spark, dim_customer(spark, root), "dim_customer", marts.MARGIN_CONTRACT)
+
+
+def text_mart_dim_product(spark, root):
+    return _as_text(spark, tables.products(spark, root), "dim_product", marts.MARGIN_CONTRACT)
+
+
+def text_mart_dim_date(spark, root):
+    return _as_text(spark, dim_date(spark, root), "dim_date", marts.MARGIN_CONTRACT)
+
+
+def sorted_event_sink(spark, root):
+    """Events written in the order of time and id: rows, and rows that stand before their predecessor in the files."""
+    path = f"{scratch_folder(spark)}/events"
+    marts.write_in_order(tables.sales_events(spark, root).select("event_time", "event_id", "order_id"), path)
+    place = F.struct("event_time", "event_id")
+    rows = spark.read.parquet(path).select(
+        place.alias("place"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    inside = Window.partitionBy("file").orderBy("row")
+    per_file = rows.withColumn("last", F.lag("place").over(inside)).groupBy("file").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("last") > F.col("place")).alias("backwards"),
+        F.min("place").alias("first"), F.max("place").alias("until"),
+    )
+    # one row per file from here on
+    files_ = per_file.agg(F.array_sort(F.collect_list(F.struct("file", "rows", "backwards", "first", "until"))).alias("files"))
+    pairs = F.zip_with(F.slice("files", 1, F.size("files") - 1), F.slice("files", 2, F.size("files")), lambda a, b: (a["until"] > b["first"]).cast("bigint"))
+    return files_.select(
+        F.aggregate("files", F.lit(0).cast("bigint"), lambda n, f: n + f["rows"]).alias("event_rows"),
+        (F.aggregate("files", F.lit(0).cast("bigint"), lambda n, f: n + f["backwards"])
+         + F.aggregate(pairs, F.lit(0).cast("bigint"), lambda n, x: n + F.coalesce(x, F.lit(0).cast("bigint")))).alias("rows_out_of_order"),
+    )
+
+
 def mart_dim_customer(spark, root):
     return _published(spark, dim_customer(spark, root), "dim_customer", marts.MARGIN_CONTRACT)
 
@@ -227,9 +278,22 @@ def export_escaped(spark, root):
     return files.read_delimited(spark, path, listed.columns, sep=";")
 
 
+def export_customers(spark, root):
+    """The customers a search has left, exported with every cell as safe text and read back."""
+    found = reports.customer_search(portfolio(spark, root), rfm.FIXED_SEGMENTS[3], " 1 ", 0.1)
+    listed = found.select("customer_id", "segment", "rfm_score", "frequency_365")
+    path = f"{scratch_folder(spark)}/export"
+    marts.write_export(listed, path)
+    return files.read_delimited(spark, path, listed.columns, sep=";")
+
+
 # ------------------------------------------------------------------- plain reports
 
 
+def headline_cards(spark, root):
+    return rounded(reports.headline_cards(tables.sales_events(spark, root)), "return_value_rate")
+
+
 def monthly_channel_performance(spark, root):
     return reports.monthly_performance(tables.sales_events(spark, root), by_channel=True)
 
@@ -668,19 +732,48 @@ def top_risk_customers(spark, root):
     return rounded(top.select("customer_id", "segment", "recency_days", "inactive_risk90"), "inactive_risk90")
 
 
+def _sliced(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
+    """Scores of one snapshot date out of several."""
+    return reports.at_snapshot(portfolio(spark, root, (CONFIG.test_cutoff, CONFIG.score_cutoff)), date)
+
+
+def _detail(scores: DataFrame) -> DataFrame:
+    return rounded(rounded(reports.customer_detail(scores), "inactive_risk90"), "net_revenue_365", digits=2)
+
+
 def customer_detail(spark, root):
-    detail = reports.customer_detail(portfolio(spark, root, (CONFIG.test_cutoff, CONFIG.score_cutoff)))
-    return rounded(rounded(detail, "inactive_risk90"), "net_revenue_365", digits=2)
+    """The most recent snapshot."""
+    return _detail(_sliced(spark, root))
 
 
-def scatter_recency_value(spark, root):
-    points = reports.scatter(
-        portfolio(spark, root, (CONFIG.test_cutoff, CONFIG.score_cutoff)),
-        "recency_days", "net_revenue_365", color="inactive_risk90",
-    )
+def customer_detail_at(spark, root):
+    """A snapshot chosen with the slicer."""
+    return _detail(_sliced(spark, root, CONFIG.test_cutoff))
+
+
+def _recency_value(scores: DataFrame) -> DataFrame:
+    points = reports.scatter(scores, "recency_days", "net_revenue_365", color="inactive_risk90")
     return rounded(rounded(points, "inactive_risk90"), "net_revenue_365", digits=2)
 
 
+def scatter_recency_value(spark, root):
+    """The most recent snapshot."""
+    return _recency_value(_sliced(spark, root))
+
+
+def scatter_recency_value_at(spark, root):
+    """A snapshot chosen with the slicer."""
+    return _recency_value(_sliced(spark, root, CONFIG.test_cutoff))
+
+
+def model_metric_labels(spark, root):
+    return rounded(reports.metric_labels(model_metrics(spark, root)), "value", "baseline", digits=4)
+
+
+def quality_metric_labels(spark, root):
+    return reports.quality_labels(data_quality_metrics(spark, root))
+
+
 def scatter_risk_value(spark, root):
     points = reports.scatter(
         revenue_portfolio(spark, root), "inactive_risk90", "expected_revenue90", size="analysis_priority"
@@ -903,6 +996,8 @@ QUERIES: dict[str, Query] = {
         scan_union_provenance, scan_csv_roundtrip, input_manifest, dim_date, calendar_hierarchy,
         mart_fact_sales, mart_fact_sales_revenue, mart_dim_customer, mart_dim_product, mart_dim_date,
         mart_customer_scores, mart_customer_scores_revenue, mart_cohort_retention, load_reconcile, export_escaped,
+        text_mart_fact_sales, text_mart_customer_scores, text_mart_dim_customer, text_mart_dim_product, text_mart_dim_date,
+        sorted_event_sink, export_customers, headline_cards,
         monthly_channel_performance, monthly_performance, monthly_revenue, category_revenue,
         category_brand_contribution, portfolio_totals, top_products, repeat_customer_share, omnichannel_buyers,
         sales_star, measures_revenue, measures_returns, repeat_purchase_rate,
@@ -917,7 +1012,8 @@ QUERIES: dict[str, Query] = {
         customer_affinity, top_product, ltv_scenario, mean_ltv, campaign_candidates, campaign_group_counts,
         analysis_priority, customer_scores,
         segment_counts, segment_value_latest, customer_360, customer_search, top_risk_customers, customer_detail,
-        scatter_recency_value, scatter_risk_value, measures_scores,
+        customer_detail_at, scatter_recency_value, scatter_recency_value_at, model_metric_labels, quality_metric_labels,
+        scatter_risk_value, measures_scores,
         split_population, baseline_predictions, classification_metrics, classification_metrics_by_group,
         average_precision, roc_auc, lift_at_20pct, recency_ranking, regression_metrics, model_metrics, measures_model,
         logistic_regression, gradient_boosting, model_selection, selection_candidates, score_customers, scored_keys,
