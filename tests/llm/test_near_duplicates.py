@@ -77,6 +77,24 @@ def test_keep_one_keeps_columns_and_reduces_repeats(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 9]
 
 
+def test_keep_one_of_rows_without_ids_and_with_repeated_ids(spark):
+    base = [f"w{i}" for i in range(40)]
+    copy, near, other = " ".join(base), " ".join(base + ["more"]), " ".join(reversed(base))
+    rows = [
+        (None, copy, 1), (5, copy, 2), (6, near, 3), (None, "only without an id here", 4), (None, "only without an id here", 5),
+        (7, other, 6), (7, "another text under the same id", 7), (None, None, 8), (None, "", 9), (8, "", 10), (8, "", 11),
+    ]
+    kept = nd.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, tm_key int"))
+    assert kept.columns == ["doc_id", "text", "tm_key"]
+    found = [(r["doc_id"], r["text"], r["tm_key"]) for r in kept.collect()]
+    assert {x[2] for x in found} - {4, 5, 10, 11} == {2, 6, 7, 8, 9}
+    assert len(found) == 7 and len({x[:2] for x in found}) == 7
+
+
+def test_keep_one_of_an_empty_table(spark):
+    assert nd.keep_one(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
 def test_suffix_filter_is_a_lower_bound():
     rnd = np.random.default_rng(3)
     for _ in range(300):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +47,15 @@ def with_ids(docs: DataFrame, ids: DataFrame, how: str, on: str = "doc_id") -> D
     return docs.join(F.broadcast(ids) if few else ids.hint("shuffle_merge"), on, how)
 
 
+def shielded(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with column names that cannot clash with the operators' own (tm_...) or need quoting, and the way back."""
+    def risky(name: str) -> bool:
+        return name.lower().startswith("tm") or "." in name or "`" in name
+
+    names = docs.columns
+    return docs.toDF(*[f"tmu_{i}" if risky(n) else n for i, n in enumerate(names)]), lambda out: out.toDF(*names)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds at most ``limit`` bytes, or one row."""
     for batch in batches:

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_texts, slices, stored
+from .common import raw_texts, shielded, slices, stored
 
 MAX_ITEM_WORDS = 200_000
 
@@ -308,9 +308,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, percent:
 
     Spans of ``window`` words or more (or whole shorter items) are cut out of the
     text. Documents of which they make up ``percent`` or more go. ``n_chars`` is
-    the new length where that column exists.
+    the new length where that column exists. Columns may have any names, the
+    operator's own included.
     """
     automaton, blocks = _dealt(items, window)
+    docs, restored = shielded(docs)
     schema, names = docs.schema, docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,9 +332,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, percent:
             yield replaced(batch.select(names), changed).filter(pa.array(kept, pa.bool_()))
 
     if blocks is None:
-        return docs.mapInArrow(run, schema)
+        return restored(docs.mapInArrow(run, schema))
     docs = stored(docs)  # read once for each block
-    return _with_hits(docs.withColumn("tm_key", F.xxhash64("text")), _united_hits(docs, blocks, window)).mapInArrow(run, schema)
+    marked = _with_hits(docs.withColumn("tm_key", F.xxhash64("text")), _united_hits(docs, blocks, window))
+    return restored(marked.mapInArrow(run, schema))
 
 
 def replaced(batch: pa.RecordBatch, texts: dict[int, bytes]) -> pa.RecordBatch:

@@ -13,11 +13,15 @@ members, by batched matrix products. Within the other words a word w has
 probability (c+1)/(N'+V'+1), with its count c and the N' tokens of V' words
 outside the list, which leaves one share for unseen words.
 
-Tasks train on all of their tokens from common vectors and pass on what they
-changed. Changes are averaged per row by use; rows used too seldom in one task to
-settle there move further, by the square root of the tasks that changed them at
-most. One text in ``WARM`` gives the tasks a common start. So the driver holds
-the vectors only, whatever the corpus.
+Training goes in rounds over disjoint shares of the texts, by the hash of the id,
+each share as large as all before it. In a round tasks train on all of their tokens
+from common vectors and pass on what they changed; changes are averaged per row by
+use. An average of many tasks moves less far than one task would, so it is also tried
+times some powers of the number of tasks, and not at all; what gives a bounded
+sample of training texts the highest probability is taken. So no number of tasks
+makes the vectors overshoot, and the driver holds the vectors and that sample only,
+whatever the corpus. A task gets ``TASK_TOKENS`` or more, so small partitions train
+together. The model still depends a little on how texts are dealt to tasks.
 
 Words counted at least as often as some power of two, ``FREQUENT`` at most, go
 to every task; the rest meet their counts in a join. So what is broadcast is
@@ -46,9 +50,12 @@ FREQUENT = 100_000
 DIMENSION, NOISE, STEPS, RATE = 24, 16, 150, 0.1
 # Tokens of one training step, and the noise they share.
 BATCH, DRAWN = 1024, 64
-# Uses in a task from which a row counts as settled there.
-SETTLED = 1000
-WARM = 8
+# Shares of the texts, in eighths, that one round after the other trains on.
+ROUND_PARTS, ROUNDS = 8, (1, 1, 2, 4)
+# Tokens that a task trains on at least, so that its vectors settle before they are averaged.
+TASK_TOKENS = 1_000_000
+# Powers of the number of tasks tried as factors of an average, and training tokens that judge them.
+FURTHER, JUDGED = (0.0, 0.25, 0.5, 0.75), 20_000
 # Rows of vectors that travel together, and contexts normalised together.
 TOGETHER, NORMALISED = 256, 4096
 # Words a task counts before it passes them on.
@@ -245,7 +252,7 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> list[tuple[str, i
     return [(r["word"], r["c"]) for r in counts.where(F.col("c") >= (1 << least)).collect()] if least is not None else []
 
 
-def _train_pass(texts: DataFrame, vocabulary: Vocabulary, model: LogBilinear) -> None:
+def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: LogBilinear, sample: tuple) -> None:
     """Tasks learn from all tokens of ``texts``, each from the rows of ``model``, which then take up the changes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,31 +283,49 @@ def _train_pass(texts: DataFrame, vocabulary: Vocabulary, model: LogBilinear) ->
     def unite(rows: pa.Table) -> pa.Table:
         total = np.zeros((TOGETHER, DIMENSION + 1))
         uses, squared = np.zeros(TOGETHER), np.zeros(TOGETHER)
-        tasks = np.zeros(TOGETHER)
         for places, used, moved in zip(*(rows.column(c).to_pylist() for c in ("places", "used", "moved"))):
             places, used = np.frombuffer(places, np.uint8), np.frombuffer(used, np.float32).astype(float)
             total[places] += used[:, None] * np.frombuffer(moved, np.float16).reshape(-1, DIMENSION + 1)
             uses[places] += used
             squared[places] += used * used
-            tasks[places] += 1
-        some = np.maximum(uses, 1)
-        alike = uses * uses / np.maximum(squared, 1)  # tasks, when all use a row as often
-        further = np.sqrt(np.minimum(alike, np.maximum(1, SETTLED * tasks / some)))
-        united = (total / some[:, None] * np.maximum(further, 1)[:, None]).astype(np.float32)
+        alike = np.maximum(1, uses * uses / np.maximum(squared, 1))  # tasks, when all use a row as often
+        united = np.concatenate([total / np.maximum(uses, 1)[:, None], alike[:, None]], axis=1).astype(np.float32)
         return pa.table({"block": rows.column("block")[:1], "moved": pa.array([united.tobytes()], pa.binary())})
 
     changes = texts.select("text").mapInArrow(run, "block bigint, places binary, used binary, moved binary")
+    average, alike = np.zeros_like(model.rows), np.ones(len(model.rows), np.float32)
     for row in changes.groupBy("block").applyInArrow(unite, "block bigint, moved binary").collect():
         start = row["block"] * TOGETHER
-        rows = model.rows[start : start + TOGETHER]
-        rows += np.frombuffer(row["moved"], np.float32).reshape(TOGETHER, -1)[: len(rows)]
+        found = np.frombuffer(row["moved"], np.float32).reshape(TOGETHER, -1)[: len(model.rows) - start]
+        average[start : start + TOGETHER], alike[start : start + TOGETHER] = found[:, :-1], found[:, -1]
+    before, best = model.rows, None
+    for further in (None, *FURTHER):
+        model.rows = before if further is None else before + average * (alike**further)[:, None]
+        model.ready()
+        reached = float(model.log10(*sample).sum())
+        if best is None or reached > best[0]:
+            best = reached, model.rows
+    model.rows = best[1]
+
+
+def _sample(training: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trigrams of some training texts, ``JUDGED`` tokens at most, by which the length of a step is chosen."""
+    texts = training.select("text").orderBy(F.xxhash64("doc_id", "text")).limit(200).collect()
+    parts = [vocabulary.of_text((row["text"] or "").encode())[2] for row in texts]
+    h1, h2, w = vocabulary.trigrams(parts or [np.array([vocabulary.end])])
+    return h1[:JUDGED], h2[:JUDGED], w[:JUDGED]
 
 
 def train_model(training: DataFrame, vocabulary: Vocabulary, in_other: int) -> LogBilinear:
     """The model of all tokens of ``training`` (doc_id, text)."""
     model = LogBilinear(vocabulary.classes, np.append(vocabulary.counts, [vocabulary.ends, in_other]))
-    _train_pass(training.where(crc_of_id() % (WARM * 7) < 7), vocabulary, model)
-    _train_pass(training, vocabulary, model)
+    sample = _sample(training, vocabulary)
+    part, least = crc_of_id() % (7 * ROUND_PARTS), 0
+    every = int(vocabulary.counts.sum()) + in_other + vocabulary.ends
+    for share in ROUNDS:
+        texts = training.where((part >= 7 * least) & (part < 7 * (least + share)))
+        _train_round(texts.coalesce(every * share // ROUND_PARTS // TASK_TOKENS + 1), vocabulary, model, sample)
+        least += share
     return model
 
 

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import collect_counts, count_rows, gram_hashes, raw_texts, slices, stored, with_ids, word_hashes
+from .common import collect_counts, count_rows, gram_hashes, raw_texts, shielded, slices, stored, with_ids, word_hashes
 from .components import components
 
 FREQUENCY_CELLS = 1 << 16
@@ -396,16 +396,26 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 75) ->
 def keep_one(docs: DataFrame, words_each: int = 5, percent: int = 75) -> DataFrame:
     """``docs`` with one document of each linked group: that with the smallest id.
 
-    All columns stay. Rows that repeat an id are reduced to one row of it; rows
-    without an id stay when no document with an id links to them.
+    All columns stay. Rows are told apart by id and text: rows without an id take
+    part and stay where no row with an id links to them; rows that share an id but
+    have unlinked texts all stay; rows equal in id and text are reduced to one
+    (those without an id only if their text has a word).
     """
-    classed = stored(near_duplicates(docs, words_each, percent))
-    extra = classed.where("doc_id is null and component_id is not null").limit(1).count()
-    if extra:
-        raise ValueError("rows without an id duplicate rows with one; give every row an id")
-    gone = classed.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = with_ids(docs, stored(gone), "left_anti")
-    repeated = classed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    docs, restored = shielded(docs)
+    keyed = docs.withColumn("tm_key", F.xxhash64("doc_id", "text"))
+    linked = stored(near_duplicates(keyed.select(F.col("tm_key").alias("doc_id"), "text"), words_each, percent))
+    ids = keyed.select("tm_key", "doc_id").distinct()
+    homes = linked.select(F.col("doc_id").alias("tm_key"), "n_shingles", F.col("component_id").alias("tm_home")).distinct()
+    members = stored(homes.join(ids, "tm_key"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tm_key"))
+    first = members.groupBy("tm_home").agg(F.min_by("tm_key", order).alias("tm_first"))
+    gone = members.join(first, "tm_home").where("tm_key <> tm_first").select("tm_key").distinct()
+    kept = with_ids(keyed, stored(gone), "left_anti", "tm_key")
+    repeated = stored(
+        linked.where("component_id is not null").groupBy(F.col("doc_id").alias("tm_key")).count().where("count > 1")
+        .join(members.where("doc_id is not null or n_shingles > 0"), "tm_key").join(gone, "tm_key", "left_anti").select("tm_key").distinct()
+    )
+    if not repeated.isEmpty():
+        once = with_ids(kept, repeated, "inner", "tm_key").dropDuplicates(["tm_key"])
+        kept = with_ids(kept, repeated, "left_anti", "tm_key").unionByName(once)
+    return restored(kept.drop("tm_key"))

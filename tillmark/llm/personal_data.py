@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id
+from .common import crc_of_id, shielded
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -307,7 +307,9 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Of overlapping spans the first gives the name and all are covered. Null text
     stays null. ``n_chars`` is the new length of changed texts where that column exists.
+    Columns may have any names, the operator's own included.
     """
+    docs, restored = shielded(docs)
     found = with_spans(docs)
     spans = "array_sort(concat(" + ", ".join(
         f"transform(tm_all_{k}, s -> struct(s.start as start, s.end as end, '<{k.upper()}>' as tag))" for k in KINDS
@@ -325,4 +327,4 @@ def redact(docs: DataFrame) -> DataFrame:
         else F.col(c)
         for c in docs.columns
     ]
-    return redacted.select(*columns)
+    return restored(redacted.select(*columns))

@@ -283,22 +283,25 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # the word tables hold no cycles and would be walked again and again
-        model, known, broken = PieceModel(path), {}, set()
-        for batch in slices(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            split = [model.marked(t) for t in texts]
-            # Pieces of a word decode apart from those of other words, so each distinct word is decoded once.
-            for word, ids in model.learn(split, known).items():
-                if model.decode(ids, inside=True) != word.replace(MARK, " "):
-                    broken.add(word)
-            sizes = [sum(map(len, map(known.__getitem__, words))) for words in split]
-            ids = np.fromiter(chain.from_iterable(map(known.__getitem__, chain.from_iterable(split))), np.int32, sum(sizes))
-            same = [MARK not in t and (not broken or broken.isdisjoint(words)) for t, words in zip(texts, split)]
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(ids))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), lists, pa.array(same, pa.bool_())],
-                ["doc_id", "n_pieces", "ids", "round_trip"],
-            )
+        try:
+            model, known, broken = PieceModel(path), {}, set()
+            for batch in slices(batches, "text"):
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                split = [model.marked(t) for t in texts]
+                # Pieces of a word decode apart from those of other words, so each distinct word is decoded once.
+                for word, ids in model.learn(split, known).items():
+                    if model.decode(ids, inside=True) != word.replace(MARK, " "):
+                        broken.add(word)
+                sizes = [sum(map(len, map(known.__getitem__, words))) for words in split]
+                ids = np.fromiter(chain.from_iterable(map(known.__getitem__, chain.from_iterable(split))), np.int32, sum(sizes))
+                same = [MARK not in t and (not broken or broken.isdisjoint(words)) for t, words in zip(texts, split)]
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(sizes, pa.int64()), lists, pa.array(same, pa.bool_())],
+                    ["doc_id", "n_pieces", "ids", "round_trip"],
+                )
+        finally:
+            gc.enable()  # workers go on with other stages
 
     return docs.select("doc_id", "text").mapInArrow(run, ENCODED)
 
