@@ -34,18 +34,21 @@ EVENT_SCHEMA = (
 )
 
 
-def event(event_id, day, kind="sale", origin="", quantity=1, customer="C1", order=None, **changes):
-    """One enriched line: price 100, cost 60, no discount, online."""
-    signed = {"sale": 1, "return": -1, "cancelled": 0}[kind] * quantity
-    row = dict(
-        event_id=event_id, order_id=order or f"O{event_id}", customer_record_id="R1", customer_id=customer,
-        product_id="P1", category="Care", brand="House", event_time=datetime.datetime.fromisoformat(day),
-        event_type=kind, quantity=float(quantity), unit_price=100.0, discount_rate=0.0, unit_cost=60.0,
-        channel="online", origin_event_id=origin, signed_quantity=signed, net_minor=signed * 10000,
-        margin_minor=signed * 4000, net_revenue=signed * 100.0, gross_margin=signed * 40.0,
-    )
-    row.update(changes)
-    return row
+SIGNS = {"sale": 1, "return": -1, "cancelled": 0}
+
+
+def event(event_id, day, kind="sale", origin="", quantity=1, customer="C1", order=None, price=25.0, cost=9.5, **others):
+    """A line as the enriched tables hold it; every amount follows from quantity, price, discount and cost."""
+    price, cost = others.pop("unit_price", price), others.pop("unit_cost", cost)
+    discount, units = others.pop("discount_rate", 0.0), SIGNS[kind] * quantity
+    net = round(units * price * (1 - discount) * 100)
+    margin = net - round(units * cost * 100)
+    line = {"event_id": event_id, "event_time": datetime.datetime.fromisoformat(day), "event_type": kind, "origin_event_id": origin}
+    line |= {"customer_id": customer, "customer_record_id": "R1", "order_id": order or f"of-{event_id}"}
+    line |= {"product_id": "P1", "category": "Garden", "brand": "Oak", "channel": "online"}
+    line |= {"quantity": float(quantity), "signed_quantity": units, "unit_price": price, "unit_cost": cost, "discount_rate": discount}
+    line |= {"net_minor": net, "margin_minor": margin, "net_revenue": net / 100, "gross_margin": margin / 100}
+    return line | others
 
 
 @pytest.fixture

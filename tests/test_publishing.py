@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import io
 import json
 import os
@@ -167,6 +168,60 @@ def test_load_refuses_bad_headers_and_filled_targets(spark, tmp_path):
         marts.load_tables(spark, {"dim": df}, contract, str(tmp_path / "db"))
 
 
+def test_a_failed_load_leaves_nothing_visible(spark, tmp_path):
+    contract = {"good": "k bigint", "bad": "k bigint"}
+    good = spark.createDataFrame([(1,)], "k bigint")
+    bad = spark.createDataFrame([("x",)], "k string")
+    root = tmp_path / "db"
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        marts.load_tables(spark, {"good": good, "bad": bad}, contract, str(root))
+    assert not [x for x in root.rglob("*.parquet")] and not (root / "manifest").exists()
+    assert marts.load_tables(spark, {"good": good, "bad": good}, contract, str(root)).count() == 2
+    assert (root / "manifest").exists() and not list(root.glob("_staging*"))
+
+
+def test_typed_text_marts_refuse_wrong_cells(spark, tmp_path):
+    contract = {"dim_date": marts.MARGIN_CONTRACT["dim_date"]}
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "dim_date").write_text("date,year,month,year_month\n2020-02-29,2020,2,2020-02\n,2021,,\n")
+    found = marts.read_delimited_mart(spark, str(tmp_path), "dim_date", contract)
+    assert found.dtypes == [("date", "date"), ("year", "int"), ("month", "int"), ("year_month", "string")]
+    assert sorted(found.collect(), key=str)[0]["year"] in (2020, 2021) and found.count() == 2
+    path = str(tmp_path / "csv" / "dim_date")
+    with open(path, "a") as lines:
+        lines.write("2020-02-30,x,2,2020-02\n")
+    rejected = [r["_rejected"] for r in files.read_typed(spark, path, contract["dim_date"]).collect()]
+    assert [x for x in rejected if x] == ["2020-02-30,x,2,2020-02"]
+    with pytest.raises(Exception, match="breaks its contract"):
+        found.collect()
+
+
+def test_fingerprint_of_a_file_beyond_two_gibibytes(spark, tmp_path):
+    size = (2 << 30) + 5
+    with open(tmp_path / "sparse.bin", "wb") as sparse:
+        sparse.truncate(size)
+    digest = hashlib.sha256()
+    for _ in range(size >> 20):
+        digest.update(bytes(1 << 20))
+    digest.update(bytes(5))
+    row = files.input_manifest(spark, str(tmp_path)).first()
+    assert (row["file_name"], row["file_bytes"], row["sha256"]) == ("sparse.bin", size, digest.hexdigest())
+
+
+def test_totals_beyond_64_bits(spark):
+    rows = [(i, i, 1, 9 * 10**18, 9 * 10**18, "sale") for i in range(4)]
+    events = spark.createDataFrame(rows, "order_id bigint, customer_id bigint, product_id bigint, net_minor bigint, margin_minor bigint, event_type string")
+    assert reports.headline_cards(events).first()["net_revenue"] == 3.6e17
+    assert events.agg(measures.net_revenue().alias("x"), measures.margin_rate().alias("y")).first() == (3.6e17, 1.0)
+
+
+def test_the_slicer_shows_one_date(spark):
+    table = spark.createDataFrame([("a", "2020-01-01", 1), ("a", "2020-04-01", 2)], "customer_id string, day string, n int")
+    table = table.withColumn("snapshot_date", F.to_date("day"))
+    assert [r["n"] for r in reports.at_snapshot(table).collect()] == [2]
+    assert [r["n"] for r in reports.at_snapshot(table, "2020-01-01").collect()] == [1]
+
+
 def test_json_refuses_nan(spark, tmp_path):
     with pytest.raises(ValueError, match="NaN"):
         marts.write_json(spark.createDataFrame([(float("nan"),)], "x double"), str(tmp_path / "j"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmark.operators import metrics, modelling
-from tillmark.operators.ordered import global_rank, rows_at_ranks, running_totals
+from tillmark.operators.ordered import global_rank, rows_at_ranks, totals_so_far
 from tillmark.operators.rfm import QUINTILE_SEGMENTS, fixed_segments, quintile_segments
 
 
@@ -25,16 +25,24 @@ def test_global_rank(skewed):
     assert ranked == {row[0]: i + 1 for i, row in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
 
 
-def test_grouped_rank_and_running_totals(skewed):
+@pytest.mark.parametrize("group", [["g"], []])
+def test_rank_and_totals_so_far(skewed, group):
     df, rows = skewed
-    ranked = {r["id"]: r["rank"] for r in global_rank(df, [F.desc("v"), F.col("id")], ["g"]).collect()}
-    totals = running_totals(df, [F.desc("v"), F.col("id")], {"total": F.col("v"), "place": F.lit(1)}, ["g"])
-    found = {r["id"]: (r["total"], r["place"]) for r in totals.collect()}
-    for group in ("g0", "g1", "g2"):
-        total = 0
-        for place, row in enumerate(sorted((r for r in rows if r[2] == group), key=lambda r: (-r[1], r[0])), 1):
+    ranked = {r["id"]: r["rank"] for r in global_rank(df, [F.desc("v"), F.col("id")], group).collect()}
+    summed = totals_so_far(df.withColumn("one", F.lit(1)), [F.desc("v"), F.col("id")], ["v", "one"], group)
+    found = {r["id"]: (r["v_so_far"], r["one_so_far"], r["v_in_all"], r["one_in_all"]) for r in summed.collect()}
+    for name in ("g0", "g1", "g2") if group else (None,):
+        members, total = [r for r in rows if name in (None, r[2])], 0
+        for place, row in enumerate(sorted(members, key=lambda r: (-r[1], r[0])), 1):
             total += row[1]
-            assert ranked[row[0]] == place and found[row[0]] == (total, place)
+            assert ranked[row[0]] == place
+            assert found[row[0]] == (total, place, sum(r[1] for r in members), len(members))
+
+
+def test_totals_without_groups_need_no_join_and_no_constant_key(spark, skewed):
+    df, _ = skewed
+    plan = totals_so_far(df, [F.desc("v")], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "SinglePartition" not in plan and "hashpartitioning(_part" in plan
 
 
 def test_rows_at_ranks(skewed):
@@ -111,9 +119,15 @@ def test_classification_metrics_equal_definitions(spark):
     }
     flat = [(g, y, s, k) for g, part in rows.items() for y, s, k in part]
     df = spark.createDataFrame(flat, "g string, y int, s double, k int")
-    for row in metrics.classification_metrics(df, "y", "s", ["g"], ["k"]).collect():
-        for name, value in brute(rows[row["g"]]).items():
-            assert row[name] == (None if value is None else pytest.approx(value)), (row["g"], name)
+    found = {row["g"]: row for row in metrics.classification_metrics(df, "y", "s", ["g"], ["k"]).collect()}
+    assert set(found) == set(rows)
+    for group, row in found.items():
+        for name, value in brute(rows[group]).items():
+            assert row[name] == (None if value is None else pytest.approx(value)), (group, name)
+    for group in ("tied", "flat", "fine"):
+        alone = metrics.classification_metrics(df.where(F.col("g") == group), "y", "s", (), ["k"]).first()
+        assert alone.asDict() == pytest.approx({k: v for k, v in found[group].asDict().items() if k != "g"})
+    assert metrics.classification_metrics(df.limit(0), "y", "s", (), ["k"]).count() == 0
 
 
 def test_regression_metrics(spark):
@@ -203,26 +217,37 @@ def test_selection_evaluation_and_storage(spark, panel, track, tmp_path):
     assert value_model.predict(panel, "v").count() == 360
 
 
-def test_model_queries_use_the_selected_models(panel, spark, monkeypatch):
-    from tillmark.plans import registry
-
-    fitted = []
-    monkeypatch.setattr(registry, "labelled_panel", lambda *_: panel)
-    monkeypatch.setattr(registry, "margin_events", lambda *_: None)
-    monkeypatch.setattr(registry, "snapshot_panel", lambda *_: panel.drop("split"))
-    monkeypatch.setattr(modelling, "select_models", lambda *_: ("prior_baseline", "gradient_boosting", None, None))
-
-    class Model:
-        def __init__(self, name):
-            fitted.append(name)
-
-        def predict(self, rows, output):
-            return rows.withColumn(output, F.lit(0.5))
-
-    monkeypatch.setattr(modelling, "fit_classifier", lambda name, *_: Model(name))
-    monkeypatch.setattr(modelling, "fit_value_model", lambda name, *_: Model(name))
-    monkeypatch.setattr(modelling, "permutation_importance", lambda model, *_: model)
-    for query, names in ((registry.score_customers, 2), (registry.test_predictions, 2), (registry.feature_importance, 1)):
-        fitted.clear()
-        query(spark, "")
-        assert fitted == ["prior_baseline", "gradient_boosting"][:names]
+def test_candidates_are_fitted_once_per_panel(spark, panel, track, tmp_path, monkeypatch):
+    def run(rows, rounds=3):
+        return modelling.ModelRun(rows, track, rounds=rounds, folder=str(tmp_path / "store"))
+
+    first = run(panel)
+    name, value_name = first.risk_name(), first.value_name()
+    table = {r["model"]: r["average_precision"] for r in first.risk_table().collect()}
+    assert set(table) == set(modelling.CLASSIFIERS) and table[name] == max(table.values())
+    scores = first.classifier(name, "development").predict(first.rows("test"), "p").agg(F.sum("p")).first()[0]
+    fresh = modelling.fit_classifier(name, panel.where("split <> 'test'"), track, 3, 42).predict(panel.where("split = 'test'"), "p")
+    assert scores == pytest.approx(fresh.agg(F.sum("p")).first()[0])
+
+    def refuse(*_, **__):
+        raise AssertionError("fitted again")
+
+    for fit in ("fit_logistic", "fit_boosted_classifier", "fit_boosted_regressor"):
+        monkeypatch.setattr(modelling, fit, refuse)
+    again = run(panel.repartition(5))
+    assert again.mark == first.mark and (again.risk_name(), again.value_name()) == (name, value_name)
+    same = again.classifier(name, "development").predict(again.rows("test"), "p").agg(F.sum("p")).first()[0]
+    assert same == pytest.approx(scores)
+    assert run(panel.withColumn("f0", F.col("f0") + (F.col("customer_id") == 7).cast("int"))).mark != first.mark
+    assert run(panel, 4).mark != first.mark
+
+
+def test_a_failed_fit_leaves_nothing_in_the_store(spark, tmp_path):
+    from tillmark.operators.model_store import ModelStore
+
+    store = ModelStore(spark, str(tmp_path))
+    with pytest.raises(ZeroDivisionError):
+        store.model("m", lambda: 1 / 0)
+    assert not store.has("m")
+    made = [store.table("t", lambda n=n: spark.range(n)).count() for n in (3, 5)]
+    assert made == [3, 3] and [x.name for x in tmp_path.iterdir()] == ["t"]

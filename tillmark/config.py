@@ -52,10 +52,10 @@ def validate_split_plan(config: RunConfig, observed_until: str | datetime | None
     """Refuse unsorted cutoffs, overlapping outcome windows and disagreeing end dates."""
     spans = (config.history_days, config.horizon_days, config.active_days)
     if spans != (HISTORY_DAYS, HORIZON_DAYS, ACTIVE_DAYS):
-        raise ValueError("Feature and label names are fixed to 365, 90 and 180 days.")
+        raise ValueError("Names of features and labels carry their spans, which are fixed: 365 days of history, 90 of outcome, 180 of activity.")
     cutoffs = [as_moment(c) for c in config.train_cutoffs]
     if not cutoffs or cutoffs != sorted(set(cutoffs)):
-        raise ValueError("Training cutoffs must be distinct and sorted.")
+        raise ValueError("List each training cutoff once, sorted from the oldest on.")
     horizon = timedelta(days=config.horizon_days)
     steps = [cutoffs[-1], *map(as_moment, (config.validation_cutoff, config.test_cutoff, config.score_cutoff))]
     if any(earlier + horizon > later for earlier, later in zip(steps, steps[1:])):

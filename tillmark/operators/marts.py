@@ -159,7 +159,7 @@ def load_tables(
     places = {name: f"{root}/parquet/{name}" for name in tables}
     taken = sorted(name for name, place in places.items() if files.has(place))
     if taken:
-        raise ValueError(f"Target tables exist already: {taken}.")
+        raise ValueError(f"A target already exists: {taken}.")
     moved = []
     try:
         sent = {}
