@@ -114,8 +114,10 @@ def read_mart(spark: SparkSession, root: str, name: str, contract: Mapping[str,
 def read_delimited_mart(spark: SparkSession, root: str, name: str, contract: Mapping[str, str]) -> DataFrame:
     """Typed scan of a delimited mart; stops at the first row that is not of the contract's types."""
     rows = read_typed(spark, f"{root}/csv/{name}", contract[name])
-    broken = F.raise_error(F.concat(F.lit(f"Row of {name} breaks its contract: "), F.col("_rejected")))
     columns = contract_columns(contract[name])
+    # A data column takes part in the message, since the text of a row cannot be read without the row's cells.
+    first = F.coalesce(F.col(columns[0]).cast("string"), F.lit("?"))
+    broken = F.raise_error(F.concat(F.lit(f"Row of {name} breaks its contract, {columns[0]} "), first, F.lit(": "), F.col("_rejected")))
     return rows.where(F.when(F.col("_rejected").isNotNull(), broken.cast("boolean")).otherwise(F.lit(True))).select(*columns)
 
 

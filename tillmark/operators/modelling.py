@@ -19,7 +19,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import checkpoint, stored
 from .metrics import (
     classification_metrics,
     fit_baselines,
@@ -225,7 +225,7 @@ def permutation_importance(
         F.col("_place").alias("_donor"),
         F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])).alias("given"),
     ).select("_donor", "given.*")
-    swapped = (
+    swapped = stored(
         placed.select("_place", F.explode(plan).alias("plan"))
         .select("_place", "plan.feature", "plan.turn", ((F.col("_place") - 1 + F.col("plan.shift")) % total + 1).alias("_donor"))
         .join(values, ["_donor", "feature"])
