@@ -54,6 +54,30 @@ def test_salted_lists_lose_no_link(spark, texts, monkeypatch):
     assert result(nd.near_duplicates(docs)) == duplicate_classes(texts)
 
 
+def test_prefixes_follow_exact_frequency(spark, texts, monkeypatch):
+    """Rows of the shared prefix shingles against plain counting, for bucketed and for hot cells."""
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    sets = {nd._set_key(s): s for s in (nd.shingles((t or "").encode()) for _, t in texts) if len(s)}
+    cells = np.zeros(nd.FREQUENCY_CELLS, np.int64)
+    for found in sets.values():
+        cells += np.bincount(nd._cell(found), minlength=nd.FREQUENCY_CELLS)
+    values, counts = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+    held = dict(zip(values.tolist(), counts.tolist()))
+    for hot in (False, True):
+        if hot:
+            monkeypatch.setattr(nd, "HOT_LEAST", 1.0)
+        limit = nd._hot_limit(cells)
+        expected = set()
+        for key, found in sets.items():
+            cell = cells[nd._cell(found)]
+            rank = [(c if c > limit else held[s], s) for s, c in zip(found.tolist(), cell.tolist())]
+            for place, (count, s) in enumerate(sorted(rank)[: nd.prefix_size(len(found), 75)], 1):
+                if count > 1:
+                    expected.add((int(np.uint64(s).view(np.int64)), key, len(found), place))
+        rows = nd.shared_prefixes(docs, 5, 75, cells).select("token", "class", "n", "place").collect()
+        assert len(rows) == len(expected) and {tuple(r) for r in rows} == expected
+
+
 def test_empty_table_and_null_ids(spark):
     assert nd.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     rows = [(None, "a b c d e f"), (7, "x y z"), (7, "x y z")]

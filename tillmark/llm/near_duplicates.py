@@ -8,11 +8,15 @@ How it works
 
 1. One pass hashes each set. Equal sets form a class; from here on a class
    stands for all of its copies. The same pass counts shingles into a table of
-   fixed size.
-2. A second pass orders each set rare-first: by the counted level of the cell,
-   then by hash. Any order shared by all documents makes prefix filtering
-   exact; rarity only makes it cheap. The first ``n - ceil(t n) + 1`` shingles
-   go out, once per class and task. Shingles whose cell is very full are salted.
+   fixed size, which only serves to find hot ones.
+2. A second pass deals the shingles of each class, packed, into buckets whose
+   number grows with the corpus. A bucket counts in how many classes each of its
+   shingles occurs; a shingle of a hot cell takes the count of the cell instead, so
+   that no bucket gets more than its share and that of an unsettled cell. Shingles of
+   one class can meet nothing and end there.
+   The others return to their classes, which order them rare-first: by count, then by
+   hash, after those that occur once. The first ``n - ceil(t n) + 1`` shingles are the prefix,
+   and the shared ones in it become rows. Very frequent ones are salted.
 3. Shingles met by two classes form the posting lists. In a list of two rows the
    filters of step 4 apply at once. Classes are first tried
    against one hub of each list, in rounds with different hubs, which joins large
@@ -50,7 +54,7 @@ from .common import collect_counts, count_rows, gram_hashes, raw_texts, shielded
 from .components import components
 
 FREQUENCY_CELLS = 1 << 16
-# Cells fuller than this many times the mean have their shingles salted into parts of that size.
+# Shingles in more classes than this many times the mean of the cells are salted into parts of that size.
 SALT_ABOVE = 8
 # Rounds with hubs before all remaining pairs are tried, while a round adds one link to every so many found before.
 HUB_ROUNDS = 4
@@ -69,7 +73,8 @@ def shingles(text: bytes, words_each: int = 5) -> np.ndarray:
     return np.unique(gram_hashes(word_hashes(words), words_each))
 
 
-def prefix_size(n: int, percent: int) -> int:
+def prefix_size(n, percent: int):
+    """Shingles of the prefix, of one size or an array of sizes."""
     return n - (percent * n + 99) // 100 + 1
 
 
@@ -109,42 +114,127 @@ def _scan_sets(words_each: int):
     return run
 
 
+# Packed rows: 64-bit shingles of many sets with the class and size of each, in one bucket of shingles or of classes.
+PACKED = "part bigint, token binary, class binary, n binary"
+SHARED = "home bigint, token binary, class binary, n binary, hits binary"
 PREFIXES = "token bigint, class bigint, n int, place int, salt int"
+# Shingles (occurrences) a bucket is laid out for, and classes a task remembers to have sent.
+BUCKET_ROWS = 1 << 21
+REMEMBERED_CLASSES = 1 << 16
+# Cells fuller than this (or than SALT_ABOVE times the mean) are hot: their count stands for that of their shingles.
+HOT_LEAST = 1000.0
 
 
-def _scan_prefixes(words_each: int, percent: int, table: np.ndarray):
-    level = (1024 * np.log2(table + 1.0)).astype(np.uint16)
-    limit = max(1000.0, SALT_ABOVE * float(table.mean()))
-    parts = np.ceil(table / limit).astype(np.int64).clip(1)
+def _hot_limit(table: np.ndarray) -> float:
+    return max(HOT_LEAST, SALT_ABOVE * float(table.mean()))
+
+
+def _dealt(part: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, list[bytes]]]:
+    """The columns cut by ``part``."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    for start, stop in zip(starts, np.r_[starts[1:], len(part)]):
+        rows = order[start:stop]
+        yield int(part[start]), [c[rows].tobytes() for c in columns]
+
+
+def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _packed(rows: list[tuple[int, list[bytes]]], schema: str) -> pa.RecordBatch:
+    names = [field.split()[0] for field in schema.split(", ")]
+    columns = [pa.array([part for part, _ in rows], pa.int64())]
+    columns += [pa.array([found[k] for _, found in rows], pa.binary()) for k in range(len(names) - 1)]
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _scan_buckets(words_each: int, table: np.ndarray, buckets: int):
+    """Shingles of each class by bucket; those of hot cells by class, since their count is known."""
+    hot = table > _hot_limit(table)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # classes this task has sent: 8 bytes for each of its documents at most
+        seen: set[int] = set()  # only spares work: a class sent twice is reduced in its buckets
         for batch in slices(batches, "text"):
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            tokens, keys, sizes = [], [], []
             for text in raw_texts(batch):
                 found = shingles(text, words_each)
-                n = len(found)
-                key = _set_key(found) if n else None
-                if not n or key in seen:
+                key = _set_key(found) if len(found) else None
+                if key is None or key in seen:
                     continue
+                if len(seen) >= REMEMBERED_CLASSES:
+                    seen.clear()
                 seen.add(key)
-                cells = _cell(found)
-                first = np.argsort(level[cells], kind="stable")[: prefix_size(n, percent)]
-                split = parts[cells[first]]
-                salt = np.where(split > 1, 1 + np.uint64(key % (1 << 64)) % split.astype(np.uint64), 0)
-                for column, values in zip(out, (
-                    found[first].view(np.int64), np.full(len(first), key, np.int64), np.full(len(first), n, np.int32),
-                    np.arange(1, len(first) + 1, dtype=np.int32), salt.astype(np.int32),
-                )):
-                    column.append(values)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in out], ["token", "class", "n", "place", "salt"]
-                )
+                tokens.append(found)
+                keys.append(key)
+                sizes.append(len(found))
+            if tokens:
+                token, size = np.concatenate(tokens), np.array(sizes, np.int32)
+                of = np.repeat(np.array(keys, np.int64), size)
+                part = (token % np.uint64(buckets)).astype(np.int64)
+                known = hot[_cell(token)]
+                part[known] = buckets + of[known] % buckets
+                yield _packed(list(_dealt(part, [token, of, np.repeat(size, size)])), PACKED)
 
     return run
 
 
+def _count_bucket(table: np.ndarray, buckets: int):
+    """Keeps shingles that two classes hold, with the number of classes, and deals them by class."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        part = rows.column("part")[0].as_py()
+        token, of, n = (_joined(rows, c, t) for c, t in (("token", np.uint64), ("class", np.int64), ("n", np.int32)))
+        order = np.lexsort((of, token))
+        token, of, n = token[order], of[order], n[order]
+        first = np.r_[True, (token[1:] != token[:-1]) | (of[1:] != of[:-1])]
+        token, of, n = token[first], of[first], n[first]
+        if part >= buckets:
+            hits = table[_cell(token)]
+        else:
+            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            runs = np.diff(np.r_[starts, len(token)])
+            hits = np.repeat(runs, runs).astype(np.int64)
+            met = hits > 1
+            token, of, n, hits = token[met], of[met], n[met], hits[met]
+        out = list(_dealt(of % buckets, [token, of, n, hits])) if len(token) else []
+        return pa.Table.from_batches([_packed(out, SHARED)])
+
+    return run
+
+
+def _cut_prefixes(percent: int, limit: float):
+    """Shared shingles within the prefixes of the classes; those that occur once come before them and need no row."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        kinds = (("token", np.uint64), ("class", np.int64), ("n", np.int32), ("hits", np.int64))
+        token, of, n, hits = (_joined(rows, c, t) for c, t in kinds)
+        order = np.lexsort((token, hits, of))
+        token, of, n, hits = token[order], of[order], n[order], hits[order]
+        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        held = np.diff(np.r_[starts, len(of)])
+        alone = n[starts] - held
+        place = np.arange(len(of)) - np.repeat(starts - alone, held) + 1
+        kept = place <= prefix_size(n.astype(np.int64), percent)
+        token, of, n, hits, place = token[kept], of[kept], n[kept], hits[kept], place[kept]
+        split = np.ceil(hits / limit).astype(np.int64).clip(1)
+        salt = np.where(split > 1, 1 + of.view(np.uint64) % split.astype(np.uint64), 0)
+        return pa.table({
+            "token": token.view(np.int64), "class": of, "n": n, "place": place.astype(np.int32), "salt": salt.astype(np.int32),
+        })
+
+    return run
+
+
+def shared_prefixes(docs: DataFrame, words_each: int, percent: int, table: np.ndarray) -> DataFrame:
+    """(token, class, n, place, salt): the prefix shingles that can meet another class, in order of exact frequency."""
+    buckets = max(8, int(table.sum()) // BUCKET_ROWS + 1)
+    packed = docs.mapInArrow(_scan_buckets(words_each, table, buckets), PACKED)
+    shared = packed.groupBy("part").applyInArrow(_count_bucket(table, buckets), SHARED)
+    return shared.groupBy("home").applyInArrow(_cut_prefixes(percent, _hot_limit(table)), PREFIXES)
+
+
 def _scan_members(words_each: int):
     """Texts of the wanted classes; a row that shares the id of a member but not its set is passed over."""
 
@@ -214,7 +304,7 @@ class JaccardJoin:
             F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n")
         )
         table = collect_counts(scanned.select("cell", "hits"), "cell", "hits", FREQUENCY_CELLS)
-        prefixes = self.docs.mapInArrow(_scan_prefixes(words_each, percent, table), PREFIXES)
+        prefixes = shared_prefixes(self.docs, words_each, percent, table)
         lists = Window.partitionBy("token", "salt")
         # In a list of two rows the other one is known: its length and place are the sums less the own.
         prefixes = prefixes.withColumns({
