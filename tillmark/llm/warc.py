@@ -1,9 +1,13 @@
 """WARC archives: a deterministic sharded writer and a reader.
 
 Pages are ranged and sorted by id with one shuffle of their payloads; rows that
-name revisits travel in the same shuffle. Each task appends records, one gzip
-member each, and rolls to a new file by compressed size. Headers, ids and
-digests are made anew from the content, so equal input gives equal records.
+name revisits travel in the same shuffle. The range of ids is cut into
+``ID_CELLS`` cells of equal width; their payload bytes are counted, and neighbours
+make a shard until it is full. A cell that is fuller than a shard, such as one
+often repeated id or all rows without an id, is dealt to several shards by payload.
+Records are appended to their shard, one gzip member each, and roll to a new file
+by compressed size. Headers, ids and digests are made anew from the content. So equal
+input gives equal files, whatever the partitions of the input or the cluster.
 
 Files are first written under ``_temporary`` with a name of the attempt. A task
 returns manifest rows; only those of attempts that Spark accepts are kept. The
@@ -11,7 +15,8 @@ commit renames the files they name, by shard and sequence, and writes the
 manifest last. What a lost attempt left is in no manifest and never read. A
 repeated commit finds its files renamed and goes on.
 
-The folder is any URI that ``pyarrow.fs`` opens and all executors share.
+The folder is any URI that ``pyarrow.fs`` opens and all executors share; one without
+a scheme lies on Spark's default file system.
 
 Of records with equal payloads of ``least`` bytes or more (by SHA-256) the
 largest page id is the response, the others revisit it. Defined results: null
@@ -32,14 +37,17 @@ from gzip import GzipFile
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
 from .common import slices, stored
 
 ROLL_BYTES = 256 << 20
+# Payload bytes a shard is filled to, unless that made more than so many shards.
+SHARD_BYTES = 32 << 20
+MOST_SHARDS = 1 << 13
+ID_CELLS = 1 << 14
 LEAST_BYTES = 1000
 DATE = "1970-01-01T00:00:00Z"
 LEVEL = 4
@@ -57,6 +65,12 @@ def opened(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme of the file system that Spark takes it for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+
+
 def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(SPACE, f'{page_id}:{digest}')}>"
 
@@ -119,8 +133,36 @@ class _Roller:
             self.done.append(self.current)
 
 
-def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, least: int = LEAST_BYTES) -> DataFrame:
+def sharded(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """``rows`` (page_id, payload, key) with their shard, which depends on the rows only, and the number of shards."""
+    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
+    low, width = low or 0, ((high or 0) - (low or 0)) // ID_CELLS + 1
+    by_cell = F.when(F.col("page_id").isNull(), F.lit(ID_CELLS)).otherwise(
+        F.expr(f"cast((cast(page_id as decimal(20,0)) - {low}) div {width} as int)")
+    )
+    rows = rows.withColumn("cell", by_cell)
+    held = rows.groupBy("cell").agg(F.sum(F.octet_length("payload").cast("decimal(38,0)")).alias("held"))
+    counted = sorted((r["cell"], int(r["held"] or 0)) for r in held.collect())
+    target = max(shard_bytes, sum(n for _, n in counted) // MOST_SHARDS)
+    first, parts, shard, filled = [0] * (ID_CELLS + 1), [1] * (ID_CELLS + 1), 0, 0
+    for cell, size in counted:
+        if filled and filled + size > target:
+            shard, filled = shard + 1, 0
+        first[cell], parts[cell] = shard, max(1, -(-size // target))
+        if parts[cell] > 1:
+            shard, filled = shard + parts[cell], 0
+        else:
+            filled += size
+    # A payload and the row that names its revisit have one hash, so they share a shard.
+    split = F.expr("pmod(xxhash64(coalesce(key, sha2(payload, 256))), parts)").cast("int")
+    cells = rows.sparkSession.createDataFrame(list(zip(range(ID_CELLS + 1), first, parts)), "cell int, first int, parts int")
+    placed = rows.join(F.broadcast(cells), "cell").withColumn("shard", F.col("first") + F.when(F.col("parts") > 1, split).otherwise(0))
+    return placed.drop("cell", "first", "parts"), shard + 1
+
+
+def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, least: int = LEAST_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write pages (page_id, url, html) as archives; returns the manifest."""
+    folder = qualified(pages.sparkSession, folder)
     system, path = opened(folder)
     system.create_dir(f"{path}/_temporary", recursive=True)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
@@ -130,23 +172,29 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, l
     both = rows.withColumns({"key": F.lit(None).cast("string"), "refers_to": F.lit(None).cast("bigint")}).unionByName(
         revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "key", "refers_to")
     )
-    ranged = both.repartitionByRange("page_id").sortWithinPartitions("page_id", F.col("key").asc_nulls_last(), "url", "payload")
+    placed, shards = sharded(both, shard_bytes)
+    ranged = placed.repartition(shards, "shard").sortWithinPartitions(
+        "shard", "page_id", F.col("key").asc_nulls_last(), "url", "payload"
+    ).select("page_id", "url", "payload", "key", "refers_to", "shard")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller, page, revisit = _Roller(folder, roll_bytes), object(), {}
+        rollers, page, revisit = {}, object(), {}
         for batch in slices(batches, "payload"):
-            for number, url, payload, key, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+            for number, url, payload, key, refers_to, shard in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard not in rollers:
+                    for finished in rollers.values():
+                        finished.close()
+                    rollers[shard], page = _Roller(folder, roll_bytes), object()
                 if number != page:
                     page, revisit = number, {}
                 if key is not None:
                     revisit[key] = refers_to
                     continue
                 target = revisit.get(hashlib.sha256(payload).hexdigest()) if revisit and len(payload) >= least else None
-                roller.add(record(number, url, payload, target))
-        roller.close()
-        shard = TaskContext.get().partitionId()
+                rollers[shard].add(record(number, url, payload, target))
         made = [
             (shard, i, name, f"{path}/shard-{shard:06d}-{i:05d}.warc.gz", records, size, digest.hexdigest())
+            for shard, roller in rollers.items() if not roller.close()
             for i, (name, records, size, digest) in enumerate(roller.done)
         ]
         if made:
@@ -159,6 +207,7 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, l
 
 def commit(written: DataFrame, folder: str) -> DataFrame:
     """Give the files of the manifest rows their final names, then write the manifest."""
+    folder = qualified(written.sparkSession, folder)
 
     def rename(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = opened(folder)
@@ -193,6 +242,7 @@ def records_of(stream) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def read_archive(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per page record of the files in the manifest; ``intact`` compares the digests."""
+    folder = qualified(manifest.sparkSession, folder)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = opened(folder)
