@@ -137,6 +137,20 @@ def test_language_learns_and_marks_wordless_texts(spark, table, small):
     assert {r["lang_pred"] for r in language.identify_held_out(odd.selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()} == {"und"}
 
 
+def test_every_language_is_learned(monkeypatch, spark):
+    """No language is left out for being rare, and each has a landmark."""
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 40)
+    names = [f"l{i:02d}" for i in range(30)]
+    rows = [(i, f"{chr(0x4E00 + 7 * k) * 4} {chr(0x4E03 + 7 * k) * 3} {i}", n) for i, (k, n) in enumerate(
+        (k, n) for k, n in enumerate(names) for _ in range(1 if k else 50)
+    )]
+    sample = language.labelled_sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert sorted(r["lang"] for r in sample) == names
+    model = language.KernelModel([r["text"].encode() for r in sample], [r["lang"] for r in sample], landmarks=4)
+    assert model.marks.shape[1] == 30
+    assert model.predict([r["text"].encode() for r in sample])[0] == [r["lang"] for r in sample]
+
+
 def test_language_model_counts(table, documents):
     rows = by_id(language_model.score_documents(table))
     counts, end = collections.Counter(), object()
@@ -302,3 +316,18 @@ def test_pipeline_stages(spark, small):
     assert {r["doc_id"] for r in docs.collect()} <= good
     final = corpus_pipeline.run(spark, small)
     assert {r["doc_id"] for r in final.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_archives_are_equal_whatever_the_partitions(spark, tmp_path):
+    """Same files and digests from 1 and 7 partitions, with hot ids, rows without an id and ids over the whole range."""
+    rows = [(i, f"http://h/{i}", f"page {i % 90} " * 200) for i in range(300)] + [(5, "http://h/x", f"again {i} " * 300) for i in range(80)]
+    rows += [(None, None, f"nobody {i % 40} " * 200) for i in range(80)] + [(-(1 << 63), "u", "low"), ((1 << 63) - 1, "u", "high")]
+    made = []
+    for parts in (1, 7):
+        pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(parts, "url")
+        folder = str(tmp_path / str(parts))
+        manifest = warc.write_archive(pages, folder, roll_bytes=4096, shard_bytes=50_000)
+        made.append(sorted((r["shard"], r["sequence"], r["records"], r["bytes"], r["sha256"]) for r in manifest.collect()))
+        back = warc.read_archive(manifest, folder).collect()
+        assert len(back) == len(rows) and all(r["intact"] for r in back)
+    assert made[0] == made[1] and len({m[0] for m in made[0]}) > 5

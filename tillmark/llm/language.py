@@ -8,9 +8,11 @@ regression per language separates it from the rest. Documents are scored in
 batches: a presence matrix times the landmark matrix, times the weights.
 
 The classifier is fitted to a bounded sample of labelled rows: at most
-``SAMPLE_PER_LANGUAGE`` texts of each of at most ``MAX_LANGUAGES`` languages, of
-which every text counts whole, and ``LANDMARKS`` of them as landmarks. Rows are
-taken by a hash of the id. Predictions cover every document.
+``SAMPLE_PER_LANGUAGE`` texts of each language, fewer where there are so many
+languages that they would make more than ``SAMPLE_ROWS``, but one of each at
+least. Every text counts whole. Landmarks are dealt to the languages in turn:
+``LANDMARKS`` in all, or one for each language if those are more. Rows are taken by
+a hash of the id. Predictions cover every document.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; ties go to the first language by name; without labelled rows everything is
@@ -33,7 +35,7 @@ from .common import crc_of_id, raw_texts, slices
 SIZES = (1, 2, 3, 4)
 CELL_BITS = 18
 SAMPLE_PER_LANGUAGE = 300
-MAX_LANGUAGES = 200
+SAMPLE_ROWS = 60_000
 LANDMARKS = 128
 RIDGE = 1e-2
 BATCH = 256
@@ -58,7 +60,11 @@ class KernelModel:
     def __init__(self, texts: list[bytes], languages: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE):
         self.names = sorted(set(languages))
         cells = [gram_cells(t) for t in texts]
-        chosen = np.unique(np.linspace(0, len(texts) - 1, min(landmarks, len(texts))).astype(int))
+        turns, met = [], dict.fromkeys(self.names, 0)
+        for i, language in enumerate(languages):
+            turns.append((met[language], i))
+            met[language] += 1
+        chosen = np.array(sorted(i for _, i in sorted(turns)[: max(landmarks, len(self.names))]))
         # Only cells that a landmark holds count in a kernel value.
         held = np.unique(np.concatenate([cells[i] for i in chosen]))
         self.column = np.full(1 << CELL_BITS, -1, np.int32)
@@ -103,24 +109,25 @@ class KernelModel:
 
 
 def labelled_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """At most ``per_language`` rows (lang, text) of each language, by hash of the id.
+    """At most ``per_language`` rows (lang, text) of every language, by hash of the id.
 
     A share of each language is drawn first, so only about twice the bound is ordered.
     """
     rows = docs.where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("held")).orderBy(F.desc("held"), "lang").limit(MAX_LANGUAGES)
-    shares = [(r["lang"], min(1.0, 2.0 * per_language / r["held"] + 20.0 / r["held"])) for r in counts.collect()]
-    if not shares:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("held"))
+    languages = counts.count()
+    if not languages:
         return rows.select("lang", "text").limit(0)
-    known = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))
+    per_language = max(1, min(per_language, SAMPLE_ROWS // languages))
+    known = counts.select("lang", (F.lit(2.0 * per_language + 20.0) / F.col("held")).alias("share"))
     place = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     drawn = rows.join(known, "lang").withColumn("tm_place", place).where("tm_place < share")
     ranked = drawn.select("lang", "doc_id", "tm_place").withColumn(
         "tm_rank", F.row_number().over(Window.partitionBy("lang").orderBy("tm_place", "doc_id"))
     )
     cut = ranked.where(F.col("tm_rank") <= per_language).groupBy("lang").agg(F.max("tm_place").alias("tm_last"))
-    taken = drawn.join(F.broadcast(cut), "lang").where("tm_place <= tm_last")
-    return taken.select("lang", "text", "doc_id").orderBy("tm_place", "doc_id").limit(per_language * len(shares)).select("lang", "text")
+    taken = drawn.join(cut, "lang").where("tm_place <= tm_last")
+    return taken.select("lang", "text", "doc_id").orderBy("tm_place", "doc_id").limit(per_language * languages).select("lang", "text")
 
 
 def fit(docs: DataFrame) -> KernelModel | None:
