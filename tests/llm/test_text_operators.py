@@ -67,7 +67,9 @@ def test_quality_without_labels_or_rows(spark, table):
 
 
 def base_spans(text):
-    email = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    # The plain pattern takes time by the square of a run of letters, so it only sees texts that can match.
+    address = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+    email = [(m.start(), m.end()) for m in re.finditer(address, text)] if "@" in text else []
     ip = [m for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) < 256 for p in m[0].split("."))]
 
     def luhn(d):
@@ -81,7 +83,7 @@ def base_spans(text):
 def test_personal_data(table, documents):
     found = by_id(personal_data.find_personal_data(table))
     for doc_id, text in documents:
-        base = base_spans(re.sub("é{5}", "ééééé", text or "") if len(text or "") < 20000 else "")
+        base = base_spans(text or "")
         listed = [f"{k}:{a}:{b}" for k, spans in base.items() for a, b in spans]
         row = found[doc_id]
         assert [row[f"n_{k}"] for k in base] == [len(s) for s in base.values()], doc_id
@@ -96,7 +98,7 @@ def test_redaction_keeps_columns_and_leaves_no_base_span(spark, documents):
     for row in found.collect():
         if row["text"] is None:
             assert row["doc_id"] == 100000
-        elif len(row["text"]) < 20000:
+        else:
             assert not any(base_spans(row["text"]).values()), row["doc_id"]
             assert row["n_chars"] == len(row["text"])
 

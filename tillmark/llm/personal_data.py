@@ -3,20 +3,26 @@
 Base spans come from four patterns and their checks (address parts, Luhn,
 digit counts); they always stay. Wider generators propose further, overlapping
 spans: spelled-out addresses, other separators, numbers without a plus sign.
-Boosted trees score each proposal by format and context. They are fitted to the
-whole corpus: a proposal that overlaps a valid base span of its kind is a
-positive, every other one a negative. Only counts per feature cell reach the
+Each is sound or not by the structure of its kind (address parts, Luhn, digit
+counts, shape of the domain, no dates, no thousands); only sound ones can be added.
+Boosted trees score each proposal by format and context, without the marks that
+set base forms apart (at sign, plus sign, separators). They are fitted to the
+whole corpus: a sound proposal that overlaps a valid base span of its kind is a
+positive; one that is not sound, or that overlaps base spans of other kinds only, a
+negative; sound ones that touch no base span have no label. So the negatives
+tell how often a format occurs by chance; a number that fails Luhn counts a ninth. Only counts per feature cell reach the
 driver, and features are bucketed, so their number is bounded by the buckets
 and not by the data. The fitted trees go back into the plan as a CASE
 expression. Per kind, the threshold is the lowest score, even odds at least, at which the
-proposals of the calibration documents reach a precision; accepted proposals
-that touch no base span are added.
+labelled proposals of the calibration documents reach a precision; sound proposals
+from there on that touch no base span are added.
 
 There is no Python on the executors. Spans are code points, end exclusive.
 
 Defined results: null text is empty and has no spans; kinds may overlap each
 other; repeated rows are treated alike; a corpus without positives of a kind
-adds nothing of that kind; an empty table gives an empty result.
+adds nothing of that kind, one without negatives every sound proposal; of overlapping
+proposals the best stays, of equal scores the first; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,8 +54,9 @@ PROPOSED = {
     "card": r"(?<![0-9])[0-9](?:[\x20._-]{0,2}+[0-9]){11,19}+",
     "phone": r"(?<![0-9])[+(]?[0-9](?:[\x20().-]{0,3}+[0-9]){6,14}+",
 }
-# Numbers in their usual groups, proposed beside the longer chains that may swallow them.
+# Usual forms, proposed beside the longer chains that may swallow them.
 GROUPED = {
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: at | ?(?:@|\(at\)|\[at\]) ?)[A-Za-z0-9-]++(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| dot )[A-Za-z0-9-]++){1,4}+",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[\x20._-][0-9]{4}){3})(?![0-9])",
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
 }
@@ -68,7 +75,9 @@ CONTEXT = {
 }
 CONTEXT_CHARS = 24
 ROUNDS, RATE, PRECISION = 24, 0.4, 0.9
-FEATURES = ("digits", "groups", "spaced", "dotted", "dashed", "marked", "before", "after", "context", "valid")
+# What one negative says about sound ones: of ten chance numbers nine fail Luhn and one passes.
+CHANCE = {"email": 1.0, "ip": 1.0, "card": 1 / 9, "phone": 1.0}
+FEATURES = ("size", "first", "second", "third", "before", "after", "context")
 SPAN = "array<struct<start:int,end:int,hit:string>>"
 
 
@@ -117,26 +126,74 @@ def with_base(docs: DataFrame) -> DataFrame:
     })
 
 
-def _features(kind: str) -> str:
-    """SQL struct of bucketed features of a proposal p in tm_text."""
-    count = f"length({digits('p.hit')})"
-    before = f"substring(tm_text, greatest(p.start - {CONTEXT_CHARS} + 1, 1), least(p.start, {CONTEXT_CHARS}))"
+def _groups(hit: str) -> str:
+    """SQL for the runs of digits of a proposal."""
+    return f"filter(split({hit}, '[^0-9]+'), x -> x <> '')"
+
+
+# A proposal with the spelled-out marks of an address in their usual form.
+_ADDRESS = r"regexp_replace(regexp_replace(p.hit, r' ?(?:@|\(at\)|\[at\]) ?| at ', '@'), r' ?\(dot\) ?| ?\[dot\] ?| dot ', '.')"
+_DOMAIN = r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@(?!www\.)(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,12}$"
+_DATE = r"(?<![0-9])(?:(?:19|20)[0-9]{2}[-./ ][01]?[0-9][-./ ][0-3]?[0-9]|[0-3]?[0-9][-./ ][0-3]?[0-9][-./ ](?:19|20)[0-9]{2})(?![0-9])"
+_THOUSANDS = r"^[0-9]{1,3}(?:\.[0-9]{3}|,[0-9]{3}| [0-9]{3})+$"
+
+
+def _before() -> str:
+    return f"lower(substring(tm_text, greatest(p.start - {CONTEXT_CHARS} + 1, 1), least(p.start, {CONTEXT_CHARS})))"
+
+
+def _shape(char: str) -> str:
+    return f"case when {char} = '' then 0 when {char} rlike '[0-9]' then 1 when {char} rlike r'[\\p{{L}}_@]' then 2 when {char} rlike r'\\s' then 3 else 4 end"
+
+
+_LEFT, _RIGHT = "substring(tm_text, p.start, if(p.start > 0, 1, 0))", "substring(tm_text, p.end + 1, 1)"
+
+
+def _context(kind: str) -> str:
+    return rf"{_before()} rlike r'(?:^|[^\p{{L}}])(?:{CONTEXT[kind]})'"
 
-    def shape(char: str) -> str:
-        return f"case when {char} = '' then 0 when {char} rlike '[0-9]' then 1 when {char} rlike '[A-Za-z_@]' then 2 when {char} rlike r'\\s' then 3 else 4 end"
 
-    check = {
-        "email": "p.hit rlike r'[A-Za-z]{2}$'", "ip": valid("ip", "regexp_replace(p.hit, '[^0-9]+', '.')"),
-        "card": luhn("p.hit"), "phone": f"{count} between 9 and 15",
+def sound(kind: str) -> str:
+    """SQL for the structural check of a proposal p in tm_text; it does not ask for the base form."""
+    count, groups = f"length({digits('p.hit')})", _groups("p.hit")
+    alone = f"not ({_LEFT} rlike r'[\\p{{L}}0-9_]' or {_RIGHT} rlike r'[\\p{{L}}0-9_]')"
+    return {
+        "email": f"{_ADDRESS} rlike r'{_DOMAIN}'",
+        "ip": (
+            f"{alone} and forall({groups}, x -> cast(x as int) <= 255 and (x = '0' or x not like '0%')) "
+            f"and size(array_distinct(filter(split(p.hit, '[0-9]+'), x -> x <> ''))) = 1 and not p.hit rlike r'{_THOUSANDS}' "
+            rf"and (p.hit rlike r'[0-9](?:\.|\[\.\])[0-9]' or size(filter({groups}, x -> length(x) = 3)) >= 2)"
+        ),
+        "card": f"{alone} and {valid('card', 'p.hit')} and forall({groups}, x -> length(x) >= 3) and not p.hit rlike r'{_DATE}|{_THOUSANDS}'",
+        "phone": (
+            f"{alone} and {count} between 9 and 15 and not p.hit rlike r'{_DATE}|{_THOUSANDS}' "
+            f"and (size({groups}) > 1 or p.hit like '+%' or {_context('phone')})"
+        ),
     }[kind]
-    return (
-        f"struct(least({count}, 20) as digits, least(size(split(p.hit, '[^A-Za-z0-9]+')), 6) as groups, "
-        "cast(contains(p.hit, ' ') as int) as spaced, cast(contains(p.hit, '.') as int) as dotted, "
-        "cast(contains(p.hit, '-') as int) as dashed, "
-        "case when p.hit like '+%' or contains(p.hit, '@') then 2 when p.hit rlike r'[(\\[]' then 1 else 0 end as marked, "
-        f"{shape('substring(tm_text, p.start, if(p.start > 0, 1, 0))')} as before, {shape('substring(tm_text, p.end + 1, 1)')} as after, "
-        f"cast(lower({before}) rlike '{CONTEXT[kind]}' as int) as context, cast({check} as int) as valid)"
-    )
+
+
+def _features(kind: str) -> str:
+    """SQL struct of bucketed features of a proposal p in tm_text, none of which tells a base form from others.
+
+    Address: length and case of the last label. Address parts: digits, longest part.
+    Card: digits, whether groups are even. Phone: longest group and the last three, from the end.
+    """
+    count, groups = f"least(length({digits('p.hit')}), 20)", _groups("p.hit")
+    longest = f"least(array_max(transform({groups}, x -> length(x))), 6)"
+    label = "regexp_extract(p.hit, '([A-Za-z0-9-]*)$', 1)"
+
+    def at(place: int) -> str:
+        return f"coalesce(least(length(try_element_at({groups}, {place})), 6), 0)"
+
+    even = f"size(array_distinct(transform({groups}, x -> length(x)))) = 1"
+    own = {
+        "email": (f"least(length({label}), 8)", f"cast({label} rlike '[A-Z]' as int)", "0", "0"),
+        "ip": (count, longest, "0", "0"),
+        "card": (count, f"cast({even} as int)", "0", "0"),
+        "phone": (longest, at(-1), at(-2), at(-3)),
+    }[kind]
+    named = ", ".join(f"{value} as {name}" for name, value in zip(FEATURES, own))
+    return f"struct({named}, {_shape(_LEFT)} as before, {_shape(_RIGHT)} as after, cast({_context(kind)} as int) as context)"
 
 
 def proposals(kind: str) -> str:
@@ -145,7 +202,7 @@ def proposals(kind: str) -> str:
 
 
 def with_proposals(based: DataFrame) -> DataFrame:
-    """Adds tm_wide_<kind>: proposals with features, and whether they touch base spans of their or any kind."""
+    """Adds tm_wide_<kind>: proposals with features, whether sound, and whether they touch base spans of their or any kind."""
     empty = f"cast(array() as {SPAN})"
     gated = based.withColumns({
         f"tm_raw_{k}": F.expr(f"if({GATE[k]}, {proposals(k)}, {empty})")
@@ -155,7 +212,7 @@ def with_proposals(based: DataFrame) -> DataFrame:
     touch = "b -> b.start < p.end and p.start < b.end"
     return gated.withColumns({
         f"tm_wide_{k}": F.expr(
-            f"transform(tm_raw_{k}, p -> struct(p.start as start, p.end as end, p.hit as hit, {_features(k)} as f, "
+            f"transform(tm_raw_{k}, p -> struct(p.start as start, p.end as end, {_features(k)} as f, coalesce({sound(k)}, false) as sound, "
             f"exists(tm_{k}, {touch}) as own, exists({anything}, {touch}) as taken))"
         )
         for k in KINDS
@@ -244,13 +301,15 @@ def fit(proposed: DataFrame) -> dict[str, tuple[list, float]]:
     fold = (crc_of_id() % 4 == 1).alias("calibrates")
     parts = None
     for kind in KINDS:
-        rows = proposed.select(fold, F.explode(f"tm_wide_{kind}").alias("p")).select(
-            F.lit(kind).alias("kind"), "calibrates", "p.f.*", F.col("p.own").cast("long").alias("pos"),
-            F.when(F.col("p.own"), 0).otherwise(1).alias("neg"),
+        good, bad = F.expr("p.own and p.sound"), F.expr("not p.own and (p.taken or not p.sound)")
+        rows = proposed.select(fold, F.explode(f"tm_wide_{kind}").alias("p")).where(good | bad).select(
+            F.lit(kind).alias("kind"), "calibrates", "p.f.*", good.cast("long").alias("pos"), bad.cast("long").alias("neg"),
         )
         parts = rows if parts is None else parts.unionByName(rows)
     counted = parts.groupBy("kind", "calibrates", *FEATURES).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     cells = [r.asDict() for r in counted.collect()]
+    for c in cells:
+        c["neg"] *= CHANCE[c["kind"]]
     models = {}
     for kind in KINDS:
         learn = [c for c in cells if c["kind"] == kind and not c["calibrates"]]
@@ -274,7 +333,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
             trees, limit = models[kind]
             score = " + ".join(tree_sql(t) for t in trees)
             scored = (
-                f"filter(transform(filter(tm_wide_{kind}, p -> not p.taken), p -> struct({score} as score, p.start as start, "
+                f"filter(transform(filter(tm_wide_{kind}, p -> p.sound and not p.taken), p -> struct({score} as score, p.start as start, "
                 f"p.end as end)), p -> p.score >= {limit - 1e-6!r}D)"
             )
             based = based.withColumn(f"tm_more_{kind}", F.expr(scored))
