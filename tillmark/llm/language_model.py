@@ -56,8 +56,10 @@ ROUND_PARTS, ROUNDS = 8, (1, 1, 2, 4)
 TASK_TOKENS = 1_000_000
 # Powers of the number of tasks tried as factors of an average, and training tokens that judge them.
 FURTHER, JUDGED = (0.0, 0.25, 0.5, 0.75), 20_000
-# Rows of vectors that travel together, and contexts normalised together.
-TOGETHER, NORMALISED = 256, 4096
+# Rows of vectors that travel together, and scores normalised together, few enough for a core's cache.
+TOGETHER, NORMALISED = 256, 1 << 18
+# Scores within this need no shift before they are exponentiated.
+UNSHIFTED = 80.0
 # Words a task counts before it passes them on.
 HELD = 200_000
 
@@ -149,14 +151,18 @@ class LogBilinear:
         context = x1 @ c1 + x2 @ c2
         full = np.concatenate([context, np.ones((len(context), 1), np.float32)], axis=1)
         at = np.zeros_like(context)
+        share = (-NOISE / DRAWN) * weight[:, None]
         moves = []
         for (base, cumulated, log_noise), target in zip(self.noise, (w, self.group[w])):
             drawn = np.minimum(np.searchsorted(cumulated, self.chance.random(DRAWN)), len(log_noise) - 1)
             real, noise = self.rows[base + target], self.rows[base + drawn]
             score = np.einsum("ij,ij->i", full, real) - log_noise[target]
             error = weight / (1.0 + np.exp(np.clip(score, -60, 60)))
-            score = full @ noise.T - log_noise[drawn]
-            errors = (-NOISE / DRAWN) * weight[:, None] / (1.0 + np.exp(np.clip(-score, -60, 60)))
+            # In place, since these arrays take most of the time.
+            errors = log_noise[drawn] - full @ noise.T
+            np.exp(np.minimum(errors, 60, out=errors), out=errors)
+            errors += 1.0
+            np.divide(share, errors, out=errors)
             at += error[:, None] * real[:, :d] + errors @ noise[:, :d]
             moves.append((np.concatenate([base + target, base + drawn]), np.concatenate([error[:, None] * full, errors.T @ full])))
         both = np.concatenate([h1, h2])
@@ -179,25 +185,29 @@ class LogBilinear:
 
     def log10(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Normalised log10 P(w | h1 h2) of each row."""
-        d, n = DIMENSION, self.classes
+        n = self.classes
         context, group = self.context(h1, h2), self.group[w]
+        context = np.concatenate([context, np.ones((len(context), 1), np.float32)], axis=1)
+        longest = float(np.sqrt((context * context).sum(axis=1).max(initial=0.0)))
         logs = np.zeros(len(w))
 
         def add(rows: np.ndarray | slice, vectors: np.ndarray, target: np.ndarray) -> None:
-            score = context[rows] @ vectors[:, :d].T + vectors[:, d]
-            score -= score.max(axis=1, keepdims=True)
+            score = context[rows] @ vectors.T
+            if longest * float(np.sqrt((vectors * vectors).sum(axis=1).max())) > UNSHIFTED:
+                score -= score.max(axis=1, keepdims=True)
             chosen = score[np.arange(len(target)), target]
             logs[rows] += chosen - np.log(np.exp(score, out=score).sum(axis=1))
 
-        for start in range(0, len(w), NORMALISED):
-            rows = slice(start, start + NORMALISED)
+        step = max(1, NORMALISED // self.groups)
+        for start in range(0, len(w), step):
+            rows = slice(start, start + step)
             add(rows, self.rows[2 * n : 2 * n + self.groups], group[rows])
         order = np.argsort(group, kind="stable")
         ends = np.searchsorted(group[order], np.arange(self.groups + 1))
         for g in np.flatnonzero(np.diff(ends)):
             first, stop = self.starts[g], self.starts[g + 1]
             if stop - first > 1:
-                step = max(1, NORMALISED * 256 // int(stop - first))
+                step = max(1, NORMALISED // int(stop - first))
                 for start in range(ends[g], ends[g + 1], step):
                     rows = order[start : min(start + step, ends[g + 1])]
                     add(rows, self.rows[n + first : n + stop], w[rows] - first)
