@@ -222,6 +222,14 @@ def test_the_slicer_shows_one_date(spark):
     assert [r["n"] for r in reports.at_snapshot(table, "2020-01-01").collect()] == [1]
 
 
+def test_the_scatter_holds_every_snapshot_apart(spark, small):
+    found = registry.scatter_recency_value(spark, small).collect()
+    keys = {(r["customer_id"], r["snapshot_date"]) for r in found}
+    scored = registry.portfolio(spark, small, (registry.CONFIG.test_cutoff, registry.CONFIG.score_cutoff))
+    assert len(found) == len(keys) and len({day for _, day in keys}) == 2
+    assert keys == {(r["customer_id"], r["snapshot_date"]) for r in scored.select("customer_id", "snapshot_date").collect()}
+
+
 def test_json_refuses_nan(spark, tmp_path):
     with pytest.raises(ValueError, match="NaN"):
         marts.write_json(spark.createDataFrame([(float("nan"),)], "x double"), str(tmp_path / "j"))

@@ -796,11 +796,14 @@ SELECT customer_id, segment, sum(recency_days) AS recency_days, CAST(sum(frequen
        round(sum(net_revenue_365), 2) AS net_revenue_365, round(sum(inactive_risk90), 6) AS inactive_risk90
 FROM scores WHERE snapshot_date = DATE '{date}' GROUP BY customer_id, segment"""
        for name, date in (("customer_detail", SCORE), ("customer_detail_at", TEST))},
-    **{name: f"""WITH {_portfolio(TEST, SCORE)}
+    "scatter_recency_value": f"""WITH {_portfolio(TEST, SCORE)}
+SELECT customer_id, snapshot_date, min(segment) AS segment, sum(recency_days) AS recency_days,
+       round(sum(net_revenue_365), 2) AS net_revenue_365, round(avg(inactive_risk90), 6) AS inactive_risk90
+FROM scores GROUP BY customer_id, snapshot_date""",
+    "scatter_recency_value_at": f"""WITH {_portfolio(TEST, SCORE)}
 SELECT customer_id, min(segment) AS segment, sum(recency_days) AS recency_days,
        round(sum(net_revenue_365), 2) AS net_revenue_365, round(avg(inactive_risk90), 6) AS inactive_risk90
-FROM scores WHERE snapshot_date = DATE '{date}' GROUP BY customer_id"""
-       for name, date in (("scatter_recency_value", SCORE), ("scatter_recency_value_at", TEST))},
+FROM scores WHERE snapshot_date = DATE '{TEST}' GROUP BY customer_id""",
     "scatter_risk_value": f"""{REVENUE_SCORES}
 SELECT customer_id, min(segment) AS segment, round(sum(inactive_risk90), 4) AS inactive_risk90,
        round(sum(expected_revenue90), 4) AS expected_revenue90, round(sum(analysis_priority), 4) AS analysis_priority
