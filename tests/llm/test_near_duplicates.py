@@ -149,3 +149,28 @@ def test_links_only_span_the_classes(spark, texts):
         lowest[root] = min(i, lowest.get(root, i))
     expected = duplicate_classes(texts)
     assert all(expected[i][1] == lowest[roots.get(key, key)] for key, i in first.items())
+
+
+def test_unlinked_copies_meet_once_and_not_per_shared_shingle(spark, monkeypatch):
+    """Copies that differ too much share many prefix shingles; the last join must not make a row for each of those."""
+    rnd = random.Random(3)
+    base = [word(rnd) for _ in range(160)]
+    rows = []
+    for number in range(60):
+        copy = list(base)
+        for at in rnd.sample(range(160), 3):
+            copy[at] = f"{number}.{at}"
+        rows.append((number, " ".join(copy)))
+    made = []
+
+    def counted(join, find=nd.JaccardJoin._open_matches):
+        found = find(join)
+        made.append((found.count(), found.distinct().count()))
+        return found
+
+    monkeypatch.setattr(nd, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(nd.JaccardJoin, "_open_matches", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(nd.near_duplicates(docs)) == duplicate_classes(rows)
+    (matches, pairs), = made
+    assert pairs > 50 and matches < 5 * pairs

@@ -23,7 +23,8 @@ How it works
    groups with a linear number of pairs. All remaining pairs of different
    components that share a prefix shingle are then tried, without a cap.
 4. A pair is tried after length and positional filters and a bound from the
-   number of shared prefix shingles. Verification applies a suffix filter and
+   number of shared prefix shingles, counted or, for the remaining pairs, bounded from the
+   first shared one on. Verification applies a suffix filter and
    then counts the intersection, once per pair.
 5. Links are closed by alternating stars (``components``).
 
@@ -397,16 +398,24 @@ class JaccardJoin:
         )
 
     def _open_pairs(self) -> DataFrame:
+        """All remaining pairs (a, b) of different components that have room."""
+        return self._open_matches().distinct()
+
+    def _open_matches(self) -> DataFrame:
         rows = self._open_postings()
-        # One bit per token lets the join itself bound what a pair shares: a shared token has its
-        # bit on both sides, and ``slack`` makes up for tokens of a class that fall on one bit.
+        # All classes order shingles alike, so behind the first shingle that a pair shares lie all others it shares.
+        # Each row knows what its class holds from there on: the number, and one bit per token, which lets the join
+        # itself bound what a pair can share from this shingle on. A shared token has its bit on both sides, and
+        # ``slack`` makes up for tokens of a class that fall on one bit. So the row of the first shared shingle passes
+        # for every pair with room, and the rows of later ones mostly do not.
         words = [f"word{k}" for k in range(SIGNATURE_WORDS)]
-        signatures = rows.groupBy("class").agg(F.count("*").alias("m"), *(
-            F.expr(
+        behind = Window.partitionBy("class").orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumns({"m": F.count("*").over(behind)} | {
+            word: F.expr(
                 f"bit_or(if((shiftright(token, 6) & {SIGNATURE_WORDS - 1}) = {k}, shiftleft(1L, cast(token & 63 as int)), 0L))"
-            ).alias(word) for k, word in enumerate(words)
-        )).withColumn("slack", F.col("m") - F.expr(" + ".join(f"bit_count({w})" for w in words)))
-        rows = stored(rows.select("token", "class", "n", "place", "component").join(signatures, "class"))
+            ).over(behind) for k, word in enumerate(words)
+        })
+        rows = stored(rows.withColumn("slack", F.col("m") - F.expr(" + ".join(f"bit_count({w})" for w in words))))
         # Both sides are the same rows under the same names, so that they are dealt out once.
         shared = " + ".join(f"bit_count(a.{w} & b.{w})" for w in words) + " + least(a.slack, b.slack)"
         names = {"n_a": "a.n", "n_b": "b.n", "i": "a.place", "j": "b.place", "m_a": "a.m", "m_b": "b.m"}
@@ -417,9 +426,7 @@ class JaccardJoin:
                 f"{self._near()} and {self._room('least(m_a, m_b)')} and {self._room(f'least(m_a, m_b, {shared})')}", **names
             )
         ))
-        return self._promising(met.selectExpr(
-            "a.class as a", "b.class as b", *(f"{column} as {name}" for name, column in names.items())
-        ))
+        return met.selectExpr("a.class as a", "b.class as b")
 
     def _near(self) -> str:
         """Length filter, and the positional filter for a shingle at places i and j."""
