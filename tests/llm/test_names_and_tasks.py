@@ -1,7 +1,9 @@
 """Columns of any name through the pipeline's stages, and a language model that does not depend on the number of tasks."""
 
 import gc
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +59,24 @@ def test_model_does_not_depend_on_the_number_of_partitions(spark, small):
         assert row["model"] > row["base"] + 0.05
         reached.append(row["model"])
     assert abs(reached[0] - reached[1]) < 0.05
+
+
+def test_pieces_of_many_words_take_little_memory(spark):
+    """The words of a task are given up in time: a task over 400,000 distinct words holds a bounded part of them."""
+    class Captured:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [" ".join(f"w{i:x}q{j:x}" for j in range(2000)) for i in range(200)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(200)), "text": texts})
+    run = pieces.encode_documents(Captured())
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in run([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 200 and peak < 100e6
