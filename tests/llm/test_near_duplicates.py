@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import duplicate_classes, shingle_set
 
@@ -174,3 +176,17 @@ def test_unlinked_copies_meet_once_and_not_per_shared_shingle(spark, monkeypatch
     assert result(nd.near_duplicates(docs)) == duplicate_classes(rows)
     (matches, pairs), = made
     assert pairs > 50 and matches < 5 * pairs
+
+
+def test_a_full_bucket_takes_little_memory():
+    size = nd.BUCKET_ROWS
+    token = np.random.default_rng(1).integers(0, 2**63, size // 2, dtype=np.uint64)
+    columns = [np.tile(token, 2), np.repeat(np.arange(2), size // 2), np.full(size, 9, np.int32)]
+    rows = pa.table({"part": [0]} | {c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(("token", "class", "n"), columns)})
+    tracemalloc.start()
+    try:
+        found = nd._count_bucket(np.ones(nd.FREQUENCY_CELLS), 8)(rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(x) for x in found.column("hits").to_pylist()) == 8 * size and peak < 100e6

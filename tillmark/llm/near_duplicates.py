@@ -119,8 +119,8 @@ def _scan_sets(words_each: int):
 PACKED = "part bigint, token binary, class binary, n binary"
 SHARED = "home bigint, token binary, class binary, n binary, hits binary"
 PREFIXES = "token bigint, class bigint, n int, place int, salt int"
-# Shingles (occurrences) a bucket is laid out for, and classes a task remembers to have sent.
-BUCKET_ROWS = 1 << 21
+# Shingles (occurrences) a bucket is laid out for, which bounds the memory of its task, and classes a task remembers to have sent.
+BUCKET_ROWS = 1 << 19
 REMEMBERED_CLASSES = 1 << 16
 # Cells fuller than this (or than SALT_ABOVE times the mean) are hot: their count stands for that of their shingles.
 HOT_LEAST = 1000.0
