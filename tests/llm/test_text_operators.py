@@ -203,6 +203,36 @@ def test_language_model_is_normalised_over_many_groups():
         assert (10.0 ** model.log10(np.full(90, h1), np.full(90, h2), w)).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_language_model_normalises_and_steps_once_for_equal_contexts(monkeypatch):
+    """Scoring and training do not repeat the work of a context that a slice holds many times; scores stay the plain ones."""
+    model = language_model.LogBilinear(90, np.arange(90, 0, -1.0))
+    model.rows += np.random.default_rng(5).normal(0, 0.5, model.rows.shape).astype(np.float32)
+    chance = np.random.default_rng(6)
+    h1, h2, w = chance.integers(0, 3, 4000), chance.integers(0, 3, 4000), chance.integers(0, 90, 4000)
+    seen = []
+    plain = language_model.LogBilinear.context
+    monkeypatch.setattr(language_model.LogBilinear, "context", lambda self, a, b: seen.append(len(a)) or plain(self, a, b))
+    logs = model.log10(h1, h2, w)
+    assert sum(seen) == 9
+    n, d, rows = model.classes, language_model.DIMENSION, model.rows.astype(float)
+    for i in range(0, 4000, 97):
+        at = np.append(rows[h1[i], :d] @ rows[-2 * d : -d, :d] + rows[h2[i], :d] @ rows[-d:, :d], 1.0)
+        groups, members = np.exp(rows[2 * n : 2 * n + model.groups] @ at), np.exp(rows[n : 2 * n] @ at)
+        same = model.group == model.group[w[i]]
+        chosen = groups[model.group[w[i]]] / groups.sum() * members[w[i]] / members[same].sum()
+        assert logs[i] == pytest.approx(math.log10(chosen), abs=1e-4)
+
+    steps = []
+    monkeypatch.setattr(model, "learn", lambda h1, h2, of, w, weight: steps.append((h1, h2, of, w, weight)))
+    model.ready()
+    model.learn_all(h1, h2, w)
+    (c1, c2, of, words, weight), = steps
+    assert len(c1) == 9 and sorted(set(zip(c1.tolist(), c2.tolist()))) == [(a, b) for a in range(3) for b in range(3)]
+    met = collections.Counter(zip(h1.tolist(), h2.tolist(), w.tolist()))
+    assert {(a, b, c): k for a, b, c, k in zip(c1[of].tolist(), c2[of].tolist(), words.tolist(), weight.tolist())} == met
+    assert model.used[:90].sum() == 8000
+
+
 def test_pieces_equal_the_library_and_round_trip(table, documents):
     import sentencepiece
 

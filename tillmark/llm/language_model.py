@@ -8,7 +8,8 @@ context is the two tokens before (the end token before the start).
 The score of symbol w after h1 h2 is q_w . (r_h1 C1 + r_h2 C2) + b_w. Symbols fall
 into about sqrt(n) groups by frequency, which have vectors of their own. Both are
 trained with noise-contrastive estimation, words and groups against noise drawn
-from their unigrams. P(w) = P(group) P(w in group), each a softmax over all its
+from their unigrams. Equal contexts of a slice of texts learn and are scored
+together: noise and normalisers are computed once for each. P(w) = P(group) P(w in group), each a softmax over all its
 members, by batched matrix products. Within the other words a word w has
 probability (c+1)/(N'+V'+1), with its count c and the N' tokens of V' words
 outside the list, which leaves one share for unseen words.
@@ -38,6 +39,7 @@ import copy
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +50,8 @@ from .common import crc_of_id, raw_texts, slices, stored
 
 FREQUENT = 100_000
 DIMENSION, NOISE, STEPS, RATE = 24, 16, 150, 0.1
-# Tokens of one training step, and the noise they share.
-BATCH, DRAWN = 1024, 64
+# Contexts of one training step, those of a block that meet the same noise, and how much that is.
+BATCH, BLOCK, DRAWN = 4096, 128, 32
 # Shares of the texts, in eighths, that one round after the other trains on.
 ROUND_PARTS, ROUNDS = 8, (1, 1, 2, 4)
 # Tokens that a task trains on at least, so that its vectors settle before they are averaged.
@@ -60,6 +62,8 @@ FURTHER, JUDGED = (0.0, 0.25, 0.5, 0.75), 20_000
 TOGETHER, NORMALISED = 256, 1 << 18
 # Scores within this need no shift before they are exponentiated.
 UNSHIFTED = 80.0
+# Text bytes scored together: the more, the more contexts are equal.
+SCORED_BYTES = 1 << 22
 # Words a task counts before it passes them on.
 HELD = 200_000
 
@@ -91,6 +95,20 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _packed(classes: int, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, int]:
+    """Trigrams as one number each, and the bits of a symbol."""
+    bits = max(1, (classes - 1).bit_length())
+    return (h1 << 2 * bits) | (h2 << bits) | w, bits
+
+
+def _summed(places: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by place."""
+    width = values.shape[1]
+    sums = np.zeros(count * width, np.float32)
+    np.add.at(sums, (places[:, None] * width + np.arange(width)).ravel(), values.ravel())
+    return sums.reshape(count, width)
+
+
 class LogBilinear:
     """Vectors of the symbols and their groups, as rows: r, then q and b, then those of the groups, then C1 and C2."""
 
@@ -127,15 +145,23 @@ class LogBilinear:
 
     def context(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         d = DIMENSION
-        return self.rows[h1, :d] @ self.rows[-2 * d : -d, :d] + self.rows[h2, :d] @ self.rows[-d:, :d]
+        return self.rows.take(h1, 0)[:, :d] @ self.rows[-2 * d : -d, :d] + self.rows.take(h2, 0)[:, :d] @ self.rows[-d:, :d]
 
     def _move(self, ids: np.ndarray, slopes: np.ndarray) -> None:
+        """Move rows by the sums of their slopes."""
         order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        first = np.flatnonzero(np.diff(ids, prepend=-1))
-        ids, slopes = ids[first], np.add.reduceat(slopes[order], first, axis=0)
-        self.squares[ids] += (slopes * slopes).mean(axis=1)
-        self.rows[ids] += RATE * slopes / np.sqrt(self.squares[ids])[:, None]
+        new = np.diff(ids[order], prepend=-1) > 0
+        places = np.empty(len(ids), np.int64)
+        places[order] = np.cumsum(new) - 1
+        ids = ids[order[new]]
+        slopes = _summed(places, slopes, len(ids))
+        squares = np.einsum("ij,ij->i", slopes, slopes)
+        squares /= slopes.shape[1]
+        squares += self.squares.take(ids)
+        self.squares[ids] = squares
+        slopes *= (RATE / np.sqrt(squares))[:, None]
+        slopes += self.rows.take(ids, 0)
+        self.rows[ids] = slopes
 
     def use(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> None:
         """Count the rows that the steps over these tokens use."""
@@ -143,33 +169,73 @@ class LogBilinear:
             self.used += np.bincount(ids, minlength=len(self.used))
         self.used[-2 * DIMENSION :] += len(w)
 
-    def learn(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray, weight: np.ndarray) -> None:
-        """One step up the noise-contrastive objective of words and groups, with noise shared by the batch."""
+    def learn(self, h1: np.ndarray, h2: np.ndarray, of: np.ndarray, w: np.ndarray, weight: np.ndarray) -> None:
+        """One step up the noise-contrastive objective of words and groups.
+
+        Word w[i] follows the context of[i] with that weight. A context meets noise once, by the weight of its words;
+        contexts of a block share the noise. Draws are spread evenly over the unigrams.
+        """
         d, size = DIMENSION, len(self.rows)
-        x1, x2 = self.rows[h1, :d], self.rows[h2, :d]
+        x1, x2 = self.rows.take(h1, 0)[:, :d], self.rows.take(h2, 0)[:, :d]
         c1, c2 = self.rows[-2 * d : -d, :d], self.rows[-d:, :d]
-        context = x1 @ c1 + x2 @ c2
-        full = np.concatenate([context, np.ones((len(context), 1), np.float32)], axis=1)
-        at = np.zeros_like(context)
-        share = (-NOISE / DRAWN) * weight[:, None]
+        full = np.ones((len(h1), d + 1), np.float32)
+        full[:, :d] = x1 @ c1 + x2 @ c2
+        mine = full.take(of, 0)
+        at, pulled = np.zeros_like(full), np.zeros_like(mine)
+        share = (-NOISE / DRAWN) * np.bincount(of, weight, len(h1)).astype(np.float32)[:, None]
+        blocks = [slice(start, start + BLOCK) for start in range(0, len(h1), BLOCK)]
         moves = []
         for (base, cumulated, log_noise), target in zip(self.noise, (w, self.group[w])):
-            drawn = np.minimum(np.searchsorted(cumulated, self.chance.random(DRAWN)), len(log_noise) - 1)
-            real, noise = self.rows[base + target], self.rows[base + drawn]
-            score = np.einsum("ij,ij->i", full, real) - log_noise[target]
-            error = weight / (1.0 + np.exp(np.clip(score, -60, 60)))
-            # In place, since these arrays take most of the time.
-            errors = log_noise[drawn] - full @ noise.T
-            np.exp(np.minimum(errors, 60, out=errors), out=errors)
-            errors += 1.0
-            np.divide(share, errors, out=errors)
-            at += error[:, None] * real[:, :d] + errors @ noise[:, :d]
-            moves.append((np.concatenate([base + target, base + drawn]), np.concatenate([error[:, None] * full, errors.T @ full])))
-        both = np.concatenate([h1, h2])
-        slopes = np.concatenate([at @ c1.T, at @ c2.T, x1.T @ at, x2.T @ at])
-        moves.append((np.concatenate([both, np.arange(size - 2 * d, size)]), np.pad(slopes, ((0, 0), (0, 1)))))
-        for ids, slopes in moves:
-            self._move(ids, slopes)
+            drawn = np.searchsorted(cumulated, (np.arange(DRAWN) + self.chance.random((len(blocks), DRAWN))) / DRAWN)
+            drawn = np.minimum(drawn, len(log_noise) - 1)
+            real, noise = self.rows.take(base + target, 0), self.rows.take(base + drawn, 0)
+            score = np.einsum("ij,ij->i", mine, real) - log_noise.take(target)
+            error = (weight / (1.0 + np.exp(np.clip(score, -60, 60))))[:, None]
+            slopes = np.empty((len(target) + drawn.size, d + 1), np.float32)
+            np.multiply(error, mine, out=slopes[: len(target)])
+            real *= error
+            pulled += real
+            against = -noise
+            against[:, :, -1] += log_noise.take(drawn)
+            for block, vectors, others, part in zip(blocks, noise, against, slopes[len(target) :].reshape(noise.shape)):
+                # In place, since these arrays take much of the time; what overflows has no error.
+                errors = full[block] @ others.T
+                with np.errstate(over="ignore"):
+                    np.exp(errors, out=errors)
+                errors += 1.0
+                np.divide(share[block], errors, out=errors)
+                at[block] += errors @ vectors
+                np.matmul(errors.T, full[block], out=part)
+            moves.append((np.concatenate([target, drawn.ravel()]) + base, slopes))
+        at += _summed(of, pulled, len(h1))
+        at = at[:, :d]
+        ids = np.concatenate([h1, h2, np.arange(size - 2 * d, size)])
+        slopes = np.zeros((len(ids), d + 1), np.float32)
+        slopes[:, :d] = np.concatenate([at @ c1.T, at @ c2.T, x1.T @ at, x2.T @ at])
+        for move in (*moves, (ids, slopes)):
+            self._move(*move)
+
+    def learn_all(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> None:
+        """Steps over all these tokens, equal ones and equal contexts together, in random order of the contexts."""
+        self.use(h1, h2, w)
+        key, bits = _packed(self.classes, h1, h2, w)
+        key.sort()
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        weight = np.diff(first, append=len(key)).astype(np.float32)
+        key = key[first]
+        before, w = key >> bits, key & (1 << bits) - 1
+        new = np.diff(before, prepend=-1) > 0
+        h1, h2 = before[new] >> bits, before[new] & (1 << bits) - 1
+        place = self.chance.permutation(len(h1))
+        of = place[np.cumsum(new) - 1]
+        order = np.argsort(of, kind="stable")
+        of, w, weight = of[order], w[order], weight[order]
+        at = np.argsort(place)
+        h1, h2 = h1[at], h2[at]
+        for start in range(0, len(h1), BATCH):
+            i, j = np.searchsorted(of, (start, start + BATCH))
+            contexts = slice(start, start + BATCH)
+            self.learn(h1[contexts], h2[contexts], of[i:j] - start, w[i:j], weight[i:j])
 
     def train(self, counts: np.ndarray, steps: int = STEPS) -> None:
         """Steps over all cells of a dense table of (h1, h2, w)."""
@@ -181,37 +247,52 @@ class LogBilinear:
         h1, h2 = np.divmod(before, self.classes)
         self.ready()
         for _ in range(steps):
-            self.learn(h1, h2, w, counts[cells].astype(np.float32))
+            self.learn(h1, h2, np.arange(len(w)), w, counts[cells].astype(np.float32))
 
     def log10(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Normalised log10 P(w | h1 h2) of each row."""
+        """Normalised log10 P(w | h1 h2) of each row. Equal contexts, and equal groups after them, are normalised once."""
         n = self.classes
-        context, group = self.context(h1, h2), self.group[w]
-        context = np.concatenate([context, np.ones((len(context), 1), np.float32)], axis=1)
-        longest = float(np.sqrt((context * context).sum(axis=1).max(initial=0.0)))
+        key, bits = _packed(n, h1, h2, w)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.diff(key, prepend=-1) > 0
+        key, row = key[new], np.cumsum(new) - 1
+        before, w = key >> bits, key & (1 << bits) - 1
+        new = np.diff(before, prepend=-1) > 0
+        of, before = np.cumsum(new) - 1, before[new]
+        context = np.ones((len(before), DIMENSION + 1), np.float32)
+        for start in range(0, len(before), BATCH):
+            some = before[start : start + BATCH]
+            context[start : start + BATCH, :-1] = self.context(some >> bits, some & (1 << bits) - 1)
+        longest = float(np.sqrt(np.einsum("ij,ij->i", context, context).max(initial=0.0)))
         logs = np.zeros(len(w))
 
-        def add(rows: np.ndarray | slice, vectors: np.ndarray, target: np.ndarray) -> None:
-            score = context[rows] @ vectors.T
+        def add(rows: np.ndarray | slice, contexts: np.ndarray | slice, at: np.ndarray, vectors: np.ndarray, target: np.ndarray) -> None:
+            """Normalise over ``vectors`` after some contexts, for rows that name their context by ``at``."""
+            score = context[contexts] @ vectors.T
             if longest * float(np.sqrt((vectors * vectors).sum(axis=1).max())) > UNSHIFTED:
                 score -= score.max(axis=1, keepdims=True)
-            chosen = score[np.arange(len(target)), target]
-            logs[rows] += chosen - np.log(np.exp(score, out=score).sum(axis=1))
-
-        step = max(1, NORMALISED // self.groups)
-        for start in range(0, len(w), step):
-            rows = slice(start, start + step)
-            add(rows, self.rows[2 * n : 2 * n + self.groups], group[rows])
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(self.groups + 1))
+            chosen = score[at, target]
+            logs[rows] += chosen - np.log(np.exp(score, out=score) @ np.ones(len(vectors), np.float32))[at]
+
+        group, step = self.group[w], max(1, NORMALISED // self.groups)
+        for start in range(0, len(context), step):
+            i, j = np.searchsorted(of, (start, start + step))
+            add(slice(i, j), slice(start, start + step), of[i:j] - start, self.rows[2 * n : 2 * n + self.groups], group[i:j])
+        by_group = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[by_group], np.arange(self.groups + 1))
         for g in np.flatnonzero(np.diff(ends)):
             first, stop = self.starts[g], self.starts[g + 1]
             if stop - first > 1:
-                step = max(1, NORMALISED // int(stop - first))
-                for start in range(ends[g], ends[g + 1], step):
-                    rows = order[start : min(start + step, ends[g + 1])]
-                    add(rows, self.rows[n + first : n + stop], w[rows] - first)
-        return logs / math.log(10)
+                rows = by_group[ends[g] : ends[g + 1]]
+                new = np.diff(of[rows], prepend=-1) > 0
+                at, contexts, step = np.cumsum(new) - 1, of[rows[new]], max(1, NORMALISED // int(stop - first))
+                for start in range(0, len(contexts), step):
+                    i, j = np.searchsorted(at, (start, start + step))
+                    add(rows[i:j], contexts[start : start + step], at[i:j] - start, self.rows[n + first : n + stop], w[rows[i:j]] - first)
+        found = np.empty(len(row))
+        found[order] = logs[row]
+        return found / math.log(10)
 
     def log10_table(self) -> np.ndarray:
         """log10 P(w | h1 h2) of all symbols, one row per context in the order of (h1, h2)."""
@@ -235,7 +316,7 @@ class Vocabulary:
     def of_text(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Words, their numbers (-1: not frequent) and the symbols of all tokens."""
         words = tokens(text)
-        numbers = np.fromiter((self.index.get(w, -1) for w in words), np.int64, len(words))
+        numbers = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         return words, numbers, np.append(np.where(numbers >= 0, numbers, self.other), self.end)
 
     def trigrams(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -273,12 +354,7 @@ def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: LogBilinear, s
             parts = [vocabulary.of_text(text)[2] for text in raw_texts(batch)]
             if not parts:
                 continue
-            h1, h2, w = vocabulary.trigrams(parts)
-            own.use(h1, h2, w)
-            order = own.chance.permutation(len(w))
-            for start in range(0, len(w), BATCH):
-                at = order[start : start + BATCH]
-                own.learn(h1[at], h2[at], w[at], np.ones(len(at), np.float32))
+            own.learn_all(*vocabulary.trigrams(parts))
         changed = np.flatnonzero(own.used)
         for part in np.split(changed, np.flatnonzero(np.diff(changed // TOGETHER)) + 1) if len(changed) else []:
             values = [
@@ -350,7 +426,7 @@ def _scan(vocabulary: Vocabulary, model: LogBilinear):
     names = [p.split()[0] for p in SCANNED.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SCORED_BYTES):
             keys = batch.column("key").to_numpy()
             sums: list[list] = [[], [], [], []]
             parts: list[np.ndarray] = []
