@@ -61,6 +61,30 @@ def test_model_does_not_depend_on_the_number_of_partitions(spark, small):
     assert abs(reached[0] - reached[1]) < 0.05
 
 
+def test_pieces_met_again_are_not_searched_again():
+    """Words that come back outlive those met once; word round trips need no byte by byte decoding."""
+    model, known = pieces.PieceModel(), {}
+    common = [f"again{i}" for i in range(200)]
+    searched, plain = [], model.encode_words
+
+    def counted(words):
+        words = list(words)
+        searched.extend(words)
+        return plain(words)
+
+    model.encode_words = counted
+    for k in range(6):
+        texts = [" ".join(common), " ".join(f"once{k}x{i}" for i in range(60_000))]
+        new = model.learn([model.marked(t) for t in texts], known)
+        assert all(model.decodes_to(word, ids) for word, ids in list(new.items())[::500])
+        assert len(known) <= pieces.REMEMBERED + 60_200
+    assert len(searched) == 6 * 60_000 + 200
+    for word in ("▁日本\x07語", "▁<0x41>", "▁a"):
+        ids = plain([word])[word]
+        assert model.decodes_to(word, ids) and model.decode(ids, inside=True) == word.replace("▁", " ")
+        assert not model.decodes_to(word + "b", ids) and not model.decodes_to("▁", ids)
+
+
 def test_pieces_of_many_words_take_little_memory(spark):
     """The words of a task are given up in time: a task over 400,000 distinct words holds a bounded part of them."""
     class Captured:
