@@ -190,3 +190,17 @@ def test_a_full_bucket_takes_little_memory():
     finally:
         tracemalloc.stop()
     assert sum(len(x) for x in found.column("hits").to_pylist()) == 8 * size and peak < 100e6
+
+
+def test_sizes_of_sets_travel_once_for_each_class():
+    """A bucket row takes 16 bytes a shingle; the size of a set is not repeated with its shingles."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(20)] + [None, "", "a b"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    cells = np.zeros(nd.FREQUENCY_CELLS, np.int64)
+    for out in (nd._scan_buckets(5, cells, 8), nd._scan_buckets(5, cells + 2000 * (np.arange(len(cells)) < 50), 8)):
+        rows = pa.Table.from_batches(list(out([batch])))
+        sent = sum(len(x) for name in rows.column_names[1:] for x in rows.column(name).to_pylist())
+        assert sent == 16 * (20 * 296 + 1) + 12 * 21
+        sized = np.frombuffer(b"".join(rows.column("sized").to_pylist()), np.int64)
+        n = np.frombuffer(b"".join(rows.column("n").to_pylist()), np.int32)
+        assert dict(zip(sized.tolist(), n.tolist())) == {nd._set_key(s): len(s) for s in (nd.shingles((t or "").encode()) for t in texts) if len(s)}

@@ -115,9 +115,10 @@ def _scan_sets(words_each: int):
     return run
 
 
-# Packed rows: 64-bit shingles of many sets with the class and size of each, in one bucket of shingles or of classes.
-PACKED = "part bigint, token binary, class binary, n binary"
-SHARED = "home bigint, token binary, class binary, n binary, hits binary"
+# Packed rows: 64-bit shingles of many sets with the class of each, in one bucket of shingles or of classes. The sizes of
+# the sets travel once per class, as rows of their own (sized, n), and not with every shingle.
+PACKED = "part bigint, token binary, class binary, sized binary, n binary"
+SHARED = "home bigint, token binary, class binary, hits binary, sized binary, n binary"
 PREFIXES = "token bigint, class bigint, n int, place int, salt int"
 # Shingles (occurrences) a bucket is laid out for, which bounds the memory of its task, and classes a task remembers to have sent.
 BUCKET_ROWS = 1 << 19
@@ -152,7 +153,7 @@ def _packed(rows: list[tuple[int, list[bytes]]], schema: str) -> pa.RecordBatch:
 
 
 def _scan_buckets(words_each: int, table: np.ndarray, buckets: int):
-    """Shingles of each class by bucket; those of hot cells by class, since their count is known."""
+    """Shingles of each class by bucket; those of hot cells and the sizes by class, since their count is known."""
     hot = table > _hot_limit(table)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,12 +172,14 @@ def _scan_buckets(words_each: int, table: np.ndarray, buckets: int):
                 keys.append(key)
                 sizes.append(len(found))
             if tokens:
-                token, size = np.concatenate(tokens), np.array(sizes, np.int32)
-                of = np.repeat(np.array(keys, np.int64), size)
+                token, size, key = np.concatenate(tokens), np.array(sizes, np.int32), np.array(keys, np.int64)
+                of = np.repeat(key, size)
                 part = (token % np.uint64(buckets)).astype(np.int64)
                 known = hot[_cell(token)]
                 part[known] = buckets + of[known] % buckets
-                yield _packed(list(_dealt(part, [token, of, np.repeat(size, size)])), PACKED)
+                rows = [(at, [*found, b"", b""]) for at, found in _dealt(part, [token, of])]
+                rows += [(at, [b"", b"", *found]) for at, found in _dealt(buckets + key % buckets, [key, size])]
+                yield _packed(rows, PACKED)
 
     return run
 
@@ -186,11 +189,12 @@ def _count_bucket(table: np.ndarray, buckets: int):
 
     def run(rows: pa.Table) -> pa.Table:
         part = rows.column("part")[0].as_py()
-        token, of, n = (_joined(rows, c, t) for c, t in (("token", np.uint64), ("class", np.int64), ("n", np.int32)))
+        token, of = (_joined(rows, c, t) for c, t in (("token", np.uint64), ("class", np.int64)))
         order = np.lexsort((of, token))
-        token, of, n = token[order], of[order], n[order]
-        first = np.r_[True, (token[1:] != token[:-1]) | (of[1:] != of[:-1])]
-        token, of, n = token[first], of[first], n[first]
+        token, of = token[order], of[order]
+        first = np.ones(len(token), bool)
+        first[1:] = (token[1:] != token[:-1]) | (of[1:] != of[:-1])
+        token, of = token[first], of[first]
         if part >= buckets:
             hits = table[_cell(token)]
         else:
@@ -198,8 +202,12 @@ def _count_bucket(table: np.ndarray, buckets: int):
             runs = np.diff(np.r_[starts, len(token)])
             hits = np.repeat(runs, runs).astype(np.int64)
             met = hits > 1
-            token, of, n, hits = token[met], of[met], n[met], hits[met]
-        out = list(_dealt(of % buckets, [token, of, n, hits])) if len(token) else []
+            token, of, hits = token[met], of[met], hits[met]
+        out = [(at, [*found, b"", b""]) for at, found in _dealt(of % buckets, [token, of, hits])] if len(token) else []
+        if part >= buckets:
+            sized, first = np.unique(_joined(rows, "sized", np.int64), return_index=True)
+            n = _joined(rows, "n", np.int32)[first]
+            out += [(at, [b"", b"", b"", *found]) for at, found in _dealt(sized % buckets, [sized, n])] if len(sized) else []
         return pa.Table.from_batches([_packed(out, SHARED)])
 
     return run
@@ -209,11 +217,13 @@ def _cut_prefixes(percent: int, limit: float):
     """Shared shingles within the prefixes of the classes; those that occur once come before them and need no row."""
 
     def run(rows: pa.Table) -> pa.Table:
-        kinds = (("token", np.uint64), ("class", np.int64), ("n", np.int32), ("hits", np.int64))
-        token, of, n, hits = (_joined(rows, c, t) for c, t in kinds)
+        kinds = (("token", np.uint64), ("class", np.int64), ("hits", np.int64), ("sized", np.int64), ("n", np.int32))
+        token, of, hits, sized, sizes = (_joined(rows, c, t) for c, t in kinds)
         order = np.lexsort((token, hits, of))
-        token, of, n, hits = token[order], of[order], n[order], hits[order]
-        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        token, of, hits = token[order], of[order], hits[order]
+        order = np.argsort(sized)
+        n = sizes[order[np.searchsorted(sized, of, sorter=order)]] if len(of) else sizes[:0]
+        starts = np.flatnonzero(np.diff(of, prepend=of[:1] - 1))
         held = np.diff(np.r_[starts, len(of)])
         alone = n[starts] - held
         place = np.arange(len(of)) - np.repeat(starts - alone, held) + 1
