@@ -208,6 +208,39 @@ def test_window_by_window_equals_the_library(codec, library):
         assert codec._encode_in_order(text.encode()).tolist() == library._encode_single_piece(text.encode())
 
 
+def test_words_of_any_size_are_contracted(codec, library):
+    draw = random.Random(5)
+    words = ["".join(draw.choice("aeinst") for _ in range(size)).encode() for size in (2, 40, 1023, 1024, 3000)]
+    assert [np.frombuffer(ids, np.int32).tolist() for ids in codec.contract(words)] == [library._encode_single_piece(w) for w in words]
+
+
+def test_parts_are_cut_before_runs_of_white_space_only(codec, library):
+    texts = ["a\u3000 b", "a\u3000\n\nb", "é x à y", "a\x85\tb", " ", "", "  a b", "c\u2009 \u2009 d  ", "\xa0 \xa0\n e", "a \u3000b"]
+    raw = [t.encode() for t in texts]
+    cuts, whole = byte_bpe._cuts(raw), b"".join(raw).decode()
+    assert [whole.encode()[i:j].decode() for i, j in zip(cuts, cuts[1:])] == [
+        "a\u3000 b", "a\u3000\n\nb", "é", " x", " à", " y", "a\x85\tb", " ", "  a", " b", "c\u2009 \u2009 d", "  ", "\xa0 \xa0\n e", "a", " \u3000b",
+    ]
+    assert [np.frombuffer(ids, np.int32).tolist() for ids in codec.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_distinct_parts_meet_the_pattern_once_and_outlive_a_full_memory(library, monkeypatch):
+    ranks = byte_bpe.read_ranks(RANKS)
+    codec = byte_bpe.Codec(ranks, byte_bpe.merge_table(ranks), PATTERN)
+    plain, seen = codec.pattern, []
+
+    class Counted:
+        def findall(self, part):
+            seen.append(part)
+            return plain.findall(part)
+
+    codec.pattern = Counted()
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
+    for text in ("one two six two two", "one two", "one two ten", "one two"):
+        assert np.frombuffer(codec.encode([text])[0], np.int32).tolist() == library.encode_ordinary(text)
+    assert seen == ["one", " two", " six", " ten"]
+
+
 def test_whole_table(spark, small, library):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}

@@ -1,11 +1,14 @@
 """Byte-level BPE encoding and decoding by recursive DuckDB queries in every partition.
 
 A rank file names byte strings by rank; the pattern cuts a text into pieces, and
-each piece is encoded apart. Per slice of texts the distinct pieces that are not
-yet known become rows (place, token), at first one token a byte. A recursive
-query joins neighbours with the merge table (left, right, merged) and in every
-round contracts each piece's leftmost pair of least rank, until no piece has a
-pair that merges. A piece that is itself a token is that token at once.
+each piece is encoded apart. Texts are cut before white space into parts; Arrow
+numbers the distinct parts of a slice, so only these meet the pattern, and each
+text's ids are taken from them. The distinct pieces that are not yet known become
+rows with the list of their tokens, at first one a byte, and the list of ranks of
+neighbours. In every round a recursive query contracts each piece's leftmost pair
+of least rank and joins the new token and its two neighbours with the merge table,
+until no piece has a pair that merges. A piece that is itself a token is that
+token at once.
 
 Decoding joins rows (text, position, id) with the vocabulary and aggregates them
 in order. Byte strings are Latin-1 text inside DuckDB, one character a byte.
@@ -29,9 +32,7 @@ outside the vocabulary or a null id stops decoding with a ``ValueError``.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import duckdb
 import numpy as np
@@ -42,50 +43,48 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-# Pieces and cut texts remembered by a task; then it starts anew.
+# Pieces and parts of texts remembered by a task; beyond that only those of the slice at hand are kept.
 REMEMBERED = 400_000
+# Text bytes encoded together: the more, the fewer queries.
+ENCODED_BYTES = 4 << 20
 # Bytes of a window, a multiple of all sizes of a character twice over.
 WINDOW = 384
 # Positions that one recursive query holds, and tokens that one decoding query holds.
 POSITIONS, TOKENS = 500_000, 400_000
-# White space by the Unicode property, fixed values. A text may be cut before each run of it.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_CUTS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+# White space of one byte, and longer white space by the Unicode property. A text may be cut before each run of it.
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WIDE = [c.encode() for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))]
 
 _MERGES = """
-CREATE TABLE merges AS SELECT l.id * 1048576 + r.id AS pair, w.id AS merged
+CREATE TABLE merges AS SELECT l.id * 1048576 + r.id AS pair, w.id::INTEGER AS merged
 FROM (SELECT id, bytes, unnest(range(1, length(bytes))) AS cut FROM vocabulary) w
 JOIN vocabulary l ON l.bytes = w.bytes[:cut] JOIN vocabulary r ON r.bytes = w.bytes[cut + 1:]
 """
 
-# place: word * 1024 + position; a key: rank * 1024 + position of a pair that merges, so the least key of a word is its
-# leftmost pair of least rank. Every word ends in a row of token -1, which merges with nothing and keeps words apart.
-_ENCODE = """
-WITH RECURSIVE state(place, token, pair_key, done) AS (
-  SELECT place, token, m.merged * 1024 + place % 1024, false
-  FROM (SELECT place, token, lead(token) OVER (ORDER BY place) AS after FROM start)
-  LEFT JOIN merges m ON m.pair = token * 1048576 + after
+# A rank that no pair has.
+_NONE = 1 << 30
+# ranks[i]: rank of what tokens i and i + 1 merge to. The first place of the least rank is the leftmost pair of least rank.
+_ENCODE = f"""
+WITH RECURSIVE state(word, tokens, ranks, best) AS (
+  SELECT word, tokens, ranks, list_min(ranks) FROM start
   UNION ALL
-  SELECT place, s.token, CASE WHEN touched THEN m.merged * 1024 + place % 1024 ELSE key END, best IS NULL
-  FROM (
-    SELECT place, key, best,
-      CASE WHEN key = best THEN key // 1024 ELSE token END AS token,
-      CASE WHEN key = best THEN second_token WHEN next_key = best THEN next_key // 1024 END AS after,
-      coalesce(key = best OR next_key = best, false) AS touched
+  SELECT word, tokens, ranks, list_min(ranks) FROM (
+    SELECT word, tokens[:i - 1] || [best] || tokens[i + 2:] AS tokens,
+      CASE WHEN i = 1 THEN [after] ELSE ranks[:i - 2] || [before, after] END || ranks[i + 2:] AS ranks
     FROM (
-      SELECT place, token, pair_key AS key, best, lag(pair_key) OVER w AS last_key, lead(pair_key) OVER w AS next_key,
-        lead(token, 2) OVER w AS second_token
-      FROM state JOIN (SELECT place // 1024 AS word, min(pair_key) AS best FROM state WHERE NOT done GROUP BY ALL) b
-        ON b.word = place // 1024
-      WHERE NOT done WINDOW w AS (ORDER BY place)
-    ) WHERE best IS NULL OR last_key IS DISTINCT FROM best
-  ) s LEFT JOIN merges m ON touched AND m.pair = s.token * 1048576 + s.after
-) SELECT place // 1024 AS word, token FROM state WHERE done AND token >= 0 ORDER BY place
+      SELECT s.*, coalesce(l.merged, {_NONE}::INTEGER) AS before, coalesce(r.merged, {_NONE}::INTEGER) AS after
+      FROM (SELECT *, list_position(ranks, best) AS i FROM state WHERE best < {_NONE}) s
+      LEFT JOIN merges l ON l.pair = tokens[i - 1] * 1048576::BIGINT + best
+      LEFT JOIN merges r ON r.pair = best * 1048576::BIGINT + tokens[i + 2]
+    )
+  )
+) SELECT word, tokens FROM state WHERE best = {_NONE} ORDER BY word
 """
 
 _DECODE = """
-SELECT t.text_row, string_agg(v.bytes, '' ORDER BY t.position) AS bytes
-FROM tokens t LEFT JOIN vocabulary v ON v.id = t.id GROUP BY t.text_row ORDER BY t.text_row
+SELECT t.text_row, array_to_string(list(v.bytes ORDER BY t.position), '') AS bytes
+FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY t.text_row ORDER BY t.text_row
 """
 
 
@@ -121,7 +120,9 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], merges: pa.Table, pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.byte_tokens = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        every = [bytes([b]) for b in range(256)]
+        self.byte_tokens = np.array([ranks[b] for b in every], np.int32)
+        self.byte_ranks = np.array([ranks.get(a + b, _NONE) for a in every for b in every], np.int32)
         self.database = _connect()
         for name, rows in (("vocabulary", _vocabulary(ranks)), ("merges", merges)):
             self.database.register("given", rows)
@@ -133,46 +134,62 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes of 32-bit integers."""
-        cut = [_CUTS.findall(t) for t in texts]
-        for known in (self.parts, self.pieces):
-            if len(known) > REMEMBERED:
-                known.clear()
-        new = set(chain.from_iterable(cut)).difference(self.parts)
-        split = {part: self.pattern.findall(part) for part in new}
-        self._learn(set(chain.from_iterable(split.values())).difference(self.pieces))
-        for part, pieces in split.items():
-            self.parts[part] = b"".join(map(self.pieces.__getitem__, pieces))
-        return [b"".join(map(self.parts.__getitem__, parts)) for parts in cut]
+        raw = [t.encode() for t in texts]
+        borders, cuts = np.cumsum([0, *map(len, raw)]), _cuts(raw)
+        found = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(b"".join(raw)))
+        coded = found.dictionary_encode()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [part for part in parts if part not in self.parts]
+        pieces: list[str] = []
+        ends = []
+        for part in new:
+            pieces += self.pattern.findall(part)
+            ends.append(len(pieces))
+        needed = set(pieces)
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {piece: self.pieces[piece] for piece in needed.intersection(self.pieces)}
+        self._learn(needed.difference(self.pieces))
+        ids = list(map(self.pieces.__getitem__, pieces))
+        for part, a, b in zip(new, [0, *ends], ends):
+            self.parts[part] = ids[a] if b - a == 1 else b"".join(ids[a:b])
+        known = list(map(self.parts.__getitem__, parts))
+        if len(self.parts) > REMEMBERED:
+            self.parts = dict(zip(parts, known))
+        lists = _id_lists(known).take(coded.indices)
+        values = lists.values.to_numpy()
+        at = lists.offsets.to_numpy()[np.searchsorted(cuts, borders)].tolist()
+        return [values[a:b].tobytes() for a, b in zip(at, at[1:])]
 
     def _learn(self, pieces: set[str]) -> None:
-        short, long = [], []
+        new, words = [], []
         for piece in pieces:
             word = piece.encode()
             rank = self.ranks.get(word)
             if rank is not None:
                 self.pieces[piece] = np.int32(rank).tobytes()
+            elif len(word) <= WINDOW:
+                new.append(piece)
+                words.append(word)
             else:
-                (short if len(word) <= WINDOW else long).append((piece, word))
-        self.pieces.update(zip([piece for piece, _ in short], self.contract([word for _, word in short])))
-        for piece, word in long:
-            self.pieces[piece] = self._encode_long(word).tobytes()
+                self.pieces[piece] = self._encode_long(word).tobytes()
+        self.pieces.update(zip(new, self.contract(words)))
 
     def contract(self, words: list[bytes]) -> Iterator[bytes]:
-        """Ids of each word of fewer than 1,024 bytes, in recursive queries of a bounded number of positions."""
+        """Ids of each word, in recursive queries of a bounded number of bytes."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends, start = np.cumsum(sizes), 0
         while start < len(words):
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + POSITIONS, side="right")))
-            size = sizes[start:stop] + 1
-            number = np.repeat(np.arange(len(size)), size)
-            position = np.arange(len(number)) - np.repeat(np.cumsum(size) - size, size)
-            tokens = np.full(len(number), -1, np.int64)
-            tokens[position + 1 < size[number]] = self.byte_tokens[np.frombuffer(b"".join(words[start:stop]), np.uint8)]
-            self.database.register("start", pa.table({"place": number * 1024 + position, "token": tokens}))
-            found = self.database.sql(_ENCODE).to_arrow_table()
-            borders = (4 * np.searchsorted(found.column("word").to_numpy(), np.arange(len(size) + 1))).tolist()
-            ids = found.column("token").to_numpy().astype(np.int32).tobytes()
+            raw = np.frombuffer(b"".join(words[start:stop]), np.uint8)
+            offsets = np.append(0, ends[start:stop] - before)
+            ranks = self.byte_ranks[raw * np.int64(256) + np.append(raw[1:], np.uint8(0))]
+            ranks[offsets[1:] - 1] = _NONE
+            lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x)) for x in (self.byte_tokens[raw], ranks)]
+            self.database.register("start", pa.table([pa.array(np.arange(stop - start)), *lists], ["word", "tokens", "ranks"]))
+            found = self.database.sql(_ENCODE).to_arrow_table().column("tokens").combine_chunks()
+            borders = (4 * found.offsets.to_numpy()).tolist()
+            ids = found.values.to_numpy().astype(np.int32).tobytes()
             yield from (ids[a:b] for a, b in zip(borders, borders[1:]))
             start = stop
 
@@ -262,6 +279,25 @@ class Codec:
         return self.known_ids
 
 
+def _cuts(texts: list[bytes]) -> np.ndarray:
+    """Borders of the parts of some texts laid end to end: those of the texts, and each begin of a run of white space."""
+    codes = np.frombuffer(b"".join(texts), np.uint8)
+    space = _SPACE[codes]
+    at = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    # What follows longer white space goes on with a run. Runs that begin with it stay uncut, which changes no id.
+    odd = np.flatnonzero(codes[at - 1] >= 128)
+    goes_on = np.zeros(len(odd), bool)
+    for wide in _WIDE:
+        matches = at[odd] >= len(wide)
+        for back, byte in enumerate(reversed(wide), 1):
+            matches &= codes[at[odd] - back] == byte
+        goes_on |= matches
+    border = np.zeros(len(codes) + 1, bool)
+    border[np.delete(at, odd[goes_on])] = True
+    border[np.cumsum([0, *map(len, texts)])] = True
+    return np.flatnonzero(border)
+
+
 def _border_codes(span: np.ndarray) -> np.ndarray:
     """Begin and size of each token in one number, for comparing windows of the same word."""
     return span[:, 0] << 12 | span[:, 1] - span[:, 0]
@@ -275,7 +311,8 @@ def _codec(path: str, pattern: str) -> Callable[[], Codec]:
 
 def _id_lists(encoded: list[bytes]) -> pa.ListArray:
     ids = np.frombuffer(b"".join(encoded), np.int32)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in encoded)]), pa.int32()), pa.array(ids))
+    ends = np.cumsum([0, *map(len, encoded)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -284,7 +321,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODED_BYTES):
             ids = _id_lists(coder.encode([t or "" for t in batch.column("text").to_pylist()]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
@@ -315,7 +352,7 @@ def round_trips(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODED_BYTES):
             encoded = coder.encode([t or "" for t in batch.column("text").to_pylist()])
             decoded = pa.array(coder.decode([np.frombuffer(x, np.int32) for x in encoded]), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _id_lists(encoded), decoded], ["doc_id", "ids", "decoded"])
