@@ -233,6 +233,39 @@ def test_language_model_normalises_and_steps_once_for_equal_contexts(monkeypatch
     assert model.used[:90].sum() == 8000
 
 
+def test_language_model_numbers_words_per_slice():
+    """Only distinct words of a slice meet the vocabulary; words and tokens are those of plain splitting, text by text."""
+    texts = [b"", b"A b\ta", b" \n ", "É\u00a0x É y\x0b\x0cB\x1c b".encode(), b"end ", b" a", b""]
+    words, stops = language_model.words_of(texts)
+    assert len(words.dictionary) == len(set(words.to_pylist())) and words.dictionary.type == "binary"
+    split = [t.lower().split() for t in texts]
+    assert words.to_pylist() == [w for ws in split for w in ws] and stops.tolist() == np.cumsum([len(ws) for ws in split]).tolist()
+    vocabulary = language_model.Vocabulary([("a", 9), ("b", 7), ("y", 7)], 4)
+    expected = []
+    for ws in split:
+        symbols = [3, 3] + [{b"a": 0, b"b": 1, b"y": 2}.get(w, 4) for w in ws] + [3]
+        expected += zip(symbols, symbols[1:], symbols[2:])
+    assert list(zip(*(x.tolist() for x in vocabulary.of_texts(texts)))) == expected
+    assert [x.tolist() for x in vocabulary.of_texts([b""])] == [[3]] * 3
+
+
+def test_language_model_counts_rare_words_once_per_row(spark):
+    docs = [(i, f"common common rare{i} rare{i} rare{i + 1}") for i in range(60)] + [(5, "common common rare5 rare5 rare6"), (None, None), (None, "rare7")]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    scored = language_model.score_documents(table)
+    assert "max(times" not in scored._jdf.queryExecution().toString()  # a row's rare words are summed straight after their join
+    counts = collections.Counter()
+    for doc_id, text in docs:
+        if zlib.crc32(str(doc_id).encode()) % 7 != 2 if doc_id is not None else True:
+            counts.update([*(text or "").split(), ""])
+    total = sum(counts.values())
+    found = collections.Counter((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in scored.collect())
+    base = {w: math.log10((counts[w] + 1) / (total + len(counts) + 1)) for _, t in docs for w in [*(t or "").split(), ""]}
+    assert found == collections.Counter(
+        (i, len(ws), sum(counts[w] > 0 for w in ws), round(sum(base[w] for w in ws), 6)) for i, ws in ((i, [*(t or "").split(), ""]) for i, t in docs)
+    )
+
+
 def test_pieces_equal_the_library_and_round_trip(table, documents):
     import sentencepiece
 

@@ -28,6 +28,9 @@ Words counted at least as often as some power of two, ``FREQUENT`` at most, go
 to every task; the rest meet their counts in a join. So what is broadcast is
 bounded, and what is counted and passed on grows with the corpus.
 
+Words are cut out and numbered per slice by Arrow, and only distinct ones meet the
+vocabulary, so no Python object is made for a word.
+
 Defined results: null text is empty and has one token, its end; repeated rows
 are scored alike; without training documents every count is 0 and the model is
 uniform over its symbols; an empty table gives an empty result.
@@ -37,12 +40,11 @@ from __future__ import annotations
 
 import copy
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,33 +66,43 @@ TOGETHER, NORMALISED = 256, 1 << 18
 UNSHIFTED = 80.0
 # Text bytes scored together: the more, the more contexts are equal.
 SCORED_BYTES = 1 << 22
-# Words a task counts before it passes them on.
-HELD = 200_000
+# Distinct words of slices that a task holds before it sums and passes them on.
+HELD = 1_000_000
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def words_of(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words of some texts, numbered, and how many there are up to the end of each text."""
+    codes = np.frombuffer(b" ".join(texts).lower(), np.uint8)
+    inside = ~SPACE[codes]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    kept = codes[inside]
+    offsets = np.append(np.flatnonzero(begins[inside]), len(kept)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+    stops = np.cumsum([len(t) + 1 for t in texts]) - 1
+    return words.dictionary_encode(), np.append(0, np.cumsum(begins))[stops]
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, c) over the whole texts."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+    def summed(held: list[pa.Table]) -> list[pa.RecordBatch]:
+        sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        return pa.table({"word": sums.column("word").cast(pa.string()), "c": sums.column("c_sum")}).to_batches()
 
-        def passed() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(held.keys(), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], ["word", "c"]
-            )
-            held.clear()
-            return batch
-
-        for batch in slices(batches, "text"):
-            for text in raw_texts(batch):
-                held.update(tokens(text))
-            if len(held) > HELD:
-                yield passed()
-        yield passed()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in slices(batches, "text", SCORED_BYTES):
+            words, _ = words_of(raw_texts(batch))
+            times = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+            held.append(pa.table({"word": words.dictionary, "c": pa.array(times, pa.int64())}))
+            if sum(map(len, held)) > HELD:
+                yield from summed(held)
+                held.clear()
+        if held:
+            yield from summed(held)
 
     return texts.select("text").mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -149,7 +161,7 @@ class LogBilinear:
 
     def _move(self, ids: np.ndarray, slopes: np.ndarray) -> None:
         """Move rows by the sums of their slopes."""
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids)
         new = np.diff(ids[order], prepend=-1) > 0
         places = np.empty(len(ids), np.int64)
         places[order] = np.cumsum(new) - 1
@@ -175,15 +187,16 @@ class LogBilinear:
         Word w[i] follows the context of[i] with that weight. A context meets noise once, by the weight of its words;
         contexts of a block share the noise. Draws are spread evenly over the unigrams.
         """
-        d, size = DIMENSION, len(self.rows)
+        d, size, count = DIMENSION, len(self.rows), len(h1)
         x1, x2 = self.rows.take(h1, 0)[:, :d], self.rows.take(h2, 0)[:, :d]
         c1, c2 = self.rows[-2 * d : -d, :d], self.rows[-d:, :d]
-        full = np.ones((len(h1), d + 1), np.float32)
-        full[:, :d] = x1 @ c1 + x2 @ c2
+        # Blocks of equal size; what fills up the last one has no share.
+        blocks = np.zeros((-(-count // BLOCK), BLOCK, d + 1), np.float32)
+        full = blocks.reshape(-1, d + 1)
+        full[:count, :d], full[:count, d] = x1 @ c1 + x2 @ c2, 1.0
         mine = full.take(of, 0)
-        at, pulled = np.zeros_like(full), np.zeros_like(mine)
-        share = (-NOISE / DRAWN) * np.bincount(of, weight, len(h1)).astype(np.float32)[:, None]
-        blocks = [slice(start, start + BLOCK) for start in range(0, len(h1), BLOCK)]
+        at, pulled = np.zeros_like(blocks), np.zeros_like(mine)
+        share = (-NOISE / DRAWN) * np.bincount(of, weight, len(full)).astype(np.float32).reshape(-1, BLOCK, 1)
         moves = []
         for (base, cumulated, log_noise), target in zip(self.noise, (w, self.group[w])):
             drawn = np.searchsorted(cumulated, (np.arange(DRAWN) + self.chance.random((len(blocks), DRAWN))) / DRAWN)
@@ -197,18 +210,16 @@ class LogBilinear:
             pulled += real
             against = -noise
             against[:, :, -1] += log_noise.take(drawn)
-            for block, vectors, others, part in zip(blocks, noise, against, slopes[len(target) :].reshape(noise.shape)):
-                # In place, since these arrays take much of the time; what overflows has no error.
-                errors = full[block] @ others.T
-                with np.errstate(over="ignore"):
-                    np.exp(errors, out=errors)
-                errors += 1.0
-                np.divide(share[block], errors, out=errors)
-                at[block] += errors @ vectors
-                np.matmul(errors.T, full[block], out=part)
+            # In place, since these arrays take much of the time; what overflows has no error.
+            errors = blocks @ against.transpose(0, 2, 1)
+            with np.errstate(over="ignore"):
+                np.exp(errors, out=errors)
+            errors += 1.0
+            np.divide(share, errors, out=errors)
+            at += errors @ noise
+            np.matmul(errors.transpose(0, 2, 1), blocks, out=slopes[len(target) :].reshape(noise.shape))
             moves.append((np.concatenate([target, drawn.ravel()]) + base, slopes))
-        at += _summed(of, pulled, len(h1))
-        at = at[:, :d]
+        at = at.reshape(full.shape)[:count, :d] + _summed(of, pulled, count)[:, :d]
         ids = np.concatenate([h1, h2, np.arange(size - 2 * d, size)])
         slopes = np.zeros((len(ids), d + 1), np.float32)
         slopes[:, :d] = np.concatenate([at @ c1.T, at @ c2.T, x1.T @ at, x2.T @ at])
@@ -224,14 +235,14 @@ class LogBilinear:
         weight = np.diff(first, append=len(key)).astype(np.float32)
         key = key[first]
         before, w = key >> bits, key & (1 << bits) - 1
-        new = np.diff(before, prepend=-1) > 0
-        h1, h2 = before[new] >> bits, before[new] & (1 << bits) - 1
-        place = self.chance.permutation(len(h1))
-        of = place[np.cumsum(new) - 1]
-        order = np.argsort(of, kind="stable")
-        of, w, weight = of[order], w[order], weight[order]
-        at = np.argsort(place)
-        h1, h2 = h1[at], h2[at]
+        first = np.flatnonzero(np.diff(before, prepend=-1))
+        place, at = self.chance.permutation(len(first)), np.empty(len(first), np.int64)
+        at[place] = np.arange(len(first))
+        sizes = np.diff(first, append=len(w))[at]
+        first, of = first[at], np.repeat(np.arange(len(at)), sizes)
+        order = np.arange(len(w)) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+        h1, h2 = before[first] >> bits, before[first] & (1 << bits) - 1
+        w, weight = w[order], weight[order]
         for start in range(0, len(h1), BATCH):
             i, j = np.searchsorted(of, (start, start + BATCH))
             contexts = slice(start, start + BATCH)
@@ -253,7 +264,7 @@ class LogBilinear:
         """Normalised log10 P(w | h1 h2) of each row. Equal contexts, and equal groups after them, are normalised once."""
         n = self.classes
         key, bits = _packed(n, h1, h2, w)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         new = np.diff(key, prepend=-1) > 0
         key, row = key[new], np.cumsum(new) - 1
@@ -279,7 +290,7 @@ class LogBilinear:
         for start in range(0, len(context), step):
             i, j = np.searchsorted(of, (start, start + step))
             add(slice(i, j), slice(start, start + step), of[i:j] - start, self.rows[2 * n : 2 * n + self.groups], group[i:j])
-        by_group = np.argsort(group, kind="stable")
+        by_group = np.argsort(group.astype(np.uint16) if self.groups < 1 << 16 else group, kind="stable")
         ends = np.searchsorted(group[by_group], np.arange(self.groups + 1))
         for g in np.flatnonzero(np.diff(ends)):
             first, stop = self.starts[g], self.starts[g + 1]
@@ -308,27 +319,34 @@ class Vocabulary:
         ordered = sorted(words, key=lambda x: (-x[1], x[0]))
         self.end, self.other = len(ordered), len(ordered) + 1
         self.classes = self.other + 1
-        self.index = {w.encode(): i for i, (w, _) in enumerate(ordered)}
+        self.words = pa.array([w.encode() for w, _ in ordered], pa.binary())
         self.counts = np.array([c for _, c in ordered], float)
         self.log_count = np.log10(np.append(self.counts, 0.0) + 1.0)
         self.ends = ends
 
-    def of_text(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Words, their numbers (-1: not frequent) and the symbols of all tokens."""
-        words = tokens(text)
-        numbers = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        return words, numbers, np.append(np.where(numbers >= 0, numbers, self.other), self.end)
-
-    def trigrams(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(h1, h2, w) of all tokens of some texts, given as their symbols."""
-        w = np.concatenate(parts)
+    def numbers(self, words: pa.DictionaryArray) -> np.ndarray:
+        """Number of each word, -1 if it is not frequent."""
+        known = pc.index_in(words.dictionary, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+        return known.astype(np.int64)[words.indices.to_numpy()]
+
+    def trigrams(self, numbers: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(h1, h2, w) of all tokens of some texts, whose words up to ``stops`` have these numbers."""
+        ends = stops + np.arange(len(stops))
+        w = np.full(len(numbers) + len(stops), self.end)
+        inside = np.ones(len(w), bool)
+        inside[ends] = False
+        w[inside] = np.where(numbers >= 0, numbers, self.other)
         h2 = np.concatenate(([self.end], w[:-1]))
         h1 = np.concatenate(([self.end], h2[:-1]))
         # The token before the first of a text is an end anyway, the one before that is made one.
-        first = np.cumsum([0] + [len(p) for p in parts[:-1]])
-        h1[first] = self.end
+        h1[0] = h1[ends[:-1] + 1] = self.end
         return h1, h2, w
 
+    def of_texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(h1, h2, w) of all tokens of some texts, one text at least."""
+        words, stops = words_of(texts)
+        return self.trigrams(self.numbers(words), stops)
+
 
 def frequent_words(counts: DataFrame, most: int = FREQUENT) -> list[tuple[str, int]]:
     """All words counted at least 2^k times, for the least k that leaves ``most`` at most."""
@@ -351,10 +369,7 @@ def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: LogBilinear, s
         own.rows = model.rows.copy()
         own.ready()
         for batch in slices(batches, "text"):
-            parts = [vocabulary.of_text(text)[2] for text in raw_texts(batch)]
-            if not parts:
-                continue
-            own.learn_all(*vocabulary.trigrams(parts))
+            own.learn_all(*vocabulary.of_texts(raw_texts(batch)))
         changed = np.flatnonzero(own.used)
         for part in np.split(changed, np.flatnonzero(np.diff(changed // TOGETHER)) + 1) if len(changed) else []:
             values = [
@@ -397,8 +412,7 @@ def _train_round(texts: DataFrame, vocabulary: Vocabulary, model: LogBilinear, s
 def _sample(training: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Trigrams of some training texts, ``JUDGED`` tokens at most, by which the length of a step is chosen."""
     texts = training.select("text").orderBy(F.xxhash64("doc_id", "text")).limit(200).collect()
-    parts = [vocabulary.of_text((row["text"] or "").encode())[2] for row in texts]
-    h1, h2, w = vocabulary.trigrams(parts or [np.array([vocabulary.end])])
+    h1, h2, w = vocabulary.of_texts([(row["text"] or "").encode() for row in texts] or [b""])
     return h1[:JUDGED], h2[:JUDGED], w[:JUDGED]
 
 
@@ -427,39 +441,29 @@ def _scan(vocabulary: Vocabulary, model: LogBilinear):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SCORED_BYTES):
-            keys = batch.column("key").to_numpy()
-            sums: list[list] = [[], [], [], []]
-            parts: list[np.ndarray] = []
-            rare_keys, rare_words, rare_times = [], [], []
-            for key, text in zip(keys, raw_texts(batch)):
-                words, numbers, classes = vocabulary.of_text(text)
-                logs = vocabulary.log_count[numbers]
-                logs[numbers < 0] = 0.0
-                end_log = math.log10(vocabulary.ends + 1.0)
-                known = int(np.count_nonzero(numbers >= 0)) + (vocabulary.ends > 0)
-                parts.append(classes)
-                for column, value in zip(sums, (
-                    len(words) + 1, known, int(np.count_nonzero(numbers < 0)), float(logs.sum()) + end_log,
-                )):
-                    column.append(value)
-                rare = Counter(words[i] for i in np.flatnonzero(numbers < 0))
-                rare_keys += [key] * len(rare)
-                rare_words += rare.keys()
-                rare_times += rare.values()
-            first = np.cumsum([0] + [len(p) for p in parts[:-1]])
-            neural = np.add.reduceat(model.log10(*vocabulary.trigrams(parts)), first)
-            sums.insert(3, neural)
-            rows, extra = len(batch), len(rare_words)
+            words, stops = words_of(raw_texts(batch))
+            numbers, rows = vocabulary.numbers(words), len(batch)
+            sizes = np.diff(stops, prepend=0)
+            text, listed = np.repeat(np.arange(rows), sizes), numbers >= 0
+            frequent = np.bincount(text[listed], minlength=rows)
+            logs = np.bincount(text[listed], vocabulary.log_count[numbers[listed]], rows) + math.log10(vocabulary.ends + 1.0)
+            neural = model.log10(*vocabulary.trigrams(numbers, stops))
+            neural = np.add.reduceat(neural, np.append(0, stops[:-1] + np.arange(1, rows)))
+            sums = [sizes + 1, frequent + (vocabulary.ends > 0), sizes - frequent, neural, logs]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), batch.column("held_out")]
                 + [pa.array(c, t) for c, t in zip(sums, [pa.int64()] * 3 + [pa.float64()] * 2)]
                 + [pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], names,
             )
-            if extra:
+            # Distinct rarer words of each text.
+            met = np.sort(text[~listed] * len(words.dictionary) + words.indices.to_numpy()[~listed])
+            first = np.flatnonzero(np.diff(met, prepend=-1))
+            if extra := len(first):
+                text, word = np.divmod(met[first], len(words.dictionary))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(extra, pa.int64()), pa.array(rare_keys, pa.int64()), pa.nulls(extra, pa.bool_())]
+                    [pa.nulls(extra, pa.int64()), batch.column("key").take(pa.array(text)), pa.nulls(extra, pa.bool_())]
                     + [pa.nulls(extra, t) for t in [pa.int64()] * 3 + [pa.float64()] * 2]
-                    + [pa.array(rare_words, pa.binary()).cast(pa.string()), pa.array(rare_times, pa.int64())], names,
+                    + [words.dictionary.take(pa.array(word)).cast(pa.string()), pa.array(np.diff(first, append=len(met)))], names,
                 )
 
     return run
@@ -478,13 +482,12 @@ def score_documents(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame
     other_types = size["v"] - vocabulary.end
     model = train_model(training, vocabulary, in_other)
 
-    # Rows with equal id and text get equal keys; their rare words are then counted once.
-    keyed = marked.withColumn("key", F.xxhash64("doc_id", "text"))
+    # A row and its rare words are written together by one task, so a number that tells rows apart joins them again.
+    keyed = marked.withColumn("key", F.monotonically_increasing_id())
     scanned = stored(keyed.mapInArrow(_scan(vocabulary, model), SCANNED))
     rare = (
         scanned.where("word is not null").select("key", "word", "times")
-        .join(counts, "word").groupBy("key", "word").agg(F.max("times").alias("times"), F.first("c").alias("c"))
-        .groupBy("key").agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("rare_logs"))
+        .join(counts, "word").groupBy("key").agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("rare_logs"))
     )
     joined = scanned.where("word is null").join(rare, "key", "left").fillna(0, ["rare_known"]).fillna(0.0, ["rare_logs"])
     return joined.select(
