@@ -82,7 +82,7 @@ def words_of(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
     offsets = np.append(np.flatnonzero(begins[inside]), len(kept)).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
     stops = np.cumsum([len(t) + 1 for t in texts]) - 1
-    return words.dictionary_encode(), np.append(0, np.cumsum(begins))[stops]
+    return words.dictionary_encode(), np.searchsorted(np.flatnonzero(begins), stops)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
