@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import discard, stored, stored_in_turn
 
 # Commercial fields a return shares with its sale.
 SHARED_FIELDS = ("customer_record_id", "product_id", "order_id", "unit_price", "unit_cost", "discount_rate")
@@ -64,9 +64,15 @@ def _serve(state: Column, item: Column) -> Column:
     )
 
 
-def accepted_returns(events: DataFrame, shared: Sequence[str] = SHARED_FIELDS) -> DataFrame:
-    """``event_id`` of every return that its sale can still cover."""
-    matched = stored(matching_returns(events, shared))
+def _of_sales(events: DataFrame, slice_: int, slices: int) -> DataFrame:
+    """Sales of one slice by hash, with all events that point to them."""
+    sale = F.when(F.col("event_type") == "return", F.col("origin_event_id")).otherwise(F.col("event_id"))
+    return events.where(F.pmod(F.xxhash64(sale), F.lit(slices)) == slice_) if slices > 1 else events
+
+
+def accepted_returns(events: DataFrame, shared: Sequence[str] = SHARED_FIELDS, slices: int = 1) -> DataFrame:
+    """``event_id`` of every return that its sale can still cover; sales are matched in ``slices`` turns."""
+    matched = stored_in_turn(matching_returns(_of_sales(events, i, slices), shared) for i in range(slices))
     wanted = matched.groupBy("origin_event_id").agg(F.sum("quantity").alias("wanted"), F.max("sold_quantity").alias("sold"))
     short = wanted.where("wanted > sold").select("origin_event_id")
     covered = matched.join(short, "origin_event_id", "left_anti").select("event_id")
@@ -99,4 +105,6 @@ def accepted_returns(events: DataFrame, shared: Sequence[str] = SHARED_FIELDS) -
         "refused",
         lambda x: (x["quantity"] <= F.col("item.quantity")) & (F.struct(x["event_time"].alias("event_time"), x["event_id"].alias("event_id")) <= place),
     )
-    return covered.unionByName(served.where(~blocked).select(F.col("item.event_id").alias("event_id")))
+    decided = stored(covered.unionByName(served.where(~blocked).select(F.col("item.event_id").alias("event_id"))))
+    discard(matched)
+    return decided
