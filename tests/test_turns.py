@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmark.operators import quality
 from tillmark.operators.dedup import drop_exact_duplicates
+from tillmark.operators.ordered import global_rank, ranges
 from tillmark.session import discard, stored, stored_in_turn
 from tillmark.sources import tables
 
@@ -77,6 +78,70 @@ def test_cleaning_leaves_no_shuffle_files(spark, raw_rows, monkeypatch):
     cleaned = quality.clean_events(raw_rows, products, mapping, "2024-04-01")
     assert goes_away(spark, before)
     assert cleaned.accepted.count() > 0
+    before = shuffle_files(spark)
+    lines = quality.clean_lines(line_parts(spark)[0], ["at", "then"])
+    assert goes_away(spark, before)
+    assert lines.accepted.count() > 0
+
+
+LINES = "Invoice string, StockCode string, Description string, Quantity string, InvoiceDate string, Price string, `Customer ID` string, Country string, at int, then int"
+
+
+def line_parts(spark):
+    """Two parts that overlap; the position is null, repeated or skewed, and ties go by the second column."""
+    chance, parts, rows = random.Random(3), {}, {}
+    for name in ("Year 2009-2010", "Year 2010-2011"):
+        rows[name] = [
+            (f"{chance.randrange(30)}", "S", "Cup", f"{chance.randrange(1, 3)}", "2010-01-01", "1.5", chance.choice(["7.0", None]), None,
+             None if i < 3 else 50 if i < 40 else chance.randrange(100), i)
+            for i in range(120)
+        ]
+        mixed = chance.sample(rows[name], len(rows[name]))
+        parts[name] = spark.createDataFrame(mixed, LINES).repartition(3)
+    return parts, rows
+
+
+def test_lines_numbered_in_turns_keep_their_places(spark, monkeypatch):
+    parts, rows = line_parts(spark)
+    expected, first, copies = set(), {}, {}
+    for name, held in rows.items():
+        held = sorted(held, key=lambda r: (r[8] is not None, r[8] or 0, r[9]))
+        for number, r in enumerate(held, 2):
+            expected.add((name, number, r[8], r[9]))
+            first.setdefault(r[:8], (name, number))
+            copies[r[:8]] = copies.get(r[:8], 0) + 1
+    for most in (1_000_000, 50):
+        monkeypatch.setattr(quality, "SLICE_ROWS", most)
+        numbered = quality.union_with_provenance(parts, ["at", "then"])
+        assert {(r["source_sheet"], r["source_row"], r["at"], r["then"]) for r in numbered.collect()} == expected
+        assert set(numbered.columns) == {*parts["Year 2009-2010"].columns, "source_sheet", "source_row"}
+        cleaned = quality.clean_lines(parts, ["at", "then"])
+        assert cleaned.raw_rows == 240
+        found = {(r["source_sheet"], r["source_row"]): r["_copies"] for r in cleaned.screened.collect()}
+        assert found == {first[k]: n for k, n in copies.items()}
+        quality.require_reconciled(quality.quality_report(cleaned, quality.revenue_quality_columns()))
+
+
+def test_lines_without_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SLICE_ROWS", 1)
+    empty = {"A": spark.createDataFrame([], LINES)}
+    cleaned = quality.clean_lines(empty, ["at", "then"])
+    assert (cleaned.raw_rows, cleaned.accepted.count(), cleaned.quarantine.count()) == (0, 0, 0)
+
+
+def test_lines_ordered_by_text_take_one_turn(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SLICE_ROWS", 1)
+    rows = [(f"{i}", "S", "Cup", "1", "2010-01-01", "1.5", "7", "UK", i, 0) for i in range(12)]
+    numbered = quality.union_with_provenance({"A": spark.createDataFrame(rows, LINES)}, ["Invoice"])
+    found = {r["Invoice"]: r["source_row"] for r in numbered.collect()}
+    assert found == {name: place for place, name in enumerate(sorted(str(i) for i in range(12)), 2)}
+
+
+def test_rank_in_turns(spark):
+    values = [None, None, -5, 0, 0, 1, 7, 7, 7, 9]
+    df = spark.createDataFrame([(g, v, i) for g in "ab" for i, v in enumerate(values)], "g string, v int, i int")
+    found = {(r["g"], r["i"]): r["rank"] for r in global_rank(df, [F.col("v"), F.col("i")], ["g"], turns=ranges("v", [0, 7])).collect()}
+    assert found == {(g, i): i + 1 for g in "ab" for i in range(len(values))}
 
 
 def test_stored_in_turn_and_discarded(spark):

@@ -4,7 +4,8 @@ A window without PARTITION BY moves all rows to one task. Here rows are range
 partitioned by the wanted order, sorted inside each partition and written to
 the checkpoint folder together with their position. Ranks and running totals
 then need only one offset per partition, a table no longer than the number of
-partitions (times groups).
+partitions (times groups). A large table can be laid out in turns, one range of
+the order after another, so that the disk holds the shuffle files of one range.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import stored, stored_in_turn
 
 # monotonically_increasing_id: partition number above bit 33, row position below.
 _POSITION_BITS = 33
+# Partition numbers have 31 bits; the number of the range stands above them.
+_PARTITION_BITS = 31
 _BROADCAST_ROWS = 100_000
 
 
@@ -32,25 +35,48 @@ def _small(offsets: DataFrame, group: Sequence[str]) -> DataFrame:
     return offsets
 
 
-def _laid_out(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def ranges(column: str, cuts: Sequence) -> list[Column]:
+    """Conditions that part rows by ``column`` at ascending ``cuts``, in ascending order with nulls first."""
+    at = F.col(column)
+    if not cuts:
+        return []
+    inner = [(at > low) & (at <= high) for low, high in zip(cuts, cuts[1:])]
+    return [at.isNull() | (at <= cuts[0]), *inner, at > cuts[-1]]
+
+
+def _laid_out(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column],
+    turns: Sequence[Column] = (), columns: Sequence[str] | None = None,
+) -> DataFrame:
     keys = [F.col(c) for c in group] + list(order)
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    ordered = checkpoint(ordered.withColumn("_at", F.monotonically_increasing_id()))
-    return ordered.withColumn("_part", F.shiftright("_at", _POSITION_BITS))
 
+    def one(number: int, rows: DataFrame) -> DataFrame:
+        ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        ordered = ordered.withColumn("_at", F.monotonically_increasing_id())
+        part = F.shiftright("_at", _POSITION_BITS) + F.lit(number << _PARTITION_BITS)
+        return ordered.select(*(columns or df.columns), "_at", part.alias("_part"))
+
+    return stored_in_turn(one(i, df.where(turn)) for i, turn in enumerate(turns)) if turns else stored(one(0, df))
 
-def global_rank(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (), name: str = "rank") -> DataFrame:
+
+def global_rank(
+    df: DataFrame, order: Sequence[Column], group: Sequence[str] = (), name: str = "rank",
+    turns: Sequence[Column] = (), columns: Sequence[str] | None = None,
+) -> DataFrame:
     """Add the 1-based row number in ``order``, within each ``group`` when given.
 
     ``order`` must be total (end it with a unique key) for a repeatable result.
+    ``turns`` are conditions that hold one after another in ``order`` within each
+    group and part the rows; each is laid out apart. ``columns`` are those to keep
+    (default: all), the group's among them.
     """
-    ordered = _laid_out(df, group, order)
+    ordered = _laid_out(df, group, order, turns, columns)
     pieces = ordered.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         *group, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
-    ranked = ordered.join(_small(offsets, group), [*group, "_part"])
+    ranked = ordered.join(_small(stored(offsets), group), [*group, "_part"])
     return ranked.withColumn(name, F.col("_before") + F.col("_at") - F.col("_first") + 1).drop(
         "_at", "_part", "_first", "_before"
     )

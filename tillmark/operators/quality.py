@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -18,11 +19,11 @@ from ..functions.values import (
     lenient_timestamp,
     strip,
 )
-from ..session import brief_shuffles, stored, stored_in_turn
+from ..session import brief_shuffles, discard, stored, stored_in_turn
 from ..sources.tables import with_accounting, with_plain_revenue
 from .constraints import assert_unique
 from .dedup import drop_exact_duplicates, keep_first
-from .ordered import global_rank
+from .ordered import global_rank, ranges
 from .returns import SHARED_FIELDS, accepted_returns
 
 # Accepted domains of the margin track.
@@ -48,9 +49,10 @@ QUALITY_METRICS = (
 _NUMBERS = ("quantity", "unit_price", "discount_rate", "unit_cost")
 # Equal input rows behind a screened row.
 COPIES = "_copies"
-# Work on many rows goes in turns: so many rows in one, and no more turns than this for events.
+# Work on many rows goes in turns: so many rows in one, and no more turns than these for events and lines.
 SLICE_ROWS = 1_000_000
 EVENT_TURNS = 6
+LINE_TURNS = 4
 # Position of a row over all sheets: sheet times this plus row, a decimal with room for both.
 _SHEET_STEP = 10**19
 
@@ -173,17 +175,45 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise ValueError(f"Input is missing columns: {missing}")
 
 
-def union_with_provenance(parts: Mapping[str, DataFrame], order: Sequence[str]) -> DataFrame:
-    """All parts as one frame with ``source_sheet`` and ``source_row``.
-
-    Rows are numbered from 2 inside their part (row 1 is a header) along
-    ``order``, which must be total; its columns are kept.
-    """
+def _tagged(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """All parts as one frame with ``source_sheet``."""
     tagged = [df.withColumn("source_sheet", F.lit(name)) for name, df in parts.items()]
     rows = tagged[0]
     for part in tagged[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
-    ranked = global_rank(rows, [F.col(c) for c in order], group=["source_sheet"], name="source_row")
+    return rows
+
+
+def _measured(parts: Mapping[str, DataFrame], order: Sequence[str]) -> tuple[int, list]:
+    """Rows of the parts, and values of the first order column that cut many rows into ranges of about equal size."""
+    rows = _tagged(parts)
+    kind = rows.schema[order[0]].dataType
+    known = isinstance(kind, (T.IntegralType, T.FractionalType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    steps = math.lcm(*range(1, LINE_TURNS + 1))
+    cuts = F.percentile_approx(order[0], [i / steps for i in range(1, steps)], 1000) if known else F.lit(None)
+    with brief_shuffles(rows.sparkSession):
+        found = rows.agg(F.count("*").alias("rows"), cuts.alias("cuts")).first()
+    few = _turns(found["rows"], LINE_TURNS)
+    at = [found["cuts"][steps * i // few - 1] for i in range(1, few)] if found["cuts"] else []
+    return found["rows"], sorted({x for x in at if x == x})
+
+
+def union_with_provenance(
+    parts: Mapping[str, DataFrame], order: Sequence[str], cuts: Sequence | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """All parts as one frame with ``source_sheet`` and ``source_row``.
+
+    Rows are numbered from 2 inside their part (row 1 is a header) along
+    ``order``, which must be total; its columns are kept unless ``columns`` names
+    others. ``cuts`` part the first order column into ranges that are numbered one
+    after another; they are found where none are given.
+    """
+    if cuts is None:
+        _, cuts = _measured(parts, order)
+    ranked = global_rank(
+        _tagged(parts), [F.col(c) for c in order], ["source_sheet"], "source_row", ranges(order[0], cuts),
+        [*columns, "source_sheet"] if columns else None,
+    )
     return ranked.withColumn("source_row", F.col("source_row") + 1)
 
 
@@ -245,8 +275,11 @@ def clean_lines(parts: Mapping[str, DataFrame], order: Sequence[str], prefix: st
     """Union, deduplicate, quarantine and type the revenue-track parts."""
     for part in parts.values():
         require_columns(part, LINE_COLUMNS)
-    raw_rows = sum(part.count() for part in parts.values())
-    screened = stored(screen_lines(first_lines(union_with_provenance(parts, order), list(parts))))
+    raw_rows, cuts = _measured(parts, order)
+    lines = union_with_provenance(parts, order, cuts, LINE_COLUMNS)
+    slices = _hash_slices(lines, LINE_COLUMNS, len(cuts) + 1)
+    screened = stored_in_turn(screen_lines(first_lines(rows, list(parts))) for rows in slices)
+    discard(lines)
     good = F.col("quarantine_reason").isNull()
     return Cleaned(
         accepted=type_and_key(screened.where(good), prefix),
